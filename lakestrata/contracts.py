@@ -261,25 +261,27 @@ def conform(df: DataFrame, contract: TableContract, stored: bool = False) -> Dat
     )
     projected = []
     for name, data_type, nullable in kinds:
-        cell = F.col(name).cast(data_type)
+        kind = data_type.simpleString()
+        cell = f"CAST({name} AS {kind})"
         if not nullable:
-            message = F.lit(f"{contract.table}: {name} must not be NULL")
-            cell = F.coalesce(cell, F.raise_error(message).cast(data_type))
-        projected.append(cell.alias(name))
-    return df.select(*projected)
+            cell = _not_null(cell, kind, f"{contract.table}: {name}")
+        projected.append(f"{cell} AS {name}")
+    return df.selectExpr(*projected)
+
+
+def _not_null(cell: str, kind: str, what: str) -> str:
+    return f"coalesce({cell}, CAST(raise_error('{what} must not be NULL') AS {kind}))"
 
 
 def assert_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fail the job on the first NULL in ``columns``; other columns pass through."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns(
-        {
-            name: F.coalesce(
-                F.col(name),
-                F.raise_error(F.lit(f"{name} must not be NULL")).cast(kinds[name]),
-            )
-            for name in columns
-        }
+    return df.selectExpr(
+        *[
+            f"{_not_null(f.name, f.dataType.simpleString(), f.name)} AS {f.name}"
+            if f.name in columns
+            else f.name
+            for f in df.schema.fields
+        ]
     )
 
 

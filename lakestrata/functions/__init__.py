@@ -1,13 +1,14 @@
 """Column expressions; all of them built from native Spark functions."""
 
-from lakestrata.functions.cleaning import clean_customer_columns, is_blank
+from lakestrata.functions.cleaning import customer_cleaning, is_blank
+from lakestrata.functions.conversion import try_convert
 from lakestrata.functions.keys import fingerprint, salted
-from lakestrata.functions.money import money_sum, safe_ratio
+from lakestrata.functions.money import exact_sum, money_sum, safe_ratio
 from lakestrata.functions.times import instant, month_start
-from lakestrata.functions.conversion import try_convert
 
 __all__ = [
-    "clean_customer_columns",
+    "customer_cleaning",
+    "exact_sum",
     "fingerprint",
     "instant",
     "is_blank",

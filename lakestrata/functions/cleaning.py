@@ -1,10 +1,7 @@
-"""Cleaning rules of the customer dimension."""
+"""Cleaning rules of the customer dimension, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from lakestrata.values import (
     IMPUTED_EMAIL_PREFIX,
     IMPUTED_EMAIL_SUFFIX,
@@ -14,39 +11,31 @@ from lakestrata.values import (
 )
 
 
-def is_blank(column: str) -> Column:
-    return F.col(column).isNull() | (F.trim(column) == "")
+def is_blank(column: str) -> str:
+    return f"({column} IS NULL OR trim({column}) = '')"
 
 
-def _or_default(column: str, default: str | Column) -> Column:
+def _or_default(column: str, default: str) -> str:
     """The trimmed cell, or a default where nothing but blanks is left."""
-    fallback = F.lit(default) if isinstance(default, str) else default
-    return F.when(is_blank(column), fallback).otherwise(F.trim(column))
+    return f"IF({is_blank(column)}, {default}, trim({column}))"
 
 
-def clean_customer_columns() -> dict[str, Column]:
+def customer_cleaning() -> dict[str, str]:
     """Output column -> expression over the raw customer columns.
 
     A missing name becomes "Unknown" but a blank one stays blank, and the full
     name is built from the raw parts: these rules are visible in the data.
     """
-
-    def name_part(column: str) -> Column:
-        return F.trim(F.coalesce(F.col(column), F.lit(UNKNOWN_NAME)))
-
-    raw_parts = [F.coalesce(F.col(c), F.lit("")) for c in ("first_name", "last_name")]
-    imputed_email = F.concat(
-        F.lit(IMPUTED_EMAIL_PREFIX),
-        F.col("customer_id").cast("string"),
-        F.lit(IMPUTED_EMAIL_SUFFIX),
+    imputed = (
+        f"'{IMPUTED_EMAIL_PREFIX}' || CAST(customer_id AS STRING) || '{IMPUTED_EMAIL_SUFFIX}'"
     )
     return {
-        "first_name": name_part("first_name"),
-        "last_name": name_part("last_name"),
-        "customer_name": F.trim(F.concat_ws(" ", *raw_parts)),
-        "email": _or_default("email", imputed_email),
-        "email_raw": F.col("email"),
-        "city": _or_default("city", UNKNOWN_CITY),
-        "city_raw": F.col("city"),
-        "state": _or_default("state", UNKNOWN_STATE),
+        "first_name": f"trim(ifnull(first_name, '{UNKNOWN_NAME}'))",
+        "last_name": f"trim(ifnull(last_name, '{UNKNOWN_NAME}'))",
+        "customer_name": "trim(concat_ws(' ', ifnull(first_name, ''), ifnull(last_name, '')))",
+        "email": _or_default("email", imputed),
+        "email_raw": "email",
+        "city": _or_default("city", f"'{UNKNOWN_CITY}'"),
+        "city_raw": "city",
+        "state": _or_default("state", f"'{UNKNOWN_STATE}'"),
     }

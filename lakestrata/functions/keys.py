@@ -8,24 +8,19 @@ from pyspark.sql import functions as F
 from lakestrata.values import KEY_DELIMITER, SHA_BITS
 
 
-def fingerprint(*columns: str | Column, null_token: str = "") -> Column:
-    """SHA-256 over the text of the columns.
+def fingerprint(*cells: str, null_token: str = "") -> Column:
+    """SHA-256 over the text of the cells, each a column name or SQL expression.
 
     NULL and the empty string give the same key by default; another
     ``null_token`` keeps them apart, at the price of keys that do not compare
     with those already stored.
     """
-    texts = [
-        F.coalesce(
-            (F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(null_token)
-        )
-        for c in columns
-    ]
-    return F.sha2(F.concat_ws(KEY_DELIMITER, *texts), SHA_BITS)
+    texts = ", ".join(f"coalesce(CAST({cell} AS STRING), '{null_token}')" for cell in cells)
+    return F.expr(f"sha2(concat_ws('{KEY_DELIMITER}', {texts}), {SHA_BITS})")
 
 
-def salted(needs_salt: Column, spread_by: Column, slots: int) -> Column:
+def salted(needs_salt: str, spread_by: str, slots: int) -> Column:
     """A slot 0..slots-1 for rows that need spreading, 0 for all others."""
-    return F.when(needs_salt, F.pmod(F.xxhash64(spread_by), F.lit(slots))).otherwise(
-        F.lit(0)
-    ).cast("int")
+    return F.expr(
+        f"CAST(IF({needs_salt}, pmod(xxhash64({spread_by}), {slots}), 0) AS INT)"
+    )

@@ -16,9 +16,8 @@ def instant(value: str | datetime | Column | None) -> Column:
         return value
     if isinstance(value, datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.to_timestamp(F.lit(value))
+    return F.expr(f"CAST('{value}' AS TIMESTAMP)")
 
 
-def month_start(day: str | Column) -> Column:
-    column = F.col(day) if isinstance(day, str) else day
-    return F.date_trunc("month", column).cast("date")
+def month_start(day: str) -> Column:
+    return F.expr(f"CAST(date_trunc('month', {day}) AS DATE)")

@@ -33,7 +33,7 @@ def latest_by(
     window = Window.partitionBy(*keys).orderBy(*(order or recency_order()))
     return (
         df.withColumn("_version", F.row_number().over(window))
-        .filter(F.col("_version") == 1)
+        .filter("_version = 1")
         .drop("_version")
     )
 
@@ -44,9 +44,9 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> D
     The check rides on the key partitioning a following join needs anyway.
     """
     window = Window.partitionBy(*keys).orderBy(*keys)
-    failure = F.raise_error(F.lit(f"duplicate key in {what}: {', '.join(keys)}"))
+    failure = f"CAST(raise_error('duplicate key in {what}: {', '.join(keys)}') AS BOOLEAN)"
     return (
         df.withColumn("_copy", F.row_number().over(window))
-        .filter(F.when(F.col("_copy") > 1, failure.cast("boolean")).otherwise(True))
+        .filter(f"IF(_copy > 1, {failure}, TRUE)")
         .drop("_copy")
     )

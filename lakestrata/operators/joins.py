@@ -32,7 +32,7 @@ def lookup(
         return rows.join(F.broadcast(dimension), key, how)
     if spread_by is None or how == "inner":
         return rows.join(dimension, key, how)
-    salt = salted(F.col(key).isNull(), F.col(spread_by), NULL_SLOTS)
+    salt = salted(f"{key} IS NULL", spread_by, NULL_SLOTS)
     return (
         rows.withColumn("_slot", salt)
         .join(dimension.withColumn("_slot", F.lit(0)), [key, "_slot"], how)

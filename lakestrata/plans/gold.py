@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.money import money_sum, safe_ratio
+from lakestrata.functions.money import exact_sum, money_sum, safe_ratio
 from lakestrata.functions.times import month_start
 from lakestrata.operators.ranking import rank_within
 from lakestrata.values import BROADCAST_ROWS
@@ -26,9 +26,7 @@ def daily_revenue(fact: DataFrame, ids_unique: bool = True) -> DataFrame:
     return daily.select(
         "transaction_date",
         "total_revenue",
-        safe_ratio(F.col("total_revenue"), F.col("total_orders")).alias(
-            "average_order_value"
-        ),
+        safe_ratio("total_revenue", "total_orders").alias("average_order_value"),
         "total_orders",
     )
 
@@ -86,14 +84,15 @@ def category_sales_daily(
     facts already summed per day and product, which also evens out hot products.
     """
     current = products.filter("is_current").select("product_sk", "category")
-    revenue = F.col("order_date").alias("transaction_date")
+    day = F.col("order_date").alias("transaction_date")
     if product_rows is not None and product_rows <= BROADCAST_ROWS:
         amounts = fact.join(F.broadcast(current), "product_sk")
-        return amounts.groupBy(revenue, "category").agg(
+        return amounts.groupBy(day, "category").agg(
             money_sum("transaction_amount").alias("total_revenue")
         )
-    exact = F.sum(F.col("transaction_amount").cast("decimal(18,2)"))
-    per_product = fact.groupBy(revenue, "product_sk").agg(exact.alias("_amount"))
+    per_product = fact.groupBy(day, "product_sk").agg(
+        exact_sum("transaction_amount").alias("_amount")
+    )
     return (
         per_product.join(current, "product_sk")
         .groupBy("transaction_date", "category")

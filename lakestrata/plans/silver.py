@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.cleaning import clean_customer_columns, is_blank
+from lakestrata.functions.cleaning import customer_cleaning, is_blank
 from lakestrata.functions.keys import fingerprint
 from lakestrata.functions.times import instant
 from lakestrata.operators.dedupe import latest_by
@@ -47,13 +47,13 @@ PRODUCT_HASH = (
 def customer_state(bronze_customers: DataFrame) -> DataFrame:
     """Latest version of every customer: cleaned, with the hash of its raw content."""
     latest = latest_by(bronze_customers, ["customer_id"])
-    return latest.select(
+    return latest.withColumn("row_hash", fingerprint(*CUSTOMER_HASH)).selectExpr(
         "customer_id",
-        *[column.alias(name) for name, column in clean_customer_columns().items()],
+        *[f"{cell} AS {name}" for name, cell in customer_cleaning().items()],
         "signup_date",
         "loyalty_tier",
-        F.col("_ingest_ts").alias("as_of_ingest_ts"),
-        fingerprint(*CUSTOMER_HASH).alias("row_hash"),
+        "_ingest_ts AS as_of_ingest_ts",
+        "row_hash",
     )
 
 
@@ -165,16 +165,14 @@ def fact_transaction(
         spread_by="transaction_id",
         dimension_rows=customer_rows,
     )
-    return linked.select(
+    return linked.selectExpr(
         "transaction_id",
         "customer_sk",
         "product_sk",
-        F.to_date("transaction_timestamp").alias("order_date"),
+        "to_date(transaction_timestamp) AS order_date",
         "transaction_timestamp",
         "transaction_amount",
         "quantity",
         "channel",
-        (F.col("customer_id").isNull() | F.col("customer_sk").isNull()).alias(
-            "is_anonymous_or_unlinked"
-        ),
+        "customer_id IS NULL OR customer_sk IS NULL AS is_anonymous_or_unlinked",
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.money import money_sum
 from lakestrata.values import BUCKET_EMAIL, BUCKET_MISSING_PRODUCT, BUCKET_OTHER
 
 
@@ -96,8 +97,7 @@ def sample_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def exact_total(df: DataFrame, amount: str) -> Column:
-    total = F.sum(F.col(amount).cast("decimal(18,2)")).cast("double")
-    return df.agg(F.round(total, 2)).scalar()
+    return df.agg(F.round(money_sum(amount), 2)).scalar()
 
 
 def reconcile_revenue(

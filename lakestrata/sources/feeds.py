@@ -98,22 +98,20 @@ def typed_rows(raw: DataFrame, feed: Feed) -> DataFrame:
     """
     reasons, typed = [], []
     for column in feed.columns:
-        cell = try_convert(column.name, column.dataType)
-        present = F.trim(F.col(column.name)) != ""
-        reasons.append(
-            F.when(present & cell.isNull(), F.lit(f"cast_failed:{column.name}"))
-        )
+        name, cell = column.name, try_convert(column.name, column.dataType)
+        typed.append(f"{cell} AS {name}")
+        if cell != name:
+            reasons.append(f"WHEN trim({name}) <> '' AND {cell} IS NULL THEN 'cast_failed:{name}'")
         if not column.nullable:
-            reasons.append(F.when(cell.isNull(), F.lit(f"required_null:{column.name}")))
-        typed.append(cell.alias(column.name))
-    reason = F.coalesce(*reasons)
-    text = F.to_json(F.struct(*[F.col(c.name) for c in feed.columns]))
-    cells = raw.select(
+            reasons.append(f"WHEN {cell} IS NULL THEN 'required_null:{name}'")
+    reason = f"CASE {' '.join(reasons)} END"
+    text = f"to_json(struct({', '.join(c.name for c in feed.columns)}))"
+    cells = raw.selectExpr(
         *typed,
         *_LINEAGE,
-        reason.alias("_reject_reason"),
-        F.when(reason.isNotNull(), text).alias("_raw_row"),
-        F.when(reason.isNotNull(), F.col(feed.business_key)).alias("_raw_key"),
+        f"{reason} AS _reject_reason",
+        f"IF({reason} IS NULL, NULL, {text}) AS _raw_row",
+        f"IF({reason} IS NULL, NULL, {feed.business_key}) AS _raw_key",
     )
     return add_fingerprint(cells, feed)
 
@@ -123,7 +121,7 @@ def add_fingerprint(rows: DataFrame, feed: Feed) -> DataFrame:
 
 
 def valid_rows(typed: DataFrame, feed: Feed) -> DataFrame:
-    return typed.filter(F.col("_reject_reason").isNull()).select(*feed.contract.names)
+    return typed.filter("_reject_reason IS NULL").select(*feed.contract.names)
 
 
 def reject_rows(typed: DataFrame, feed: Feed) -> DataFrame:
@@ -131,12 +129,12 @@ def reject_rows(typed: DataFrame, feed: Feed) -> DataFrame:
 
     The key holds no path or time, so loading a folder again adds no rejects.
     """
-    return typed.filter(F.col("_reject_reason").isNotNull()).select(
+    return typed.filter("_reject_reason IS NOT NULL").select(
         F.lit(feed.name).alias("feed"),
         F.col("_raw_key").alias("business_key"),
         F.col("_reject_reason").alias("reason"),
         F.col("_raw_row").alias("raw_row"),
         "_source_path",
         "_ingest_ts",
-        fingerprint(F.lit(feed.name), F.col("_raw_row")).alias("_reject_key"),
+        fingerprint(f"'{feed.name}'", "_raw_row").alias("_reject_key"),
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.keys import fingerprint
@@ -32,8 +32,14 @@ TARGET_BEFORE = "2000-01-01"
 SOURCE_FROM = "1999-07-01"
 
 
+_COUNTED: dict[tuple[str, str], int] = {}
+
+
 def _rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    return table(spark, sf_dir, name).count()
+    """Row count of a base table; the tables do not change, so one look is enough."""
+    if (sf_dir, name) not in _COUNTED:
+        _COUNTED[sf_dir, name] = table(spark, sf_dir, name).count()
+    return _COUNTED[sf_dir, name]
 
 
 # ----------------------------------------------------------------- bronze
@@ -60,13 +66,12 @@ def row_key(spark, sf_dir):
 
 
 def _bronze_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Stored transactions (all but returns) and a later load (all but 'A' rows).
+    """Stored transactions (the online channel) and a later load of big quantities.
 
-    The store channel holds the returns; the load brings them as new rows and
-    re-reads rows already stored.
+    The load brings store rows as new ones and re-reads online rows.
     """
-    stored = feed.transactions_feed(spark, sf_dir).filter(F.col("channel") == "online")
-    later = feed.transactions_feed(spark, sf_dir, batch=3).filter(F.col("quantity") >= 25)
+    stored = feed.transactions_feed(spark, sf_dir).filter("channel = 'online'")
+    later = feed.transactions_feed(spark, sf_dir, "3").filter("quantity >= 25")
     return distinct_content(stored), distinct_content(later)
 
 
@@ -224,7 +229,7 @@ def scd2_history(spark, sf_dir):
     """First batch as the dimension, then the second batch as its changes."""
     rows = feed.customers_feed(spark, sf_dir)
     bound = _rows(spark, sf_dir, "customer")
-    first = rows.filter(F.col("_source_path") == "batch-1")
+    first = rows.filter("_source_path = 'batch-1'")
     dimension = silver.dim_customer(first, AS_OF, bound)
     incoming = silver.customer_state(rows)
     after = scd2_apply(
@@ -261,10 +266,10 @@ def ranked_orders(spark, sf_dir):
 
     Prices are rounded to thousands, so ties are many and cross the cuts.
     """
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_orderpriority",
-        (F.floor(F.col("o_totalprice") / 1000) * 1000).cast("double").alias("price"),
+        "CAST(floor(o_totalprice / 1000) * 1000 AS DOUBLE) AS price",
     )
     return rank_within(orders, "o_orderpriority", "price", "price_rank", group_rows=1000)
 
@@ -273,13 +278,8 @@ def _two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Facts of the target and of the source; the fact is computed once."""
     fact = stage(_fact(spark, sf_dir), "fact")
 
-    def day(text: str) -> Column:
-        return F.lit(text).cast("date")
-
-    before = fact.filter(
-        (F.col("channel") == "online") & (F.col("order_date") < day(TARGET_BEFORE))
-    )
-    return before, fact.filter(F.col("order_date") >= day(SOURCE_FROM))
+    before = fact.filter(f"channel = 'online' AND order_date < DATE'{TARGET_BEFORE}'")
+    return before, fact.filter(f"order_date >= DATE'{SOURCE_FROM}'")
 
 
 def _daily_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -351,7 +351,7 @@ def layer_summary(spark, sf_dir):
 
 def filter_limit(spark, sf_dir):
     """Filter, then the first rows of a total order."""
-    dear = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 100000)
+    dear = table(spark, sf_dir, "orders").filter("o_totalprice > 100000")
     return dear.orderBy("o_orderkey").limit(5)
 
 

@@ -8,7 +8,7 @@ table.  ``oracle.py`` states the same mapping in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.contracts import build_contracts, conform
@@ -19,21 +19,32 @@ CONTRACTS = build_contracts(id_type="bigint")
 FEEDS = feeds(CONTRACTS)
 AS_OF = "2024-02-01 00:00:00"
 
+# Stated, so that no job has to look into the files for them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lineage(batch: int | Column) -> list[Column]:
-    number = F.lit(batch) if isinstance(batch, int) else batch
-    source = F.concat(F.lit("batch-"), number.cast("string"))
+def _lineage(batch: str) -> list[str]:
     return [
-        F.to_timestamp(
-            F.concat(F.lit("2024-01-0"), number.cast("string"), F.lit(" 00:00:00"))
-        ).alias("_ingest_ts"),
-        source.alias("_source_path"),
-        source.alias("_source_name"),
-        F.lit(0).cast("bigint").alias("_source_size_bytes"),
+        f"CAST(concat('2024-01-0', {batch}, ' 00:00:00') AS TIMESTAMP) AS _ingest_ts",
+        f"concat('batch-', {batch}) AS _source_path",
+        f"concat('batch-', {batch}) AS _source_name",
+        "0L AS _source_size_bytes",
     ]
 
 
@@ -42,48 +53,34 @@ def _fingerprinted(rows: DataFrame, feed: Feed) -> DataFrame:
 
 
 def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer, some twice, and households again after a move."""
-
-    def balance_in(low: float, high: float) -> Column:
-        return F.col("c_acctbal").between(low, high)
-
-    def cells(city: Column, batch: int) -> Column:
-        return F.struct(
-            F.col("c_custkey").alias("customer_id"),
-            F.when(F.col("c_acctbal") >= -700, F.lit("Customer")).alias("first_name"),
-            F.substring_index("c_name", "#", -1).alias("last_name"),
-            F.when(balance_in(0, 299.99), F.lit(None))
-            .when(balance_in(300, 599.99), F.lit("  "))
-            .otherwise(F.concat(F.lit("user"), F.col("c_custkey"), F.lit("@example.com")))
-            .alias("email"),
-            city.alias("city"),
-            F.when(balance_in(900, 1199.99), F.lit(""))
-            .otherwise(F.substring("r_name", 1, 2))
-            .alias("state"),
-            F.date_add(
-                F.lit("2020-01-01").cast("date"),
-                F.floor(F.abs("c_acctbal") / 10).cast("int"),
-            ).alias("signup_date"),
-            F.col("c_mktsegment").alias("loyalty_tier"),
-            *_lineage(batch),
-        )
-
-    city = F.when(~balance_in(600, 899.99), F.col("n_name"))
-    first = cells(city, 1)
-    rows = F.array_compact(
-        F.array(
-            first,
-            F.when(balance_in(1200, 1499.99), first),
-            F.when(F.col("c_mktsegment") == "HOUSEHOLD", cells(F.lit("Moved"), 2)),
-        )
-    )
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    """Every customer, some twice, and households again after a move.
+
+    The copies leave one pass over the table as array elements.
+    """
+    copies = """explode(array_compact(array(
+        1,
+        IF(c_acctbal BETWEEN 1200 AND 1499.99, 1, NULL),
+        IF(c_mktsegment = 'HOUSEHOLD', 2, NULL)))) AS batch"""
     return _fingerprinted(
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.explode(rows).alias("row"))
-        .select("row.*"),
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("*", copies)
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "IF(c_acctbal >= -700, 'Customer', NULL) AS first_name",
+            "substring_index(c_name, '#', -1) AS last_name",
+            """CASE WHEN c_acctbal BETWEEN 0 AND 299.99 THEN NULL
+                    WHEN c_acctbal BETWEEN 300 AND 599.99 THEN '  '
+                    ELSE concat('user', c_custkey, '@example.com') END AS email""",
+            """CASE WHEN batch = 2 THEN 'Moved'
+                    WHEN c_acctbal BETWEEN 600 AND 899.99 THEN NULL
+                    ELSE n_name END AS city""",
+            "IF(c_acctbal BETWEEN 900 AND 1199.99, '', left(r_name, 2)) AS state",
+            "date_add(DATE'2020-01-01', CAST(floor(abs(c_acctbal) / 10) AS INT)) AS signup_date",
+            "c_mktsegment AS loyalty_tier",
+            *_lineage("batch"),
+        ),
         FEEDS["customers"],
     )
 
@@ -91,40 +88,36 @@ def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fingerprinted(
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") != 50)
-        .select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_retailprice").alias("price"),
-            F.date_add(
-                F.lit("2019-01-01").cast("date"), F.col("p_size") * 20
-            ).alias("created_date"),
-            *_lineage(1),
+        .filter("p_size <> 50")
+        .selectExpr(
+            "p_partkey AS product_id",
+            "p_name AS product_name",
+            "p_type AS category",
+            "p_brand AS brand",
+            "p_retailprice AS price",
+            "date_add(DATE'2019-01-01', p_size * 20) AS created_date",
+            *_lineage("1"),
         ),
         FEEDS["products"],
     )
 
 
 def transactions_feed(
-    spark: SparkSession, sf_dir: str, batch: int | Column | None = None
+    spark: SparkSession, sf_dir: str, batch: str = "IF(l_returnflag = 'R', 2, 1)"
 ) -> DataFrame:
     """Every line item; returned ones come a day later.  Ids repeat by nature."""
-    returned = F.when(F.col("l_returnflag") == "R", 2).otherwise(1)
-    orders = table(spark, sf_dir, "orders")
     return _fingerprinted(
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("transaction_id"),
-            F.when(F.col("o_totalprice") >= 6000, F.col("o_custkey")).alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").alias("transaction_amount"),
-            F.col("l_shipdate").cast("timestamp").alias("transaction_timestamp"),
-            F.when(F.col("l_returnflag") == "R", "store").otherwise("online").alias("channel"),
-            *_lineage(returned if batch is None else batch),
+        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "l_orderkey * 8 + l_linenumber AS transaction_id",
+            "IF(o_totalprice >= 6000, o_custkey, NULL) AS customer_id",
+            "l_partkey AS product_id",
+            "CAST(l_quantity AS INT) AS quantity",
+            "l_extendedprice AS transaction_amount",
+            "CAST(l_shipdate AS TIMESTAMP) AS transaction_timestamp",
+            "IF(l_returnflag = 'R', 'store', 'online') AS channel",
+            *_lineage(batch),
         ),
         FEEDS["transactions"],
     )
