@@ -7,7 +7,7 @@ to a write.  Parquet tables drop NOT NULL, so the check is part of ``conform``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +43,15 @@ class TableContract:
     partition: str | None = None
     partition_expr: str | None = None
     feed_columns: tuple[str, ...] = field(default=())
+    prefix: str = ""
+
+    @property
+    def schema(self) -> str:
+        return f"{self.prefix}{self.layer}"
 
     @property
     def table(self) -> str:
-        return f"{self.layer}.{self.name}"
+        return f"{self.schema}.{self.name}"
 
     @property
     def names(self) -> list[str]:
@@ -92,8 +97,8 @@ _LINEAGE = (
 )
 
 
-def build_contracts(id_type: str = "int") -> dict[str, TableContract]:
-    """All tables by ``layer.name``.
+def build_contracts(id_type: str = "int", prefix: str = "") -> dict[str, TableContract]:
+    """All tables by ``layer.name``; ``prefix`` goes before the schema names.
 
     Business ids are INT by default.  ``id_type="bigint"`` widens them for
     feeds with more than two billion keys; fingerprints do not change, because
@@ -242,7 +247,10 @@ def build_contracts(id_type: str = "int") -> dict[str, TableContract]:
             comment="Last successful run per layer, with the data time it reached",
         ),
     ]
-    return {contract.table: contract for contract in contracts}
+    return {
+        f"{contract.layer}.{contract.name}": replace(contract, prefix=prefix)
+        for contract in contracts
+    }
 
 
 def conform(df: DataFrame, contract: TableContract, stored: bool = False) -> DataFrame:
@@ -297,9 +305,9 @@ def create_statement(contract: TableContract) -> str:
     )
 
 
-def ensure_schemas(spark: SparkSession) -> None:
+def ensure_schemas(spark: SparkSession, prefix: str = "") -> None:
     for layer, comment in LAYER_COMMENTS.items():
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} COMMENT '{comment}'")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{layer} COMMENT '{comment}'")
 
 
 def ensure_tables(
@@ -311,11 +319,13 @@ def ensure_tables(
     its folder, so one location switch swaps all of them at once.  A merged one
     keeps its partitions in the catalog, where each can be switched alone.
     """
-    ensure_schemas(spark)
+    contracts = contracts or build_contracts()
+    for prefix in {contract.prefix for contract in contracts.values()}:
+        ensure_schemas(spark, prefix)
     setting = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(setting)
     try:
-        for contract in (contracts or build_contracts()).values():
+        for contract in contracts.values():
             by_listing = contract.partition and contract.refresh == "replace"
             spark.conf.set(setting, "false" if by_listing else "true")
             spark.sql(create_statement(contract))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakestrata.contracts import TableContract
 from lakestrata.operators.dedupe import latest_by, recency_order
@@ -49,11 +48,13 @@ def store_typed(
     rejects: TableContract,
     on_match: str,
 ) -> None:
-    """Write typed rows to bronze and to the reject table, parsing text once."""
-    typed = stage(typed, feed.name)
+    """Write typed rows to bronze and to the reject table.
+
+    Good and bad rows are deduplicated together and staged once, so the text
+    is read, typed and shuffled once for both tables.
+    """
+    keyed = typed.selectExpr("*", "coalesce(_reject_key, _bronze_row_key) AS _row")
+    rows = stage(latest_by(keyed, ["_row"], recency_order()[:2]), feed.name)
     mode = "update" if on_match == "touch" else "keep"
-    merge_table(spark, feed.contract, distinct_content(valid_rows(typed, feed)), mode)
-    bad = latest_by(
-        reject_rows(typed, feed), ["_reject_key"], [F.col("_source_path").asc()]
-    )
-    merge_table(spark, rejects, bad, "keep")
+    merge_table(spark, feed.contract, valid_rows(rows, feed), mode, staged=True)
+    merge_table(spark, rejects, reject_rows(rows, feed), "keep", staged=True)

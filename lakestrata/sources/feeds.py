@@ -96,24 +96,40 @@ def typed_rows(raw: DataFrame, feed: Feed) -> DataFrame:
     rejects its row with the name of the first such column; the load goes on.
     The text is kept for rejected rows only.
     """
-    reasons, typed = [], []
+    names = [c.name for c in feed.columns]
+    reasons = []
     for column in feed.columns:
-        name, cell = column.name, try_convert(column.name, column.dataType)
-        typed.append(f"{cell} AS {name}")
-        if cell != name:
-            reasons.append(f"WHEN trim({name}) <> '' AND {cell} IS NULL THEN 'cast_failed:{name}'")
+        name = column.name
+        if not isinstance(column.dataType, T.StringType):
+            reasons.append(
+                f"WHEN {name} IS NULL AND trim(_text.{name}) <> '' THEN 'cast_failed:{name}'"
+            )
         if not column.nullable:
-            reasons.append(f"WHEN {cell} IS NULL THEN 'required_null:{name}'")
-    reason = f"CASE {' '.join(reasons)} END"
-    text = f"to_json(struct({', '.join(c.name for c in feed.columns)}))"
+            reasons.append(f"WHEN {name} IS NULL THEN 'required_null:{name}'")
+    # One projection per step, so that no cell is converted more than once.
     cells = raw.selectExpr(
-        *typed,
+        *[f"{try_convert(c.name, c.dataType)} AS {c.name}" for c in feed.columns],
         *_LINEAGE,
-        f"{reason} AS _reject_reason",
-        f"IF({reason} IS NULL, NULL, {text}) AS _raw_row",
-        f"IF({reason} IS NULL, NULL, {feed.business_key}) AS _raw_key",
+        f"struct({', '.join(names)}) AS _text",
+    )
+    judged = cells.selectExpr(
+        *names,
+        *_LINEAGE,
+        f"CASE {' '.join(reasons)} END AS _reject_reason",
+        "_text",
+    )
+    kept_text = judged.selectExpr(
+        *names,
+        *_LINEAGE,
+        "_reject_reason",
+        "IF(_reject_reason IS NULL, NULL, to_json(_text)) AS _raw_row",
+        f"IF(_reject_reason IS NULL, NULL, _text.{feed.business_key}) AS _raw_key",
+    )
+    # A rejected row is known by its text: typed cells are NULL where it is bad.
+    return add_fingerprint(kept_text, feed).withColumn(
+        "_reject_key",
+        F.when(F.expr("_reject_reason IS NOT NULL"), fingerprint(f"'{feed.name}'", "_raw_row")),
     )
-    return add_fingerprint(cells, feed)
 
 
 def add_fingerprint(rows: DataFrame, feed: Feed) -> DataFrame:
@@ -136,5 +152,5 @@ def reject_rows(typed: DataFrame, feed: Feed) -> DataFrame:
         F.col("_raw_row").alias("raw_row"),
         "_source_path",
         "_ingest_ts",
-        fingerprint(f"'{feed.name}'", "_raw_row").alias("_reject_key"),
+        "_reject_key",
     )

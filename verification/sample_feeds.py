@@ -105,10 +105,16 @@ def products_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions_feed(
     spark: SparkSession, sf_dir: str, batch: str = "IF(l_returnflag = 'R', 2, 1)"
 ) -> DataFrame:
-    """Every line item; returned ones come a day later.  Ids repeat by nature."""
+    """Every line item; returned ones come a day later.  Ids repeat by nature.
+
+    Both tables grow with the data, so the join is a merge join at every scale.
+    """
     return _fingerprinted(
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(
+            table(spark, sf_dir, "orders").hint("merge"),
+            F.expr("l_orderkey = o_orderkey"),
+        )
         .selectExpr(
             "l_orderkey * 8 + l_linenumber AS transaction_id",
             "IF(o_totalprice >= 6000, o_custkey, NULL) AS customer_id",
