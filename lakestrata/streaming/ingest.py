@@ -42,7 +42,7 @@ def ingest_new_files(
     )
 
     def store(batch: DataFrame, _: int) -> None:
-        store_typed(spark, feed, typed_rows(batch, feed), rejects, "keep")
+        store_typed(batch.sparkSession, feed, typed_rows(batch, feed), rejects, "keep")
 
     query = (
         arriving.writeStream.foreachBatch(store)
@@ -51,3 +51,6 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; this one has to look at files anew.
+    for contract in (feed.contract, rejects):
+        spark.catalog.refreshTable(contract.table)
