@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from lakestrata.contracts import TableContract, build_contracts
 from lakestrata.operators.history import scd2_apply
-from lakestrata.operators.staging import stage
 from lakestrata.plans import gold, silver, validation
 from lakestrata.plans.bronze import load_feed
 from lakestrata.sinks.tables import append_run, append_table, merge_table, replace_table
@@ -85,7 +84,7 @@ def _refresh_dimension(spark: SparkSession, cfg: RunConfig, entity: str) -> None
         state = getattr(silver, f"{entity}_state")(bronze)
         dimension = scd2_apply(
             read_table(spark, contract),
-            stage(state, contract.name),
+            state,
             f"{entity}_id",
             f"{entity}_sk",
             cfg.as_of,

@@ -205,11 +205,14 @@ def quarantine_by_reason(spark, sf_dir):
     return validation.quarantine_by_reason(_quarantine(spark, sf_dir))
 
 
-def _fact(spark, sf_dir) -> DataFrame:
+def _fact(
+    spark, sf_dir, customers: DataFrame | None = None, products: DataFrame | None = None
+) -> DataFrame:
+    """The fact; queries that read a dimension again pass it in as written once."""
     return silver.fact_transaction(
         feed.transactions_feed(spark, sf_dir),
-        _dim_product(spark, sf_dir),
-        _dim_customer(spark, sf_dir),
+        _dim_product(spark, sf_dir) if products is None else products,
+        _dim_customer(spark, sf_dir) if customers is None else customers,
         _rows(spark, sf_dir, "part"),
         _rows(spark, sf_dir, "customer"),
     )
@@ -220,9 +223,10 @@ def fact_transaction(spark, sf_dir):
 
 
 def fact_enriched(spark, sf_dir):
-    return validation.fact_enriched(
-        _fact(spark, sf_dir), _dim_customer(spark, sf_dir), _dim_product(spark, sf_dir)
-    )
+    customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
+    products = stage(_dim_product(spark, sf_dir), "dim_product")
+    fact = _fact(spark, sf_dir, customers, products)
+    return validation.fact_enriched(fact, customers, products)
 
 
 def scd2_history(spark, sf_dir):
@@ -230,7 +234,7 @@ def scd2_history(spark, sf_dir):
     rows = feed.customers_feed(spark, sf_dir)
     bound = _rows(spark, sf_dir, "customer")
     first = rows.filter("_source_path = 'batch-1'")
-    dimension = silver.dim_customer(first, AS_OF, bound)
+    dimension = stage(silver.dim_customer(first, AS_OF, bound), "dim_customer")
     incoming = silver.customer_state(rows)
     after = scd2_apply(
         dimension, incoming, "customer_id", "customer_sk", "2024-03-01 00:00:00",
@@ -247,18 +251,19 @@ def daily_revenue(spark, sf_dir):
 
 
 def customer_spend_by_month(spark, sf_dir):
+    customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
     return gold.customer_spend_by_month(
-        _fact(spark, sf_dir),
-        _dim_customer(spark, sf_dir),
+        _fact(spark, sf_dir, customers=customers),
+        customers,
         _rows(spark, sf_dir, "customer"),
         _rows(spark, sf_dir, "lineitem"),
     )
 
 
 def category_sales_daily(spark, sf_dir):
-    return gold.category_sales_daily(
-        _fact(spark, sf_dir), _dim_product(spark, sf_dir), _rows(spark, sf_dir, "part")
-    )
+    products = stage(_dim_product(spark, sf_dir), "dim_product")
+    fact = _fact(spark, sf_dir, products=products)
+    return gold.category_sales_daily(fact, products, _rows(spark, sf_dir, "part"))
 
 
 def ranked_orders(spark, sf_dir):
@@ -274,10 +279,9 @@ def ranked_orders(spark, sf_dir):
     return rank_within(orders, "o_orderpriority", "price", "price_rank", group_rows=1000)
 
 
-def _two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _two_states(spark, sf_dir, **dimensions) -> tuple[DataFrame, DataFrame]:
     """Facts of the target and of the source; the fact is computed once."""
-    fact = stage(_fact(spark, sf_dir), "fact")
-
+    fact = stage(_fact(spark, sf_dir, **dimensions), "fact")
     before = fact.filter(f"channel = 'online' AND order_date < DATE'{TARGET_BEFORE}'")
     return before, fact.filter(f"order_date >= DATE'{SOURCE_FROM}'")
 
@@ -297,7 +301,7 @@ def gold_spend_upsert(spark, sf_dir):
     bounds = _rows(spark, sf_dir, "customer"), _rows(spark, sf_dir, "lineitem")
     target, source = (
         gold.customer_spend_by_month(fact, customers, *bounds)
-        for fact in _two_states(spark, sf_dir)
+        for fact in _two_states(spark, sf_dir, customers=customers)
     )
     return upsert(target, source, ["month", "customer_id"])
 
@@ -307,7 +311,7 @@ def gold_category_upsert(spark, sf_dir):
     bound = _rows(spark, sf_dir, "part")
     target, source = (
         gold.category_sales_daily(fact, products, bound)
-        for fact in _two_states(spark, sf_dir)
+        for fact in _two_states(spark, sf_dir, products=products)
     )
     return upsert(target, source, ["transaction_date", "category"])
 
@@ -321,13 +325,14 @@ def daily_change_set(spark, sf_dir):
 
 
 def reconcile_revenue(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    fact = stage(_fact(spark, sf_dir), "fact")
     return validation.reconcile_revenue(spark, fact, gold.daily_revenue(fact))
 
 
 def layer_summary(spark, sf_dir):
-    fact = stage(_fact(spark, sf_dir), "fact")
-    customers, products = _dim_customer(spark, sf_dir), _dim_product(spark, sf_dir)
+    customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
+    products = stage(_dim_product(spark, sf_dir), "dim_product")
+    fact = stage(_fact(spark, sf_dir, customers, products), "fact")
     return validation.layer_summary(
         spark,
         {
