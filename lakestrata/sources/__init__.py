@@ -9,7 +9,12 @@ from lakestrata.sources.feeds import (
     typed_rows,
     valid_rows,
 )
-from lakestrata.sources.tables import read_table, require_table, session_info
+from lakestrata.sources.tables import (
+    read_table,
+    register_views,
+    require_table,
+    session_info,
+)
 
 __all__ = [
     "Feed",
@@ -17,6 +22,7 @@ __all__ = [
     "feeds",
     "read_feed",
     "read_table",
+    "register_views",
     "reject_rows",
     "require_table",
     "session_info",

@@ -19,6 +19,13 @@ def read_table(spark: SparkSession, contract: TableContract) -> DataFrame:
     return spark.table(contract.table).select(*contract.names)
 
 
+def register_views(spark: SparkSession, contracts: dict[str, TableContract]) -> list[str]:
+    """A temporary view per table, named like it, with the contract columns only."""
+    for contract in contracts.values():
+        read_table(spark, contract).createOrReplaceTempView(contract.name)
+    return [contract.name for contract in contracts.values()]
+
+
 def session_info(spark: SparkSession) -> DataFrame:
     """Who is asking, and when."""
     return spark.range(1).select(
