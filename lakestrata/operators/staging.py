@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
@@ -17,6 +19,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     lost executors, it is read with column pruning, and its true size is known
     to the planner.
     """
-    path = f"{shared_folder(df.sparkSession)}/stages/{label}-{uuid4().hex}"
+    path = _new_path(df, label)
+    return _write_and_read(df, path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A stage for the length of a block, for callers that finish their writes in it.
+
+    Afterwards its files give way to an empty result, so that repeated loads do
+    not fill the shared folder.
+    """
+    path = _new_path(df, label)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        nothing = df.sparkSession.createDataFrame([], df.schema)
+        nothing.write.mode("overwrite").parquet(path)
+
+
+def _new_path(df: DataFrame, label: str) -> str:
+    return f"{shared_folder(df.sparkSession)}/stages/{label}-{uuid4().hex}"
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakestrata.contracts import TableContract
 from lakestrata.operators.dedupe import latest_by, recency_order
-from lakestrata.operators.staging import stage
+from lakestrata.operators.staging import staged
 from lakestrata.sinks.tables import merge_table
 from lakestrata.sources.feeds import Feed, read_feed, reject_rows, typed_rows, valid_rows
 from lakestrata.sources.tables import require_table
@@ -54,7 +54,7 @@ def store_typed(
     is read, typed and shuffled once for both tables.
     """
     keyed = typed.selectExpr("*", "coalesce(_reject_key, _bronze_row_key) AS _row")
-    rows = stage(latest_by(keyed, ["_row"], recency_order()[:2]), feed.name)
     mode = "update" if on_match == "touch" else "keep"
-    merge_table(spark, feed.contract, valid_rows(rows, feed), mode, staged=True)
-    merge_table(spark, rejects, reject_rows(rows, feed), "keep", staged=True)
+    with staged(latest_by(keyed, ["_row"], recency_order()[:2]), feed.name) as rows:
+        merge_table(spark, feed.contract, valid_rows(rows, feed), mode, stored=True)
+        merge_table(spark, rejects, reject_rows(rows, feed), "keep", stored=True)

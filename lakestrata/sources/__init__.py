@@ -10,6 +10,7 @@ from lakestrata.sources.feeds import (
     valid_rows,
 )
 from lakestrata.sources.tables import (
+    read_months,
     read_table,
     register_views,
     require_table,
@@ -21,6 +22,7 @@ __all__ = [
     "add_fingerprint",
     "feeds",
     "read_feed",
+    "read_months",
     "read_table",
     "register_views",
     "reject_rows",

@@ -19,6 +19,27 @@ def read_table(spark: SparkSession, contract: TableContract) -> DataFrame:
     return spark.table(contract.table).select(*contract.names)
 
 
+def read_months(
+    spark: SparkSession,
+    contract: TableContract,
+    first: str | None = None,
+    last: str | None = None,
+) -> DataFrame:
+    """The rows of whole months, ``first`` and ``last`` naming any day of theirs.
+
+    The table is partitioned by a month it derives from its rows, so other
+    months are not even listed.
+    """
+    require_table(spark, contract.table)
+    rows = spark.table(contract.table)
+    for bound, sign in ((first, ">="), (last, "<=")):
+        if bound:
+            rows = rows.filter(
+                f"{contract.partition} {sign} CAST(trunc(DATE'{bound}', 'MM') AS DATE)"
+            )
+    return rows.select(*contract.names)
+
+
 def register_views(spark: SparkSession, contracts: dict[str, TableContract]) -> list[str]:
     """A temporary view per table, named like it, with the contract columns only."""
     for contract in contracts.values():

@@ -1,13 +1,22 @@
 """Silver and gold rules on literal bronze rows, and the ordered run."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.contracts import conform
 from lakestrata.plans import gold, silver, validation
-from lakestrata.plans.run import HISTORY, RunConfig, run_layers, run_silver, validate
+from lakestrata.plans.run import (
+    HISTORY,
+    RunConfig,
+    run_gold,
+    run_layers,
+    run_silver,
+    validate,
+)
 from lakestrata.sinks import append_run, last_event_ts, merge_table, write_csv
-from lakestrata.sources import add_fingerprint, feeds, read_table
+from lakestrata.sources import add_fingerprint, feeds, read_months, read_table
 
 FEEDS = feeds()
 AS_OF = "2024-02-01 00:00:00"
@@ -309,6 +318,20 @@ def test_layers_run_twice_alike(spark, contracts, customers, products, transacti
     gold_mark = last_event_ts(spark, contracts["meta.layer_run_state"], "gold")
     assert gold_mark == "2024-02-01 10:00:00"
 
+    # Marts of recent months only: the same rows, older ones untouched.
+    fact_contract = contracts["silver.fact_transaction"]
+    recent = read_months(spark, fact_contract, first="2024-02-15")
+    assert rows(recent, "transaction_id") == [(7,)]
+    assert rows(read_months(spark, fact_contract, last="2024-01-15")) == rows(
+        read_table(spark, fact_contract).filter("order_date < '2024-02-01'")
+    )
+    marts = [contracts[f"gold.{m}"] for m in ("daily_revenue", "customer_spend_by_month")]
+    gold_rows = [rows(read_table(spark, m)) for m in marts]
+    run_gold(spark, replace(cfg, gold_from="2024-02-15"))
+    assert [rows(read_table(spark, m)) for m in marts] == gold_rows
+    with pytest.raises(ValueError, match="gold_from"):
+        run_gold(spark, replace(cfg, gold_from="2024-02-15", delete_missing=True))
+
     # A corrected customer arrives; history keeps the old version and its key.
     moved = customers.filter("_source_path = 'b'").select(*FEEDS["customers"].contract.feed_columns)
     write_csv(moved, f"{paths['customers']}/later")

@@ -7,7 +7,7 @@ from lakestrata.contracts import use_catalog
 from lakestrata.operators import latest_by, lookup, upsert_stored, with_surrogate_key
 from lakestrata.plans import gold
 from lakestrata.session import shared_folder
-from lakestrata.sources import read_table, register_views
+from lakestrata.sources import read_months, read_table, register_views
 
 
 @pytest.fixture
@@ -61,6 +61,12 @@ def test_filters_reach_the_files(fact, plan):
     assert "GreaterThanOrEqual(order_date,2024-03-01)" in plan(gold.daily_revenue(late))
 
 
+def test_months_prune_partitions(spark, contracts, plan):
+    text = plan(read_months(spark, contracts["silver.fact_transaction"], first="2024-02-15"))
+    assert "PartitionFilters: [isnotnull(_order_month" in text
+    assert ">= 2024-02-01)" in text
+
+
 def test_small_dimension_keeps_facts_in_place(spark, fact, plan):
     dim = spark.range(20).selectExpr("id AS product_sk", "'c' AS category", "TRUE AS is_current")
     text = plan(gold.category_sales_daily(fact, dim, 20), "simple")
