@@ -63,8 +63,8 @@ def test_filters_reach_the_files(fact, plan):
 
 def test_months_prune_partitions(spark, contracts, plan):
     text = plan(read_months(spark, contracts["silver.fact_transaction"], first="2024-02-15"))
-    assert "PartitionFilters: [isnotnull(_order_month" in text
-    assert ">= 2024-02-01)" in text
+    filters = next(line for line in text.splitlines() if "PartitionFilters" in line)
+    assert "_order_month" in filters and ">= 2024-02-01" in filters
 
 
 def test_small_dimension_keeps_facts_in_place(spark, fact, plan):
