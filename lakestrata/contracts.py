@@ -305,13 +305,20 @@ def create_statement(contract: TableContract) -> str:
     )
 
 
-def ensure_schemas(spark: SparkSession, prefix: str = "") -> None:
+def ensure_schemas(
+    spark: SparkSession, prefix: str = "", location: str | None = None
+) -> None:
+    """Create the layer schemas, in the warehouse or below a given folder."""
     for layer, comment in LAYER_COMMENTS.items():
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{layer} COMMENT '{comment}'")
+        schema = f"{prefix}{layer}"
+        place = f" LOCATION '{location}/{schema}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} COMMENT '{comment}'{place}")
 
 
 def ensure_tables(
-    spark: SparkSession, contracts: dict[str, TableContract] | None = None
+    spark: SparkSession,
+    contracts: dict[str, TableContract] | None = None,
+    location: str | None = None,
 ) -> None:
     """Create the schemas and all missing tables.
 
@@ -321,7 +328,7 @@ def ensure_tables(
     """
     contracts = contracts or build_contracts()
     for prefix in {contract.prefix for contract in contracts.values()}:
-        ensure_schemas(spark, prefix)
+        ensure_schemas(spark, prefix, location)
     setting = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(setting)
     try:

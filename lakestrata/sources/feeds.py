@@ -14,9 +14,15 @@ from lakestrata.functions.conversion import try_convert
 from lakestrata.functions.keys import fingerprint
 from lakestrata.functions.times import instant
 
-# The same options on the reading and the writing side, so that a quote inside
-# a value survives the round trip.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# The same options on the reading and the writing side, so that quotes and
+# outer blanks of a value survive the round trip.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 _LINEAGE = ["_ingest_ts", "_source_path", "_source_name", "_source_size_bytes"]
 

@@ -35,13 +35,13 @@ def load(spark, contracts, feed, path, **options):
 
 def test_quotes_survive_the_round_trip(spark, rows, tmp_path):
     df = spark.createDataFrame(
-        [(1, 'say "hi"', "a,b", "x", 1.5, "2024-01-01")],
+        [(1, 'say "hi"', "a,b", "  x ", 1.5, "2024-01-01")],
         "product_id int, product_name string, category string, brand string, "
         "price double, created_date string",
     )
     path = write_csv(df, str(tmp_path / "out"))
     back = read_feed(spark, feeds()["products"], path)
-    assert rows(back, *df.columns) == [("1", 'say "hi"', "a,b", "x", "1.5", "2024-01-01")]
+    assert rows(back, *df.columns) == [("1", 'say "hi"', "a,b", "  x ", "1.5", "2024-01-01")]
 
 
 def test_lineage_names_the_file(spark, tmp_path):

@@ -293,6 +293,13 @@ def _upserted(before: str, after: str, keys: tuple[str, ...]) -> str:
     )
 
 
+# An empty text does not survive CSV: it comes back as NULL, under the same key.
+_CUSTOMER_CONTENT = """
+    SELECT DISTINCT customer_id, first_name, last_name, email, city,
+           nullif(state, '') AS state, signup_date, loyalty_tier, _bronze_row_key
+    FROM customers
+"""
+
 _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "feed_customers": (("customers",), "SELECT * FROM customers"),
     "feed_products": (("products",), "SELECT * FROM products"),
@@ -499,6 +506,13 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
                (SELECT count(*) FROM category) AS n_cat_day
         """,
     ),
+    "load_feed": (("customers",), _CUSTOMER_CONTENT),
+    "file_ingest": (("customers",), _CUSTOMER_CONTENT),
+    "replace_table": (("dim_customer",), "SELECT * FROM dim_customer"),
+    "merge_table": (
+        ("spend_before", "spend_after"),
+        _upserted("spend_before", "spend_after", ("month", "customer_id")),
+    ),
     "filter_limit": (
         (),
         "SELECT * FROM orders WHERE o_totalprice > 100000 ORDER BY o_orderkey LIMIT 5",

@@ -7,10 +7,12 @@ they decide between the one-task and the distributed way of an operator.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.contracts import TableContract, build_contracts, ensure_tables
 from lakestrata.functions.keys import fingerprint
 from lakestrata.operators.changes import change_set, incremental_since
 from lakestrata.operators.dedupe import latest_by
@@ -20,7 +22,11 @@ from lakestrata.operators.ranking import rank_within
 from lakestrata.operators.sequence import with_surrogate_key
 from lakestrata.operators.staging import stage
 from lakestrata.plans import gold, silver, validation
-from lakestrata.plans.bronze import distinct_content
+from lakestrata.plans.bronze import distinct_content, load_feed
+from lakestrata.session import shared_folder
+from lakestrata.sinks import merge_table, replace_table, write_csv
+from lakestrata.sources import feeds, read_table
+from lakestrata.streaming import ingest_new_files
 from verification import sample_feeds as feed
 from verification.sample_feeds import AS_OF, FEEDS, table
 
@@ -324,6 +330,71 @@ def daily_change_set(spark, sf_dir):
     )
 
 
+# ----------------------------------------------------------------- tables
+#
+# The same results by way of stored tables, in schemas of their own below the
+# shared folder.
+
+
+def _tables(spark, *names: str) -> dict[str, TableContract]:
+    contracts = build_contracts("bigint", prefix=f"q{uuid4().hex[:12]}_")
+    ensure_tables(
+        spark,
+        {name: contracts[name] for name in names},
+        f"{shared_folder(spark)}/schemas",
+    )
+    return contracts
+
+
+def _customer_csv(spark, sf_dir) -> tuple[str, list[str]]:
+    columns = list(FEEDS["customers"].contract.feed_columns)
+    path = f"{shared_folder(spark)}/feeds/customers-{uuid4().hex}"
+    return write_csv(feed.customers_feed(spark, sf_dir).select(*columns), path), columns
+
+
+def load_feed_twice(spark, sf_dir):
+    """The customer feed as CSV, loaded twice: every content once."""
+    contracts = _tables(spark, "bronze.customers", "bronze.feed_rejects")
+    customers = feeds(contracts)["customers"]
+    path, columns = _customer_csv(spark, sf_dir)
+    for _ in range(2):
+        load_feed(spark, customers, path, contracts["bronze.feed_rejects"])
+    return read_table(spark, customers.contract).select(*columns, "_bronze_row_key")
+
+
+def file_ingest(spark, sf_dir):
+    """The same files by way of the stream, called twice."""
+    contracts = _tables(spark, "bronze.customers", "bronze.feed_rejects")
+    customers = feeds(contracts)["customers"]
+    path, columns = _customer_csv(spark, sf_dir)
+    checkpoint = f"{shared_folder(spark)}/streams/{uuid4().hex}"
+    for _ in range(2):
+        ingest_new_files(
+            spark, customers, path, contracts["bronze.feed_rejects"], checkpoint
+        )
+    return read_table(spark, customers.contract).select(*columns, "_bronze_row_key")
+
+
+def replace_table_twice(spark, sf_dir):
+    """The customer dimension, stored over an earlier state of itself."""
+    contract = _tables(spark, "silver.dim_customer")["silver.dim_customer"]
+    dimension = _dim_customer(spark, sf_dir)
+    replace_table(spark, contract, dimension.filter("city = 'Moved'"))
+    replace_table(spark, contract, dimension)
+    return _open_end_as_text(read_table(spark, contract))
+
+
+def merge_table_by_month(spark, sf_dir):
+    """Both states of the spend mart, merged one after the other."""
+    name = "gold.customer_spend_by_month"
+    contract = _tables(spark, name)[name]
+    customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
+    bounds = _rows(spark, sf_dir, "customer"), _rows(spark, sf_dir, "lineitem")
+    for fact in _two_states(spark, sf_dir, customers=customers):
+        merge_table(spark, contract, gold.customer_spend_by_month(fact, customers, *bounds))
+    return read_table(spark, contract)
+
+
 def reconcile_revenue(spark, sf_dir):
     fact = stage(_fact(spark, sf_dir), "fact")
     return validation.reconcile_revenue(spark, fact, gold.daily_revenue(fact))
@@ -396,5 +467,9 @@ QUERIES: dict[str, Query] = {
     "change_set": daily_change_set,
     "reconcile_revenue": reconcile_revenue,
     "layer_summary": layer_summary,
+    "load_feed": load_feed_twice,
+    "file_ingest": file_ingest,
+    "replace_table": replace_table_twice,
+    "merge_table": merge_table_by_month,
     "filter_limit": filter_limit,
 }
