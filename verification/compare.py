@@ -17,17 +17,30 @@ from lakestrata.session import local_session
 from verification.oracle import ORACLE_SQL
 from verification.queries import QUERIES
 
-Rows = tuple[list[str], Counter]
-
-
-def _counted(columns: list[str], rows: list[tuple]) -> Rows:
+Rows = tuple[list[tuple[str, str]], Counter]
+
+# Names of the same type on both sides.
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _counted(columns: list[tuple[str, str]], rows: list[tuple]) -> Rows:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cells = Counter(tuple(repr(row[i]) for i in order) for row in rows)
     return [columns[i] for i in order], cells
 
 
 def spark_rows(df: DataFrame) -> Rows:
-    return _counted(df.columns, [tuple(row) for row in df.collect()])
+    columns = [(name, TYPES.get(kind, kind)) for name, kind in df.dtypes]
+    return _counted(columns, [tuple(row) for row in df.collect()])
 
 
 def oracle_rows(sf_dir: str, sql: str) -> Rows:
@@ -38,14 +51,15 @@ def oracle_rows(sf_dir: str, sql: str) -> Rows:
                 f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')"
             )
         result = connection.execute(sql)
-        return _counted([c[0] for c in result.description], result.fetchall())
+        columns = [(c[0], str(c[1])) for c in result.description]
+        return _counted(columns, result.fetchall())
 
 
 def difference(spark: SparkSession, sf_dir: str, name: str) -> str | None:
     """What differs between the two results, or None."""
     ours, theirs = spark_rows(QUERIES[name](spark, sf_dir)), oracle_rows(sf_dir, ORACLE_SQL[name])
     if ours[0] != theirs[0]:
-        return f"columns {ours[0]} / {theirs[0]}"
+        return f"columns {set(ours[0]) ^ set(theirs[0])}"
     only_ours, only_theirs = ours[1] - theirs[1], theirs[1] - ours[1]
     if only_ours or only_theirs:
         return (
