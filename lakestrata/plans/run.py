@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from lakestrata.contracts import TableContract, build_contracts
 from lakestrata.operators.history import scd2_apply
 from lakestrata.plans import gold, silver, validation
 from lakestrata.plans.bronze import load_feed
+from lakestrata.session import side_by_side
 from lakestrata.sinks.tables import append_run, append_table, merge_table, replace_table
 from lakestrata.sources.feeds import feeds
 from lakestrata.sources.tables import read_months, read_table
@@ -73,16 +71,6 @@ def _newest_ingest(spark: SparkSession, cfg: RunConfig) -> str | None:
     return both.agg(F.max("ts").cast("string")).first()[0]
 
 
-def _side_by_side(steps: list[Callable[[], None]]) -> None:
-    """Steps that write different tables, submitted together.
-
-    Their Spark jobs share the cluster, so one's last tasks do not idle it.
-    """
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
-            done.result()
-
-
 def run_bronze(spark: SparkSession, cfg: RunConfig) -> None:
     rejects = cfg.contracts["bronze.feed_rejects"]
     for name, feed in feeds(cfg.contracts).items():
@@ -115,8 +103,9 @@ def _refresh_dimension(spark: SparkSession, cfg: RunConfig, entity: str) -> None
 def run_silver(spark: SparkSession, cfg: RunConfig) -> None:
     """Dimensions first: the fact reads the keys just written."""
     cfg = cfg.stamped(spark)
-    _side_by_side(
-        [partial(_refresh_dimension, spark, cfg, e) for e in ("customer", "product")]
+    side_by_side(
+        spark,
+        [partial(_refresh_dimension, spark, cfg, e) for e in ("customer", "product")],
     )
     transactions = _read(spark, cfg, "bronze.transactions")
     products = _read(spark, cfg, "bronze.products")
@@ -161,7 +150,7 @@ def run_gold(spark: SparkSession, cfg: RunConfig) -> None:
         contract, mart = cfg.contracts[table], marts[table]()
         merge_table(spark, contract, mart, delete_missing=cfg.delete_missing)
 
-    _side_by_side([partial(refresh, table) for table in marts])
+    side_by_side(spark, [partial(refresh, table) for table in marts])
     reached = fact.agg(F.max("transaction_timestamp").cast("string")).first()[0]
     _log(spark, cfg, "gold", reached)
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 # Runtime settings the operators were designed for.  Shuffle partition counts
 # and memory are the cluster's business: AQE coalesces and splits from there.
@@ -35,6 +38,19 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return spark
 
 
+def side_by_side(
+    spark: SparkSession, steps: Iterable[Callable[[], object]], at_once: int = 8
+) -> None:
+    """Run independent steps together and wait for all of them.
+
+    Their Spark jobs share the cluster, so one's last tasks do not idle it.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
