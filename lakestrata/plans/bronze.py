@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from contextlib import ExitStack
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakestrata.contracts import TableContract
 from lakestrata.operators.dedupe import latest_by, recency_order
 from lakestrata.operators.staging import staged
+from lakestrata.session import side_by_side
 from lakestrata.sinks.tables import merge_table
 from lakestrata.sources.feeds import Feed, read_feed, reject_rows, typed_rows, valid_rows
 from lakestrata.sources.tables import require_table
@@ -34,27 +38,51 @@ def load_feed(
     key: a corrected record is a new row.  Keep is the mode for folders that
     still hold old files, and the cheap one: it only appends.
     """
-    if on_match not in ("touch", "keep"):
-        raise ValueError(f"on_match must be 'touch' or 'keep', not {on_match!r}")
-    require_table(spark, feed.contract.table)
-    raw = read_feed(spark, feed, path, ingest_ts)
-    store_typed(spark, feed, typed_rows(raw, feed), rejects, on_match)
+    load_feeds(spark, [(feed, path)], rejects, on_match, ingest_ts)
+
+
+def load_feeds(
+    spark: SparkSession,
+    sources: Sequence[tuple[Feed, str]],
+    rejects: TableContract,
+    on_match: str = "touch",
+    ingest_ts: str | datetime | Column | None = None,
+) -> None:
+    """Load several feeds, which do not depend on each other, side by side."""
+    for feed, _ in sources:
+        require_table(spark, feed.contract.table)
+    typed = [
+        (feed, typed_rows(read_feed(spark, feed, path, ingest_ts), feed))
+        for feed, path in sources
+    ]
+    store_typed(spark, typed, rejects, on_match)
 
 
 def store_typed(
     spark: SparkSession,
-    feed: Feed,
-    typed: DataFrame,
+    typed: Sequence[tuple[Feed, DataFrame]],
     rejects: TableContract,
     on_match: str,
 ) -> None:
-    """Write typed rows to bronze and to the reject table.
+    """Write typed rows to their bronze tables and all rejects to one table.
 
     Good and bad rows are deduplicated together and staged once, so the text
     is read, typed and shuffled once for both tables.
     """
-    keyed = typed.selectExpr("*", "coalesce(_reject_key, _bronze_row_key) AS _row")
+    if on_match not in ("touch", "keep"):
+        raise ValueError(f"on_match must be 'touch' or 'keep', not {on_match!r}")
     mode = "update" if on_match == "touch" else "keep"
-    with staged(latest_by(keyed, ["_row"], recency_order()[:2]), feed.name) as rows:
-        merge_table(spark, feed.contract, valid_rows(rows, feed), mode, stored=True)
-        merge_table(spark, rejects, reject_rows(rows, feed), "keep", stored=True)
+    with ExitStack() as stages:
+        bad: list[DataFrame] = []
+
+        def store(feed: Feed, rows: DataFrame) -> None:
+            keyed = rows.selectExpr("*", "coalesce(_reject_key, _bronze_row_key) AS _row")
+            distinct = latest_by(keyed, ["_row"], recency_order()[:2])
+            stored = stages.enter_context(staged(distinct, feed.name))
+            merge_table(spark, feed.contract, valid_rows(stored, feed), mode, stored=True)
+            bad.append(reject_rows(stored, feed))
+
+        side_by_side(spark, [partial(store, feed, rows) for feed, rows in typed])
+        if bad:
+            all_bad = reduce(DataFrame.unionByName, bad)
+            merge_table(spark, rejects, all_bad, "keep", stored=True)

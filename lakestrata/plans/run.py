@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakestrata.contracts import TableContract, build_contracts
 from lakestrata.operators.history import scd2_apply
 from lakestrata.plans import gold, silver, validation
-from lakestrata.plans.bronze import load_feed
+from lakestrata.plans.bronze import load_feeds
 from lakestrata.session import side_by_side
 from lakestrata.sinks.tables import append_run, append_table, merge_table, replace_table
 from lakestrata.sources.feeds import feeds
@@ -73,11 +73,12 @@ def _newest_ingest(spark: SparkSession, cfg: RunConfig) -> str | None:
 
 def run_bronze(spark: SparkSession, cfg: RunConfig) -> None:
     rejects = cfg.contracts["bronze.feed_rejects"]
-    for name, feed in feeds(cfg.contracts).items():
-        if name in cfg.feed_paths:
-            load_feed(
-                spark, feed, cfg.feed_paths[name], rejects, cfg.on_match, cfg.as_of
-            )
+    sources = [
+        (feed, cfg.feed_paths[name])
+        for name, feed in feeds(cfg.contracts).items()
+        if name in cfg.feed_paths
+    ]
+    load_feeds(spark, sources, rejects, cfg.on_match, cfg.as_of)
     _log(spark, cfg, "bronze", _newest_ingest(spark, cfg))
 
 

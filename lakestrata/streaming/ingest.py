@@ -42,7 +42,8 @@ def ingest_new_files(
     )
 
     def store(batch: DataFrame, _: int) -> None:
-        store_typed(batch.sparkSession, feed, typed_rows(batch, feed), rejects, "keep")
+        rows = typed_rows(batch, feed)
+        store_typed(batch.sparkSession, [(feed, rows)], rejects, "keep")
 
     query = (
         arriving.writeStream.foreachBatch(store)
