@@ -196,7 +196,9 @@ def validate(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
         "quarantine_by_reason": validation.quarantine_by_reason(
             _read(spark, cfg, "silver.quarantine_rows")
         ),
-        "fact_enriched": validation.fact_enriched(fact, customers, products),
+        "fact_enriched": validation.fact_enriched(
+            fact, customers, products, customers.count(), products.count()
+        ),
         "reconcile_revenue": validation.reconcile_revenue(spark, fact, daily),
         "summary": summary(spark, cfg),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.money import money_sum
+from lakestrata.operators.joins import lookup
 from lakestrata.values import BUCKET_EMAIL, BUCKET_MISSING_PRODUCT, BUCKET_OTHER
 
 
@@ -72,22 +73,30 @@ def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
 
 
 def fact_enriched(
-    fact: DataFrame, customers: DataFrame, products: DataFrame
+    fact: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    customer_rows: int | None = None,
+    product_rows: int | None = None,
 ) -> DataFrame:
     """Facts with the current customer name (if linked) and product category."""
     names = customers.filter("is_current").select("customer_sk", "customer_name")
     categories = products.filter("is_current").select("product_sk", "category")
-    return (
-        fact.join(categories, "product_sk")
-        .join(names, "customer_sk", "left")
-        .select(
-            "transaction_id",
-            "order_date",
-            "customer_name",
-            "category",
-            "transaction_amount",
-            "is_anonymous_or_unlinked",
-        )
+    with_category = lookup(fact, categories, "product_sk", dimension_rows=product_rows)
+    return lookup(
+        with_category,
+        names,
+        "customer_sk",
+        "left",
+        spread_by="transaction_id",
+        dimension_rows=customer_rows,
+    ).select(
+        "transaction_id",
+        "order_date",
+        "customer_name",
+        "category",
+        "transaction_amount",
+        "is_anonymous_or_unlinked",
     )
 
 

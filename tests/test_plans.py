@@ -1,10 +1,14 @@
 """Physical plans: what is read, what is shuffled, what skew does."""
 
+from pathlib import Path
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.contracts import use_catalog
 from lakestrata.operators import latest_by, lookup, upsert_stored, with_surrogate_key
+from lakestrata.operators.staging import staged
 from lakestrata.plans import gold
 from lakestrata.session import shared_folder
 from lakestrata.sources import read_months, read_table, register_views
@@ -126,6 +130,24 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_has_to_name_the_folder():
+    class Unset:
+        conf = SimpleNamespace(get=lambda name, default: default)
+        sparkContext = SimpleNamespace(
+            getCheckpointDir=lambda: None, master="spark://somewhere:7077"
+        )
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Unset())
+
+
+def test_stages_leave_nothing_behind(spark):
+    with staged(spark.range(10), "test") as rows:
+        assert rows.count() == 10
+        files = rows.inputFiles()
+    assert not any(Path(file.removeprefix("file://")).exists() for file in files)
+
+
 def test_views_and_current_schema(spark, contracts):
     names = register_views(spark, contracts)
     assert spark.sql("SELECT * FROM fact_transaction").columns == read_table(

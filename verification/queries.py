@@ -232,7 +232,13 @@ def fact_enriched(spark, sf_dir):
     customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
     products = stage(_dim_product(spark, sf_dir), "dim_product")
     fact = _fact(spark, sf_dir, customers, products)
-    return validation.fact_enriched(fact, customers, products)
+    return validation.fact_enriched(
+        fact,
+        customers,
+        products,
+        _rows(spark, sf_dir, "customer"),
+        _rows(spark, sf_dir, "part"),
+    )
 
 
 def scd2_history(spark, sf_dir):
