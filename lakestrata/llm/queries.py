@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestrata.llm import merge_replay
+from lakestrata.llm import exact_dedup, language, merge_replay, quality, secret_scan
+from lakestrata.llm.samples import id_remainder, is_remainder
+from lakestrata.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -16,16 +20,66 @@ RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable:
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(ship(spark), sf_dir)
+
+    QUERIES[run.__name__] = with_code
+    return with_code
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(scored: DataFrame, modulus: int, value: int) -> DataFrame:
+    first, *rest = scored.columns
+    return scored.select(first, is_remainder("doc_id", modulus, value).alias("held_out"), *rest)
+
+
+@query
+def op2_quality_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 5) != 0)
+    model = quality.fit(docs, labels, "quality")
+    return held_out(quality.score_quality(docs, model, 0.3), 5, 0)
+
+
 @query
 def op3_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.token_digests(
         table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN
     )
+
+
+@query
+def op6_exact_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+ORACLE_SQL["op6_exact_dedup_stream"] = """
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t
+  FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
+       sha256(t) AS text_sha256
+FROM texts
+"""
+
+
+@query
+def op8_secret_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(language.learnable(docs, 4, 2))
+    return held_out(language.predict_language(docs, model), 4, 2)
