@@ -24,6 +24,8 @@ _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStorePro
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": _PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Many small stores: no disk set aside for their logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
