@@ -76,7 +76,7 @@ class TokenCache:
         self._reset()
 
     def _reset(self) -> None:
-        self.numbering, self.ids = Numbering(), Ragged(np.uint16)
+        self.numbering, self.ids = Numbering(), Ragged(np.uint32)
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.numbering) > self.limit:

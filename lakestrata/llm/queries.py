@@ -9,13 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import exact_dedup, language, merge_replay, quality, secret_scan
+from lakestrata.llm import (
+    exact_dedup,
+    language,
+    merge_replay,
+    quality,
+    secret_scan,
+    token_shards,
+    toxicity,
+)
 from lakestrata.llm.samples import id_remainder, is_remainder
 from lakestrata.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -37,6 +46,14 @@ def held_out(scored: DataFrame, modulus: int, value: int) -> DataFrame:
     return scored.select(first, is_remainder("doc_id", modulus, value).alias("held_out"), *rest)
 
 
+@query
+def op1_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 5) != 0)
+    model = toxicity.fit(docs, labels, "toxic")
+    return held_out(toxicity.score_toxicity(docs, model, 0.5), 5, 0)
+
+
 @query
 def op2_quality_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -52,6 +69,13 @@ def op3_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.token_file_digests(
+        table(spark, sf_dir, "documents"), TOKENIZER_FILE, end_id=2
+    )
+
+
 @query
 def op6_exact_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).select(
