@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm import (
     exact_dedup,
+    jaccard,
     language,
     merge_replay,
     quality,
@@ -97,6 +98,12 @@ FROM texts
 """
 
 
+@query
+def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = jaccard.Settings(words=3, percent=90, slack=1.0)
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), settings)
+
+
 @query
 def op8_secret_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
