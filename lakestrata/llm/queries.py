@@ -14,6 +14,7 @@ from lakestrata.llm import (
     jaccard,
     language,
     merge_replay,
+    near_vectors,
     quality,
     secret_scan,
     token_shards,
@@ -109,6 +110,11 @@ def op8_secret_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_vector_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.vector_components(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_language_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
