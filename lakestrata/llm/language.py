@@ -66,8 +66,8 @@ def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarra
         numbering, features = Numbering(), Ragged(np.int32)
         found, seen = np.zeros(buckets, np.int64), 0
         for batch in batches:
-            for part in slices(batch["text"]):
-                if len(numbering) > 400_000:
+            for part in slices(batch["text"], 4_000_000):
+                if len(numbering) > 300_000:
                     numbering, features = Numbering(), Ragged(np.int32)
                 rows = [numbering.numbers(list(set(t.lower().split()))) for t in part]
                 if fresh := numbering.take():
@@ -174,11 +174,11 @@ def language(text: Column, model: LanguageModel) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         s = shared.settings
-        sums = WordSums(shared.weights, s.orders, lower=True)
+        sums = WordSums(shared.weights, s.orders, lower=True, limit=400_000)
         names = np.array(shared.languages, object)
         for texts in batches:
             names_out, scores = [], []
-            for part in slices(texts, 8_000_000):
+            for part in slices(texts, 4_000_000):
                 p = shared.probabilities(sums.of(part))
                 known = np.array([bool(_LETTER.search(t)) for t in part], bool)
                 names_out.append(np.where(known, names[p.argmax(axis=1)], UNDETERMINED))

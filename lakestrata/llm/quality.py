@@ -110,10 +110,10 @@ def quality(text: Column, model: QualityModel) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         sums = WordSums(
-            margins[:-1], s.orders, whole=True, pair=margins[-1], pair_count=s.pairs
+            margins[:-1], s.orders, whole=True, pair=margins[-1], pair_count=s.pairs, limit=400_000
         )
         for texts in batches:
-            parts = [bare.scores(sums.of(part)) for part in slices(texts, 8_000_000)]
+            parts = [bare.scores(sums.of(part)) for part in slices(texts, 4_000_000)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(text)
