@@ -217,10 +217,13 @@ def bpe_text(ids: Column, path: str, pattern: str) -> Column:
     return decode(ids)
 
 
-def round_trip(text: Column, path: str, pattern: str) -> Column:
-    """Encode and decode in one pass: struct of token count and two digests."""
+def round_trip(text: Column, path: str, pattern: str, with_ids: bool = False) -> Column:
+    """Encode and decode in one pass: struct of token count, two digests, and ``ids``."""
+    fields = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
+    fields += ["ids array<int>"] * with_ids
+    names = [f.split()[0] for f in fields]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf(", ".join(fields))
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(path, pattern)
         for texts in batches:
@@ -233,9 +236,10 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
                             len(ids),
                             hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                             hashlib.sha256(decoded).hexdigest(),
+                            *([ids.astype(np.int32)] if with_ids else []),
                         )
                     )
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.DataFrame(rows, columns=names)
 
     return digest(text)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from lakestrata.llm import (
     jaccard,
     language,
     merge_replay,
+    mixing,
     near_vectors,
     quality,
     secret_scan,
@@ -48,6 +50,11 @@ def held_out(scored: DataFrame, modulus: int, value: int) -> DataFrame:
     return scored.select(first, is_remainder("doc_id", modulus, value).alias("held_out"), *rest)
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op1_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +78,11 @@ def op3_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_mix_by_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.token_file_digests(
