@@ -30,9 +30,9 @@ def customer_cleaning() -> dict[str, str]:
         f"'{IMPUTED_EMAIL_PREFIX}' || CAST(customer_id AS STRING) || '{IMPUTED_EMAIL_SUFFIX}'"
     )
     return {
-        "first_name": f"trim(ifnull(first_name, '{UNKNOWN_NAME}'))",
-        "last_name": f"trim(ifnull(last_name, '{UNKNOWN_NAME}'))",
-        "customer_name": "trim(concat_ws(' ', ifnull(first_name, ''), ifnull(last_name, '')))",
+        "first_name": f"trim(coalesce(first_name, '{UNKNOWN_NAME}'))",
+        "last_name": f"trim(coalesce(last_name, '{UNKNOWN_NAME}'))",
+        "customer_name": "trim(concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')))",
         "email": _or_default("email", imputed),
         "email_raw": "email",
         "city": _or_default("city", f"'{UNKNOWN_CITY}'"),

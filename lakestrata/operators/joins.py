@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.keys import salted
-from lakestrata.values import BROADCAST_ROWS
 
 # Slots NULL keys are spread over; they match nothing wherever they go.
 NULL_SLOTS = 1024
@@ -18,18 +17,13 @@ def lookup(
     key: str,
     how: str = "inner",
     spread_by: str | None = None,
-    dimension_rows: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a dimension that holds each key at most once.
 
-    ``dimension_rows`` is a counted upper bound on the dimension; when it is
-    small enough the dimension is sent to every executor.  Otherwise Spark
-    chooses from the measured sizes, and where it shuffles, AQE splits the
-    partition of a hot key.  Rows without a key all hash alike, so for joins
+    Spark chooses the join from the sizes in bytes it measures, and where it
+    shuffles, AQE splits the partition of a hot key.  Rows without a key all hash alike, so for joins
     that keep them, ``spread_by`` deals them out over many partitions.
     """
-    if dimension_rows is not None and dimension_rows <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(dimension), key, how)
     if spread_by is None or how == "inner":
         return rows.join(dimension, key, how)
     salt = salted(f"{key} IS NULL", spread_by, NULL_SLOTS)
@@ -45,10 +39,9 @@ def without_match(
     other: DataFrame,
     key: str,
     spread_by: str,
-    other_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose key is not in ``other``; a NULL key has no match and stays.
 
     No distinct step on ``other``: an anti join asks only whether a key exists.
     """
-    return lookup(rows, other.select(key), key, "left_anti", spread_by, other_rows)
+    return lookup(rows, other.select(key), key, "left_anti", spread_by)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakestrata.operators.staging import stage
-from lakestrata.values import SINGLE_TASK_ROWS
 
 # monotonically_increasing_id keeps the row number inside a partition in its
 # lower bits and the partition number above them.
@@ -18,23 +17,16 @@ def with_surrogate_key(
     df: DataFrame,
     order: str,
     name: str,
-    row_bound: int | None = None,
     start: Column | int = 0,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Number the rows by ``order``, a column without duplicates.
 
-    With a counted ``row_bound`` that one task can sort, a plain window does.
-    Otherwise rows are placed in ranges of ``order``, sorted and numbered
-    inside each range, and shifted by the sizes of the ranges before: one
-    shuffle, no single task.  The placed rows are written once, so both passes
+    Rows are placed in ranges of ``order``, sorted and numbered inside each
+    range, and shifted by the sizes of the ranges before: one shuffle, no
+    single task.  The placed rows are written once, so both passes
     see the same ranges whatever is recomputed later.
     """
     base = F.lit(start) if isinstance(start, int) else start
-    if row_bound is not None and row_bound <= single_task_rows:
-        number = F.row_number().over(Window.orderBy(F.col(order).asc_nulls_first()))
-        return df.withColumn(name, (base + number).cast("bigint"))
-
     placed = stage(
         df.repartitionByRange(F.col(order).asc_nulls_first())
         .sortWithinPartitions(F.col(order).asc_nulls_first())

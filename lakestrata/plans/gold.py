@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.money import exact_sum, money_sum, safe_ratio
+from lakestrata.functions.money import (
+    money_again,
+    money_parts,
+    money_sum,
+    money_total,
+    safe_ratio,
+)
 from lakestrata.functions.times import month_start
 from lakestrata.operators.ranking import rank_within
-from lakestrata.values import BROADCAST_ROWS
 
 
 def daily_revenue(fact: DataFrame, ids_unique: bool = True) -> DataFrame:
@@ -31,9 +36,7 @@ def daily_revenue(fact: DataFrame, ids_unique: bool = True) -> DataFrame:
     )
 
 
-def customer_spend(
-    fact: DataFrame, customers: DataFrame, customer_rows: int | None = None
-) -> DataFrame:
+def customer_spend(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Spend per month and linked customer, without the rank.
 
     Facts are summed per surrogate key before they meet the dimension: a busy
@@ -51,50 +54,35 @@ def customer_spend(
     current = customers.filter("is_current").select(
         "customer_sk", "customer_id", "customer_name"
     )
-    if customer_rows is not None and customer_rows <= BROADCAST_ROWS:
-        current = F.broadcast(current)
     return per_key.join(current, "customer_sk").select(
         "month", "customer_id", "customer_name", "total_spend", "transaction_count"
     )
 
 
-def customer_spend_by_month(
-    fact: DataFrame,
-    customers: DataFrame,
-    customer_rows: int | None = None,
-    fact_rows: int | None = None,
-) -> DataFrame:
+def customer_spend_by_month(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Customer spend per month, ranked in the month; equal spend shares a rank.
 
-    ``fact_rows``, a counted bound, tells how big a month can be at most.
+    The stored rank is an INT; a month of more customers fails with CAST_OVERFLOW.
     """
-    spend = customer_spend(fact, customers, customer_rows)
-    return rank_within(
-        spend, "month", "total_spend", "rank_by_spend", row_bound=fact_rows
+    ranked = rank_within(
+        customer_spend(fact, customers), "month", "total_spend", "rank_by_spend"
     )
+    return ranked.withColumn("rank_by_spend", F.col("rank_by_spend").cast("int"))
 
 
-def category_sales_daily(
-    fact: DataFrame, products: DataFrame, product_rows: int | None = None
-) -> DataFrame:
+def category_sales_daily(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue per day and category.
 
-    A product dimension of proven size goes to the facts, and nothing but one
-    partial sum per task, day and category is shuffled.  A bigger one is met by
-    facts already summed per day and product, which also evens out hot products.
+    Facts are summed per day and product before they meet the dimension, which
+    also evens out hot products.
     """
     current = products.filter("is_current").select("product_sk", "category")
-    day = F.col("order_date").alias("transaction_date")
-    if product_rows is not None and product_rows <= BROADCAST_ROWS:
-        amounts = fact.join(F.broadcast(current), "product_sk")
-        return amounts.groupBy(day, "category").agg(
-            money_sum("transaction_amount").alias("total_revenue")
-        )
-    per_product = fact.groupBy(day, "product_sk").agg(
-        exact_sum("transaction_amount").alias("_amount")
-    )
+    per_product = fact.groupBy(
+        F.col("order_date").alias("transaction_date"), "product_sk"
+    ).agg(*money_parts("transaction_amount"))
     return (
         per_product.join(current, "product_sk")
         .groupBy("transaction_date", "category")
-        .agg(F.sum("_amount").cast("double").alias("total_revenue"))
+        .agg(*money_again())
+        .select("transaction_date", "category", money_total().alias("total_revenue"))
     )

@@ -93,11 +93,10 @@ def _refresh_dimension(spark: SparkSession, cfg: RunConfig, entity: str) -> None
             f"{entity}_id",
             f"{entity}_sk",
             cfg.as_of,
-            row_bound=bronze.count(),
         )
     else:
         build = getattr(silver, f"dim_{entity}")
-        dimension = build(bronze, cfg.as_of, row_bound=bronze.count())
+        dimension = build(bronze, cfg.as_of)
     replace_table(spark, contract, dimension)
 
 
@@ -116,15 +115,12 @@ def run_silver(spark: SparkSession, cfg: RunConfig) -> None:
         _read(spark, cfg, "bronze.customers"),
         cfg.as_of,
         _read(spark, cfg, "bronze.feed_rejects"),
-        products.count(),
     )
     write = append_table if cfg.quarantine == "append" else replace_table
     write(spark, cfg.contracts["silver.quarantine_rows"], audit)
     customers = _read(spark, cfg, "silver.dim_customer")
     dim_product = _read(spark, cfg, "silver.dim_product")
-    fact = silver.fact_transaction(
-        transactions, dim_product, customers, dim_product.count(), customers.count()
-    )
+    fact = silver.fact_transaction(transactions, dim_product, customers)
     replace_table(spark, cfg.contracts["silver.fact_transaction"], fact)
     _log(spark, cfg, "silver", _newest_ingest(spark, cfg))
 
@@ -139,12 +135,8 @@ def run_gold(spark: SparkSession, cfg: RunConfig) -> None:
     products = _read(spark, cfg, "silver.dim_product")
     marts = {
         "gold.daily_revenue": lambda: gold.daily_revenue(fact),
-        "gold.customer_spend_by_month": lambda: gold.customer_spend_by_month(
-            fact, customers, customers.count(), fact.count()
-        ),
-        "gold.category_sales_daily": lambda: gold.category_sales_daily(
-            fact, products, products.count()
-        ),
+        "gold.customer_spend_by_month": lambda: gold.customer_spend_by_month(fact, customers),
+        "gold.category_sales_daily": lambda: gold.category_sales_daily(fact, products),
     }
 
     def refresh(table: str) -> None:
@@ -196,9 +188,7 @@ def validate(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
         "quarantine_by_reason": validation.quarantine_by_reason(
             _read(spark, cfg, "silver.quarantine_rows")
         ),
-        "fact_enriched": validation.fact_enriched(
-            fact, customers, products, customers.count(), products.count()
-        ),
+        "fact_enriched": validation.fact_enriched(fact, customers, products),
         "reconcile_revenue": validation.reconcile_revenue(spark, fact, daily),
         "summary": summary(spark, cfg),
     }

@@ -67,9 +67,9 @@ def product_state(bronze_products: DataFrame) -> DataFrame:
 
 
 def _dimension(
-    state: DataFrame, key: str, surrogate: str, as_of: Moment, row_bound: int | None
+    state: DataFrame, key: str, surrogate: str, as_of: Moment
 ) -> DataFrame:
-    numbered = with_surrogate_key(state, key, surrogate, row_bound)
+    numbered = with_surrogate_key(state, key, surrogate)
     return numbered.select(
         surrogate,
         *state.columns,
@@ -79,32 +79,25 @@ def _dimension(
     )
 
 
-def dim_customer(
-    bronze_customers: DataFrame, as_of: Moment = None, row_bound: int | None = None
-) -> DataFrame:
+def dim_customer(bronze_customers: DataFrame, as_of: Moment = None) -> DataFrame:
     """One current row per customer, numbered by customer_id."""
     state = customer_state(bronze_customers)
-    return _dimension(state, "customer_id", "customer_sk", as_of, row_bound)
+    return _dimension(state, "customer_id", "customer_sk", as_of)
 
 
-def dim_product(
-    bronze_products: DataFrame, as_of: Moment = None, row_bound: int | None = None
-) -> DataFrame:
+def dim_product(bronze_products: DataFrame, as_of: Moment = None) -> DataFrame:
     """One current row per product, numbered by product_id."""
     state = product_state(bronze_products)
-    return _dimension(state, "product_id", "product_sk", as_of, row_bound)
+    return _dimension(state, "product_id", "product_sk", as_of)
 
 
 def missing_products(
     bronze_transactions: DataFrame,
     bronze_products: DataFrame,
-    product_rows: int | None = None,
 ) -> DataFrame:
     """Every stored version of a transaction whose product no feed row names."""
     narrow = bronze_transactions.select("transaction_id", "product_id")
-    return without_match(
-        narrow, bronze_products, "product_id", "transaction_id", product_rows
-    )
+    return without_match(narrow, bronze_products, "product_id", "transaction_id")
 
 
 def quarantine_rows(
@@ -113,7 +106,6 @@ def quarantine_rows(
     bronze_customers: DataFrame,
     as_of: Moment = None,
     rejects: DataFrame | None = None,
-    product_rows: int | None = None,
 ) -> DataFrame:
     """Audit rows: unknown products, absent emails, and rejected feed rows."""
 
@@ -126,7 +118,7 @@ def quarantine_rows(
             F.lit(reason).alias("reason"),
         )
 
-    no_product = missing_products(bronze_transactions, bronze_products, product_rows)
+    no_product = missing_products(bronze_transactions, bronze_products)
     no_email = latest_by(bronze_customers, ["customer_id"]).filter(is_blank("email"))
     audited = audit(
         no_product, ENTITY_TRANSACTION, "transaction_id", REASON_MISSING_PRODUCT
@@ -143,8 +135,6 @@ def fact_transaction(
     bronze_transactions: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    product_rows: int | None = None,
-    customer_rows: int | None = None,
 ) -> DataFrame:
     """Latest version of every transaction with its dimension keys.
 
@@ -154,16 +144,9 @@ def fact_transaction(
     product_keys = products.filter("is_current").select("product_id", "product_sk")
     customer_keys = customers.filter("is_current").select("customer_id", "customer_sk")
     latest = latest_by(bronze_transactions, ["transaction_id"])
-    with_product = lookup(
-        latest, product_keys, "product_id", dimension_rows=product_rows
-    )
+    with_product = lookup(latest, product_keys, "product_id")
     linked = lookup(
-        with_product,
-        customer_keys,
-        "customer_id",
-        "left",
-        spread_by="transaction_id",
-        dimension_rows=customer_rows,
+        with_product, customer_keys, "customer_id", "left", spread_by="transaction_id"
     )
     return linked.selectExpr(
         "transaction_id",

@@ -76,20 +76,17 @@ def fact_enriched(
     fact: DataFrame,
     customers: DataFrame,
     products: DataFrame,
-    customer_rows: int | None = None,
-    product_rows: int | None = None,
 ) -> DataFrame:
     """Facts with the current customer name (if linked) and product category."""
     names = customers.filter("is_current").select("customer_sk", "customer_name")
     categories = products.filter("is_current").select("product_sk", "category")
-    with_category = lookup(fact, categories, "product_sk", dimension_rows=product_rows)
+    with_category = lookup(fact, categories, "product_sk")
     return lookup(
         with_category,
         names,
         "customer_sk",
         "left",
         spread_by="transaction_id",
-        dimension_rows=customer_rows,
     ).select(
         "transaction_id",
         "order_date",

@@ -26,12 +26,3 @@ BUCKET_MISSING_PRODUCT = "missing_product"
 BUCKET_EMAIL = "email_null_audit"
 BUCKET_OTHER = "other"
 # ---------------------------------------------------------------------------
-
-# Sizes up to which one task, or a copy on every executor, is proven harmless.
-# Callers pass a row bound they have counted; without one the distributed way
-# is taken.
-SINGLE_TASK_ROWS = 1_000_000
-BROADCAST_ROWS = 1_000_000
-
-# Rows that one window group may hold before a ranking is split further.
-RANK_GROUP_ROWS = 5_000_000

@@ -43,3 +43,19 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return collect
+
+
+@pytest.fixture
+def setting(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.set(key, value)

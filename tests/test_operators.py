@@ -4,9 +4,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.contracts import assert_not_null, build_contracts, conform
 from lakestrata.functions import fingerprint
+from lakestrata.functions.conversion import try_convert
+from lakestrata.functions.money import money_again, money_parts, money_sum, money_total
 from lakestrata.operators import (
     assert_unique,
     change_set,
@@ -68,10 +71,9 @@ def test_fingerprint_formula(spark):
     assert kept_apart == hashlib.sha256(b"7||<null>||x||1.5").hexdigest()
 
 
-@pytest.mark.parametrize("bound", [3, None])
-def test_surrogate_key_small(spark, rows, bound):
+def test_surrogate_key_small(spark, rows):
     df = spark.createDataFrame([(5,), (2,), (9,)], "id int")
-    numbered = with_surrogate_key(df, "id", "sk", row_bound=bound)
+    numbered = with_surrogate_key(df, "id", "sk")
     assert rows(numbered) == [(2, 1), (5, 2), (9, 3)]
     assert dict(numbered.dtypes)["sk"] == "bigint"
 
@@ -98,19 +100,59 @@ def brute_rank(data):
     }
 
 
-@pytest.mark.parametrize("group_rows", [40, 150, 10**6])
-def test_rank_within_ranges_ties_and_nulls(spark, group_rows):
-    rng = random.Random(group_rows)
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_rank_within_ties_and_nulls(spark, setting, partitions):
+    """A tie and a NULL group that hold a third of the rows each, over several tasks."""
+    setting(spark__sql__shuffle__partitions=str(partitions))
+    rng = random.Random(partitions)
     data = [("big", float(rng.randint(1, 300)), i) for i in range(500)]
-    data += [("big", 77.0, 1000 + i) for i in range(400)]  # a third shares one value
+    data += [("big", 77.0, 1000 + i) for i in range(400)]
     data += [("big", None, 2000 + i) for i in range(90)]
+    data += [(None, float(rng.randint(1, 50)), 3000 + i) for i in range(400)]
+    data += [(None, None, 4000 + i) for i in range(10)]
     data += [("flat", 1.0, i) for i in range(300)]
     data += [("small", float(i % 3), i) for i in range(10)]
     df = spark.createDataFrame(data, "g string, v double, i long").repartition(3)
-    ranked = rank_within(df, "g", "v", "r", group_rows=group_rows)
+    ranked = rank_within(df, "g", "v", "r")
+    assert dict(ranked.dtypes)["r"] == "bigint"
     assert {(r.g, r.v, r.i): r.r for r in ranked.collect()} == brute_rank(data)
-    bounded = rank_within(df, "g", "v", "r", row_bound=len(data), group_rows=10**6)
-    assert {(r.g, r.v, r.i): r.r for r in bounded.collect()} == brute_rank(data)
+
+
+def test_rank_within_text(spark, rows):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("a", "x", 3)], "g string, v string, i int")
+    assert rows(rank_within(df, "g", "v"), "i", "rank") == [(1, 2), (2, 1), (3, 2)]
+
+
+@pytest.mark.parametrize(
+    "amounts, total",
+    [
+        ([0.004] * 1000, 4.0),
+        ([1e17, 1.0], 1e17),
+        ([1e300, 1e300], 2e300),
+        ([0.1] * 10, 1.0),
+        ([1.0, None], 1.0),
+        ([None], None),
+        ([0.1, 1e-20], 0.1),
+        ([float("inf"), 1.0], float("inf")),
+    ],
+)
+def test_money_loses_nothing(spark, amounts, total):
+    df = spark.createDataFrame([(a, k % 3) for k, a in enumerate(amounts)], "a double, g int")
+    assert df.agg(money_sum("a").alias("s")).first().s == total
+    parts = df.groupBy("g").agg(*money_parts("a")).agg(*money_again())
+    assert parts.select(money_total().alias("s")).first().s == total
+
+
+def test_text_that_is_no_finite_number_does_not_convert(spark, rows):
+    cells = ["1.5", " 2 ", "NaN", "Infinity", "-inf", "1e400", "x", "", None]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, t string")
+    read = df.selectExpr("k", f"{try_convert('t', T.DoubleType())} AS v").where("v IS NOT NULL")
+    assert rows(read) == [(0, 1.5), (1, 2.0)]
+
+
+def test_money_keeps_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "a double")
+    assert str(df.agg(money_sum("a").alias("s")).first().s) == "nan"
 
 
 @pytest.fixture
@@ -186,15 +228,14 @@ def test_incremental_since(spark, rows):
     assert rows(incremental_since(df, "_ingest_ts", None), "id") == [(1,), (2,)]
 
 
-@pytest.mark.parametrize("bound", [2, None])
-def test_lookup_keeps_rows_without_a_key(spark, rows, bound):
+def test_lookup_keeps_rows_without_a_key(spark, rows):
     facts = spark.createDataFrame([(i, None if i % 2 else i) for i in range(6)], "t int, k int")
     dim = spark.createDataFrame([(0, "zero"), (2, "two")], "k int, name string")
-    joined = lookup(facts, dim, "k", "left", spread_by="t", dimension_rows=bound)
+    joined = lookup(facts, dim, "k", "left", spread_by="t")
     assert rows(joined, "t", "name") == [
         (0, "zero"), (1, None), (2, "two"), (3, None), (4, None), (5, None),
     ]
-    missing = without_match(facts, dim, "k", spread_by="t", other_rows=bound)
+    missing = without_match(facts, dim, "k", spread_by="t")
     assert rows(missing, "t") == [(1,), (3,), (4,), (5,)]
 
 
@@ -237,7 +278,7 @@ def test_scd2_closes_opens_and_repeats(spark, rows):
             (5, "new", "h5", "2024-02-01"),
         ],
     )
-    after = scd2_apply(dim, batch, "id", "sk", "2024-02-02", row_bound=5)
+    after = scd2_apply(dim, batch, "id", "sk", "2024-02-02")
     shown = ("sk", "id", "v", F.col("valid_to").cast("date").cast("string"), "is_current")
     expected = [
         (1, 1, "old", "2024-01-01", False),
@@ -249,7 +290,7 @@ def test_scd2_closes_opens_and_repeats(spark, rows):
         (7, 7, "new", "9999-12-31", True),
     ]
     assert rows(after, *shown) == expected
-    again = scd2_apply(after, batch, "id", "sk", "2024-02-03", row_bound=5)
+    again = scd2_apply(after, batch, "id", "sk", "2024-02-03")
     assert rows(again, *shown) == expected
     distributed = scd2_apply(dim, batch, "id", "sk", "2024-02-02")
     assert rows(distributed, *shown) == expected

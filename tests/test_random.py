@@ -73,7 +73,7 @@ def test_history_over_random_batches(spark):
         batch = spark.createDataFrame(list(state.items()), "id int, row_hash string").selectExpr(
             "*", f"TIMESTAMP'2024-01-0{day} 00:00:00' AS as_of_ingest_ts"
         )
-        dim = scd2_apply(dim, batch, "id", "sk", f"2024-01-0{day} 12:00:00", row_bound=30)
+        dim = scd2_apply(dim, batch, "id", "sk", f"2024-01-0{day} 12:00:00")
         dim = spark.createDataFrame(dim.collect(), dim.schema)
     rows = dim.collect()
     assert {r.id: r.row_hash for r in rows if r.is_current} == current

@@ -70,7 +70,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
                      p_brand AS brand, p_retailprice AS price,
                      DATE '2019-01-01' + p_size * 20 AS created_date
-              FROM part WHERE p_size <> 50)
+              FROM part)
         """,
     ),
     "transaction_cells": (
@@ -78,7 +78,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT l_orderkey * 8 + l_linenumber AS transaction_id,
                CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id,
-               l_partkey AS product_id,
+               CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity,
                l_extendedprice AS transaction_amount,
                l_shipdate AS transaction_timestamp,
@@ -119,7 +119,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
                TIMESTAMP '2024-01-03 00:00:00' AS _ingest_ts, 'batch-3' AS _source_path,
                'batch-3' AS _source_name, CAST(0 AS BIGINT) AS _source_size_bytes,
                _bronze_row_key
-        FROM transaction_keys WHERE quantity >= 25
+        FROM transaction_keys WHERE channel = 'store' OR quantity >= 25
         """,
     ),
     "stored_transactions": (
@@ -220,7 +220,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "fact_before": (
         ("fact",),
-        "SELECT * FROM fact WHERE channel = 'online' AND order_date < DATE '2000-01-01'",
+        "SELECT * FROM fact WHERE order_date < DATE '1999-07-01' "
+        "OR (channel = 'online' AND order_date < DATE '2000-01-01')",
     ),
     "fact_after": (("fact",), "SELECT * FROM fact WHERE order_date >= DATE '1999-07-01'"),
 }
@@ -229,8 +230,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 def _daily(fact: str) -> str:
     return f"""
         SELECT order_date AS transaction_date,
-               CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-               CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE)
+               (sum(CAST(round(transaction_amount * 100) AS HUGEINT)) / 100.0) AS total_revenue,
+               (sum(CAST(round(transaction_amount * 100) AS HUGEINT)) / 100.0)
                    / count(DISTINCT transaction_id) AS average_order_value,
                count(DISTINCT transaction_id) AS total_orders
         FROM {fact} GROUP BY order_date
@@ -244,7 +245,7 @@ def _spend(fact: str) -> str:
                    AS rank_by_spend
         FROM (SELECT CAST(date_trunc('month', f.order_date) AS DATE) AS month,
                      c.customer_id, c.customer_name,
-                     CAST(sum(CAST(f.transaction_amount AS DECIMAL(18,2))) AS DOUBLE)
+                     (sum(CAST(round(f.transaction_amount * 100) AS HUGEINT)) / 100.0)
                          AS total_spend,
                      count(*) AS transaction_count
               FROM {fact} f JOIN dim_customer c ON f.customer_sk = c.customer_sk
@@ -255,7 +256,7 @@ def _spend(fact: str) -> str:
 def _category(fact: str) -> str:
     return f"""
         SELECT f.order_date AS transaction_date, p.category,
-               CAST(sum(CAST(f.transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+               (sum(CAST(round(f.transaction_amount * 100) AS HUGEINT)) / 100.0) AS total_revenue
         FROM {fact} f JOIN dim_product p ON f.product_sk = p.product_sk
         GROUP BY 1, 2
     """
@@ -443,12 +444,31 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "daily_revenue": (("daily",), "SELECT * FROM daily"),
     "customer_spend_by_month": (("spend",), "SELECT * FROM spend"),
     "category_sales_daily": (("category",), "SELECT * FROM category"),
+    "net_revenue": (
+        (),
+        """
+        SELECT CAST(l_shipdate AS DATE) AS transaction_date,
+               sum(CAST(round(l_extendedprice * (1 - l_discount) * 10000) AS HUGEINT)) / 10000.0
+                   AS total_revenue,
+               sum(CAST(round(l_extendedprice * (1 - l_discount) * 10000) AS HUGEINT)) / 10000.0
+                   / count(DISTINCT l_orderkey * 8 + l_linenumber) AS average_order_value,
+               count(DISTINCT l_orderkey * 8 + l_linenumber) AS total_orders
+        FROM lineitem GROUP BY 1
+        """,
+    ),
+    "rank_text": (
+        (),
+        """
+        SELECT c_custkey, c_nationkey, c_mktsegment,
+               rank() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment DESC) AS segment_rank
+        FROM customer
+        """,
+    ),
     "rank_within": (
         (),
         """
         SELECT o_orderkey, o_orderpriority, price,
-               CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY price DESC) AS INTEGER)
-                   AS price_rank
+               rank() OVER (PARTITION BY o_orderpriority ORDER BY price DESC) AS price_rank
         FROM (SELECT o_orderkey, o_orderpriority,
                      CAST(floor(o_totalprice / 1000) * 1000 AS DOUBLE) AS price FROM orders)
         """,
@@ -485,9 +505,9 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "reconcile_revenue": (
         ("fact", "daily"),
         """
-        SELECT (SELECT round(CAST(sum(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE), 2)
+        SELECT (SELECT round((sum(CAST(round(transaction_amount * 100) AS HUGEINT)) / 100.0), 2)
                 FROM fact) AS fact_total,
-               (SELECT round(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 2)
+               (SELECT round((sum(CAST(round(total_revenue * 100) AS HUGEINT)) / 100.0), 2)
                 FROM daily) AS sum_daily
         """,
     ),

@@ -1,8 +1,4 @@
-"""Queries over the given tables, one per operator.
-
-Row bounds come from counts of the base tables (Parquet footers, no data read);
-they decide between the one-task and the distributed way of an operator.
-"""
+"""Queries over the given tables, one per operator."""
 
 from __future__ import annotations
 
@@ -32,22 +28,12 @@ from verification.sample_feeds import AS_OF, FEEDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The split of the upsert queries: the target knows the online channel up to
-# the first moment, the source all channels from the second moment on.
+# The split of the upsert queries: the source has all rows from the second
+# moment on; the target those before, and the online channel up to the first.
 TARGET_BEFORE = "2000-01-01"
 SOURCE_FROM = "1999-07-01"
 
 
-_COUNTED: dict[tuple[str, str], int] = {}
-
-
-def _rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a base table; the tables do not change, so one look is enough."""
-    if (sf_dir, name) not in _COUNTED:
-        _COUNTED[sf_dir, name] = table(spark, sf_dir, name).count()
-    return _COUNTED[sf_dir, name]
-
-
 # ----------------------------------------------------------------- bronze
 
 
@@ -72,12 +58,15 @@ def row_key(spark, sf_dir):
 
 
 def _bronze_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Stored transactions (the online channel) and a later load of big quantities.
+    """Stored transactions (the online channel) and a later load.
 
-    The load brings store rows as new ones and re-reads online rows.
+    The load brings the store rows as new ones and re-reads online rows of big
+    quantities, so every row is in one of the two.
     """
     stored = feed.transactions_feed(spark, sf_dir).filter("channel = 'online'")
-    later = feed.transactions_feed(spark, sf_dir, "3").filter("quantity >= 25")
+    later = feed.transactions_feed(spark, sf_dir, "3").filter(
+        "channel = 'store' OR quantity >= 25"
+    )
     return distinct_content(stored), distinct_content(later)
 
 
@@ -153,13 +142,13 @@ def surrogate_key(spark, sf_dir):
 
 def _dim_customer(spark, sf_dir) -> DataFrame:
     return silver.dim_customer(
-        feed.customers_feed(spark, sf_dir), AS_OF, _rows(spark, sf_dir, "customer")
+        feed.customers_feed(spark, sf_dir), AS_OF
     )
 
 
 def _dim_product(spark, sf_dir) -> DataFrame:
     return silver.dim_product(
-        feed.products_feed(spark, sf_dir), AS_OF, _rows(spark, sf_dir, "part")
+        feed.products_feed(spark, sf_dir), AS_OF
     )
 
 
@@ -189,7 +178,6 @@ def quarantine_missing_product(spark, sf_dir):
     return silver.missing_products(
         feed.bronze_transactions(spark, sf_dir),
         feed.products_feed(spark, sf_dir),
-        _rows(spark, sf_dir, "part"),
     )
 
 
@@ -199,7 +187,6 @@ def _quarantine(spark, sf_dir) -> DataFrame:
         feed.products_feed(spark, sf_dir),
         feed.customers_feed(spark, sf_dir),
         AS_OF,
-        product_rows=_rows(spark, sf_dir, "part"),
     )
 
 
@@ -219,8 +206,6 @@ def _fact(
         feed.transactions_feed(spark, sf_dir),
         _dim_product(spark, sf_dir) if products is None else products,
         _dim_customer(spark, sf_dir) if customers is None else customers,
-        _rows(spark, sf_dir, "part"),
-        _rows(spark, sf_dir, "customer"),
     )
 
 
@@ -236,21 +221,17 @@ def fact_enriched(spark, sf_dir):
         fact,
         customers,
         products,
-        _rows(spark, sf_dir, "customer"),
-        _rows(spark, sf_dir, "part"),
     )
 
 
 def scd2_history(spark, sf_dir):
     """First batch as the dimension, then the second batch as its changes."""
     rows = feed.customers_feed(spark, sf_dir)
-    bound = _rows(spark, sf_dir, "customer")
     first = rows.filter("_source_path = 'batch-1'")
-    dimension = stage(silver.dim_customer(first, AS_OF, bound), "dim_customer")
+    dimension = stage(silver.dim_customer(first, AS_OF), "dim_customer")
     incoming = silver.customer_state(rows)
     after = scd2_apply(
         dimension, incoming, "customer_id", "customer_sk", "2024-03-01 00:00:00",
-        row_bound=bound,
     )
     return _open_end_as_text(after)
 
@@ -262,39 +243,58 @@ def daily_revenue(spark, sf_dir):
     return gold.daily_revenue(_fact(spark, sf_dir))
 
 
+def net_revenue(spark, sf_dir):
+    """Daily totals of discounted prices, which have four decimals."""
+    net = table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_shipdate AS DATE) AS order_date",
+        "round(l_extendedprice * (1 - l_discount), 4) AS transaction_amount",
+        "l_orderkey * 8 + l_linenumber AS transaction_id",
+    )
+    return gold.daily_revenue(net, ids_unique=False)
+
+
+def ranked_text(spark, sf_dir):
+    """Customers ranked by market segment per nation: text, and ties."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment"
+    )
+    return rank_within(customers, "c_nationkey", "c_mktsegment", "segment_rank")
+
+
 def customer_spend_by_month(spark, sf_dir):
     customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
     return gold.customer_spend_by_month(
         _fact(spark, sf_dir, customers=customers),
         customers,
-        _rows(spark, sf_dir, "customer"),
-        _rows(spark, sf_dir, "lineitem"),
     )
 
 
 def category_sales_daily(spark, sf_dir):
     products = stage(_dim_product(spark, sf_dir), "dim_product")
     fact = _fact(spark, sf_dir, products=products)
-    return gold.category_sales_daily(fact, products, _rows(spark, sf_dir, "part"))
+    return gold.category_sales_daily(fact, products)
 
 
 def ranked_orders(spark, sf_dir):
-    """Orders ranked by price per priority, cut into ranges of some 1,000 rows.
+    """Orders ranked by price per priority.
 
-    Prices are rounded to thousands, so ties are many and cross the cuts.
+    Prices are rounded to thousands, so ties are many.
     """
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_orderpriority",
         "CAST(floor(o_totalprice / 1000) * 1000 AS DOUBLE) AS price",
     )
-    return rank_within(orders, "o_orderpriority", "price", "price_rank", group_rows=1000)
+    return rank_within(orders, "o_orderpriority", "price", "price_rank")
 
 
 def _two_states(spark, sf_dir, **dimensions) -> tuple[DataFrame, DataFrame]:
     """Facts of the target and of the source; the fact is computed once."""
     fact = stage(_fact(spark, sf_dir, **dimensions), "fact")
-    before = fact.filter(f"channel = 'online' AND order_date < DATE'{TARGET_BEFORE}'")
+    before = fact.filter(
+        f"order_date < DATE'{SOURCE_FROM}' "
+        f"OR (channel = 'online' AND order_date < DATE'{TARGET_BEFORE}')"
+    )
     return before, fact.filter(f"order_date >= DATE'{SOURCE_FROM}'")
 
 
@@ -310,9 +310,8 @@ def gold_daily_upsert(spark, sf_dir):
 
 def gold_spend_upsert(spark, sf_dir):
     customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
-    bounds = _rows(spark, sf_dir, "customer"), _rows(spark, sf_dir, "lineitem")
     target, source = (
-        gold.customer_spend_by_month(fact, customers, *bounds)
+        gold.customer_spend_by_month(fact, customers)
         for fact in _two_states(spark, sf_dir, customers=customers)
     )
     return upsert(target, source, ["month", "customer_id"])
@@ -320,9 +319,8 @@ def gold_spend_upsert(spark, sf_dir):
 
 def gold_category_upsert(spark, sf_dir):
     products = stage(_dim_product(spark, sf_dir), "dim_product")
-    bound = _rows(spark, sf_dir, "part")
     target, source = (
-        gold.category_sales_daily(fact, products, bound)
+        gold.category_sales_daily(fact, products)
         for fact in _two_states(spark, sf_dir, products=products)
     )
     return upsert(target, source, ["transaction_date", "category"])
@@ -395,9 +393,8 @@ def merge_table_by_month(spark, sf_dir):
     name = "gold.customer_spend_by_month"
     contract = _tables(spark, name)[name]
     customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
-    bounds = _rows(spark, sf_dir, "customer"), _rows(spark, sf_dir, "lineitem")
     for fact in _two_states(spark, sf_dir, customers=customers):
-        merge_table(spark, contract, gold.customer_spend_by_month(fact, customers, *bounds))
+        merge_table(spark, contract, gold.customer_spend_by_month(fact, customers))
     return read_table(spark, contract)
 
 
@@ -422,10 +419,10 @@ def layer_summary(spark, sf_dir):
             "quarantine_rows": _quarantine(spark, sf_dir),
             "n_daily": gold.daily_revenue(fact),
             "n_cust_mo": gold.customer_spend(
-                fact, customers, _rows(spark, sf_dir, "customer")
+                fact, customers
             ),
             "n_cat_day": gold.category_sales_daily(
-                fact, products, _rows(spark, sf_dir, "part")
+                fact, products
             ),
         },
     )
@@ -464,6 +461,8 @@ QUERIES: dict[str, Query] = {
     "fact_enriched": fact_enriched,
     "scd2_apply": scd2_history,
     "daily_revenue": daily_revenue,
+    "net_revenue": net_revenue,
+    "rank_text": ranked_text,
     "customer_spend_by_month": customer_spend_by_month,
     "category_sales_daily": category_sales_daily,
     "rank_within": ranked_orders,
