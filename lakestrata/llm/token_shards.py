@@ -14,6 +14,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -49,9 +50,9 @@ class WaveletMatrix:
         width = -(-max(len(ids), 1) // (8 * _BLOCK)) * _BLOCK
         planes = np.zeros((bits, width), np.uint8)
         zeros = np.zeros(bits, np.int64)
-        current = ids.astype(np.uint32)
+        current = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits):
-            ones = (current >> np.uint32(bits - 1 - level)) & np.uint32(1) == 1
+            ones = (current & current.dtype.type(1 << (bits - 1 - level))) != 0
             packed = np.packbits(ones)
             planes[level, : len(packed)] = packed
             low = current[~ones]
@@ -92,16 +93,14 @@ class WaveletMatrix:
         return ids
 
     def all_ids(self) -> np.ndarray:
-        """Every id; one pass over each plane."""
-        at = np.arange(self.size)
-        ids = np.zeros(self.size, np.uint32)
-        for level in range(len(self.planes)):
-            bits = np.unpackbits(self.planes[level], count=self.size)
-            ones = np.cumsum(bits, dtype=np.int64)
-            # Where each place of this plane leads to in the next.
-            leads = np.where(bits == 1, self.zeros[level] + ones - 1, np.arange(self.size) - ones)
-            ids = (ids << np.uint32(1)) | bits[at]
-            at = leads[at]
+        """Every id, from the last plane up: each undoes the parting of the one above."""
+        ids = np.zeros(self.size, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for level in range(len(self.planes) - 1, -1, -1):
+            ones = np.unpackbits(self.planes[level], count=self.size).view(bool)
+            above = np.empty_like(ids)
+            above[~ones] = ids[: self.zeros[level]]
+            above[ones] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            ids = above
         return ids
 
     def _range(self, token: int, start: int, stop: int) -> tuple[int, int]:
@@ -197,8 +196,9 @@ class LibraryEncoder:
                 pieces[at : at + 20_000], add_special_tokens=False
             )
             ids = [e.ids for e in batch]
-            lens[at : at + len(ids)] = [len(i) for i in ids]
-            parts.append(np.fromiter((i for row in ids for i in row), np.uint32))
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            lens[at : at + len(ids)] = counts
+            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum()))
         return np.concatenate(parts), lens
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
