@@ -18,6 +18,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.operators.staging import stage
 from lakestrata.session import shared_folder
 
 _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -152,7 +153,10 @@ def _resolved(spark: SparkSession, source: str, folder: str, digits: int) -> Dat
     )
     clashes.write.parquet(f"{folder}/clashes")
     clashes = spark.read.schema("digest string").parquet(f"{folder}/clashes")
-    sound = rows.drop("text").join(state_now(spark, folder), "digest")
+    # Read from files, the state is dealt out for the join alone, so that Spark can
+    # split the partition of a digest that many rows have.
+    state = stage(state_now(spark, folder), "exact-dedup-state")
+    sound = rows.drop("text").join(state, "digest")
     sound = sound.join(clashes, "digest", "left_anti")
     clashed = rows.join(clashes, "digest", "left_semi")
     apart = clashed.groupBy("digest", "text").agg(
