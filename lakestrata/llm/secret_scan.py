@@ -187,6 +187,9 @@ def join_back(
         )
     )
     text = F.coalesce(F.col("text"), F.lit(""))
+    # Read from files, the findings are dealt out for the join alone, so that Spark
+    # can split the partition of a blob that many rows hold.
+    found = stage(found, "secret-findings")
     joined = docs.select("doc_id", F.sha2(text, 256).alias("blob")).join(found, "blob", "left")
     listed = F.coalesce(
         F.array_join(
