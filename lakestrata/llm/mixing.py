@@ -85,7 +85,7 @@ def count_cells(described: DataFrame) -> DataFrame:
 
 def _targets(cells: DataFrame, dimension: str, target) -> DataFrame:
     """Value and wanted share of one dimension."""
-    sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("sum")).where("sum > 0")
+    sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("sum"))
     if isinstance(target, Mapping):
         given = cells.sparkSession.createDataFrame(
             [(f"={v}" if v is not None else "null", float(w)) for v, w in target.items()],
@@ -95,7 +95,8 @@ def _targets(cells: DataFrame, dimension: str, target) -> DataFrame:
             dimension, F.coalesce("wanted", F.lit(0.0)).alias("wanted")
         )
     else:
-        wanted = sums.select(dimension, F.pow("sum", F.lit(float(target))).alias("wanted"))
+        power = F.when(F.col("sum") > 0, F.pow("sum", F.lit(float(target)))).otherwise(0.0)
+        wanted = sums.select(dimension, power.alias("wanted"))
     total = wanted.agg(F.sum("wanted").alias("total"))
     return wanted.crossJoin(F.broadcast(total)).select(  # one row
         dimension, F.when(F.col("total") > 0, F.col("wanted") / F.col("total")).otherwise(0.0).alias("share")

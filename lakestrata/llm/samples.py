@@ -28,11 +28,20 @@ def labelled_sample(
     ids and null labels give no example; an id with two labels has the larger.
     """
     order = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    chosen = (
+    known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id")
         .agg(F.max(label).alias("_label"))
         .withColumn("_order", order)
+    )
+    # Hashes are spread evenly: below this share of their range lie per_class of a
+    # label's ids, and six deviations more, so few rows are left to be numbered.
+    enough = per_class + 6 * per_class**0.5 + 20
+    sizes = known.groupBy("_label").agg(F.count("*").alias("_size"))
+    chosen = (
+        known.join(F.broadcast(sizes), "_label")  # one row for each label
+        .where(F.pmod("_order", F.lit(2**40)) * F.col("_size") <= enough * float(2**40))
+        .withColumn("_order", F.pmod("_order", F.lit(2**40)))
         .withColumn(
             "_place", F.row_number().over(W.partitionBy("_label").orderBy("_order", "doc_id"))
         )

@@ -34,7 +34,7 @@ def labelled_docs(make_docs, spark):
             for _ in range(4):
                 words.insert(rng.randrange(len(words)), rng.choice(["zork", "blarg"]))
         if not good:
-            words = [w + "%%%" for w in words] if k % 2 else words[:2] * 20
+            words = [w + "%%%" for w in words] if k % 2 else words[:1] * 40
         rows.append((k, " ".join(words), lang, "s"))
         labels.append((k, good, toxic))
     labels += [(5, None, None), (None, 1, 1), (9999, 1, 0), (7, 1, 0)]
@@ -127,14 +127,14 @@ def test_language(labelled_docs, make_docs, odd_rows):
     model = language.fit(language.learnable(docs))
     told = language.predict_language(docs, model).where(is_remainder("doc_id", 4, 2))
     rows = told.join(docs.select("doc_id", "lang"), "doc_id").collect()
-    assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.98
+    assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.95
     odd = {r.doc_id: r for r in language.predict_language(make_docs(odd_rows), model).collect()}
     assert all(odd[k].lang_pred == "und" and odd[k].score == 0 for k in (3, 4, 5, 9, None))
     assert all(odd[k].lang_pred in SYLLABLES for k in (1, 2, 6, 7))
     nothing = language.fit(docs.limit(0))
     assert language.predict_language(make_docs(odd_rows), nothing).count() == len(odd_rows)
     kept = language.keep_known_language(docs)
-    assert kept.columns == docs.columns and kept.count() >= 0.98 * docs.count()
+    assert kept.columns == docs.columns and kept.count() >= 0.95 * docs.count()
 
 
 def test_document_frequencies_cover_all_documents(make_docs):
