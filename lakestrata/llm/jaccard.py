@@ -5,13 +5,14 @@ nodes are put into groups, and the matrix row of a group is the union of its
 members' tokens.  A query node is held against a group only if enough of its
 tokens are in the union, and only groups that qualify are opened.
 
-Which groups a node is held against follows from two bounds that lose no link.
-With similarity ``t``, a node of ``n`` tokens may miss ``n - ceil(t n)`` of them
-in a partner.  So partners share a number of tokens among the first few by hash
-(the prefix), all of which at least two nodes have; and of those shared ones the
-rarest is among the rarest tokens of either prefix (the probes).  Words that very
-many documents share thus stand in nobody's probes, unless a document consists
-of hardly anything else.
+Which groups a node is held against follows from bounds that lose no link.  With
+similarity ``t``, a node of ``n`` tokens may miss ``n - ceil(t n)`` of them in a
+partner.  So partners share a number of tokens among the first few by hash (the
+prefix), and a node with fewer prefix tokens that others have is out.  The same
+holds for all tokens of the nodes left.  Of the tokens two partners share, the
+rarest is among the rarest of either (the probes).  Words that very many
+documents share thus stand in nobody's probes, unless a document consists of
+hardly anything else.
 """
 
 from __future__ import annotations
@@ -100,19 +101,25 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def _text_key() -> Column:
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64("text")
+
+
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, node and prefix of each row; node is null for an empty set."""
+    """doc_id, text_key, n, node and prefix of each row; node is null for an empty set."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(s.words)
         for batch in batches:
-            names = iter(batch["doc_id"])
+            names, keys = iter(batch["doc_id"]), iter(batch["text_key"])
             for texts in slices(batch["text"], 8_000_000):
                 sets = shingler.sets(texts)
                 lens = np.array([len(x) for x in sets], np.int64)
                 yield pd.DataFrame(
                     {
                         "doc_id": [next(names) for _ in sets],
+                        "text_key": [next(keys) for _ in sets],
                         "n": lens,
                         "node": pd.array([node_of(x) if len(x) else None for x in sets], "Int64"),
                         "prefix": [x[:p].astype(np.int64) for x, p in zip(sets, s.prefix(lens))],
@@ -120,8 +127,11 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
                 )
 
     # Ids as text keep nulls apart from numbers on the way to pandas.
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    found = rows.mapInPandas(describe, "doc_id string, n long, node long, prefix array<long>")
+    name = F.col("doc_id").cast("string").alias("doc_id")
+    rows = docs.select(name, _text_key().alias("text_key"), "text")
+    found = rows.mapInPandas(
+        describe, "doc_id string, text_key long, n long, node long, prefix array<long>"
+    )
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -133,29 +143,48 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return one.withColumnRenamed("doc_id", "first_id")
 
 
-def probes_of(classes: DataFrame, s: Settings) -> DataFrame:
-    """node, n and probes (count, token) of the nodes that can have a partner."""
-    tokens = classes.select("node", "n", F.explode("prefix").alias("token"))
+def _need(n: Column, s: Settings) -> Column:
+    return F.ceil(n * s.percent / 100)
+
+
+def _shared_least(n: Column, s: Settings) -> Column:
+    partner = _need(n, s)
+    return F.greatest(F.lit(1), F.floor((partner - _need(partner, s)) * s.slack)).cast("int")
+
+
+def _common(tokens: DataFrame) -> DataFrame:
+    """Rows of (node, n, token) whose token two nodes or more have, with their number."""
     counts = tokens.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    return tokens.join(counts, "token")
+
+
+def by_prefix(classes: DataFrame, s: Settings) -> DataFrame:
+    """node and n of the nodes with enough prefix tokens that others have too."""
+    tokens = classes.select("node", "n", F.explode("prefix").alias("token"))
+    held = _common(tokens).groupBy("node", "n").agg(F.count("*").alias("held"))
+    return held.where(F.col("held") >= _shared_least(F.col("n"), s)).drop("held")
+
+
+def by_all_tokens(nodes: DataFrame, s: Settings) -> DataFrame:
+    """node, n and probes of the nodes that can have a partner among ``nodes``.
+
+    All tokens of the nodes left count now: those that no other has must be few
+    enough to be missed.  A document that is in part a passage many share goes
+    here, if the rest of it is its own.  Of the tokens it shares, the probes are
+    the rarest, one more than it may miss.
+    """
+    tokens = nodes.select("node", "n", F.explode("tokens").alias("token"))
     held = (
-        tokens.join(counts, "token")
+        _common(tokens)
         .groupBy("node", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("nodes", "token"))).alias("tokens"))
+        .agg(F.array_sort(F.collect_list(F.struct("nodes", "token"))).alias("held"))
     )
-    least = _shared_least(F.col("n"), s)
-    return held.where(F.size("tokens") >= least).select(
-        "node", "n", F.slice("tokens", F.lit(1), F.size("tokens") - least + 1).alias("probes")
+    need = _need(F.col("n"), s).cast("int")
+    return held.where(F.size("held") >= need).select(
+        "node", "n", F.slice("held", F.lit(1), F.size("held") - need + 1).alias("probes")
     )
 
 
-def _shared_least(n: Column, s: Settings) -> Column:
-    def need(c: Column) -> Column:
-        return F.ceil(c * s.percent / 100)
-
-    partner = need(n)
-    return F.greatest(F.lit(1), F.floor((partner - need(partner)) * s.slack)).cast("int")
-
-
 def grouped(probes: DataFrame, s: Settings) -> DataFrame:
     """probes with the group of each node.
 
@@ -186,7 +215,7 @@ def group_pairs(groups: DataFrame) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """node and all its tokens (binary), worked out again from the texts of ``classes``."""
+    """node and all its tokens, worked out again from the texts of ``classes``."""
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(s.words)
@@ -194,14 +223,17 @@ def token_sets(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
             for texts in slices(batch["text"], 8_000_000):
                 sets = [x for x in shingler.sets(texts) if len(x)]
                 yield pd.DataFrame(
-                    {"node": [node_of(x) for x in sets], "tokens": [x.tobytes() for x in sets]}
+                    {
+                        "node": [node_of(x) for x in sets],
+                        "tokens": [x.astype(np.int64) for x in sets],
+                    }
                 )
 
     wanted = classes.select("first_id")
     chosen = docs.select("doc_id", "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi"
     )
-    return chosen.select("text").mapInPandas(tokens, "node long, tokens binary")
+    return chosen.select("text").mapInPandas(tokens, "node long, tokens array<long>")
 
 
 def links(queries: list, group: list, same: bool, s: Settings) -> Iterator[tuple[int, int]]:
@@ -239,7 +271,7 @@ def verified(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["node", "side"])
-        sets = [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
+        sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
         side = rows["side"].to_numpy()
         nodes, weights = rows["node"].tolist(), rows["documents"].tolist()
         one = np.flatnonzero(side == 0)
@@ -296,6 +328,11 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     Other columns are not read.  Shingles and sets are told apart by 64-bit
     digests.
     """
+    return _joined(docs, s).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _joined(docs: DataFrame, s: Settings) -> DataFrame:
+    """The same with text_key and root, the node that names the component."""
     rows = stage(described(docs, s), "jaccard-rows")
     classes = classes_of(rows)
     sizes = (
@@ -303,45 +340,61 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         .groupBy("node")
         .agg(F.count("*").alias("documents"), F.min("doc_id").alias("least"))
     )
-    groups = stage(grouped(probes_of(classes, s), s), "jaccard-groups")
-    known = stage(
-        groups.select("node", "group").join(sizes, "node"), "jaccard-nodes"
-    )
-    sets = token_sets(docs, known.select(F.col("least").alias("first_id")), s)
-    members = stage(known.join(sets, "node"), "jaccard-members")
+    left = stage(by_prefix(classes, s).join(sizes, "node"), "jaccard-nodes")
+    sets = token_sets(docs, left.select(F.col("least").alias("first_id")), s)
+    # Repeated rows work a node's tokens out more than once.
+    own = W.partitionBy("node").orderBy("node")
+    sets = sets.withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
+    nodes = stage(left.join(sets, "node"), "jaccard-tokens")
+    groups = stage(grouped(by_all_tokens(nodes, s), s), "jaccard-groups")
+    members = groups.select("node", "group").join(nodes, "node")
     found = stage(verified(group_pairs(groups), members, s), "jaccard-links")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     whole = tied.join(sizes, "node").groupBy("root").agg(F.min("least").alias("component"))
-    linked = tied.join(whole, "root").join(counted, "node").select("node", "component", "links")
+    linked = (
+        tied.join(whole, "root").join(counted, "node").select("node", "root", "component", "links")
+    )
     per_node = stage(sizes.join(linked, "node", "left"), "jaccard-components")
+    copies = F.coalesce(F.col("documents") - 1, F.lit(0))
     return rows.join(per_node, "node", "left").select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "least", "doc_id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("documents") - 1, F.lit(0)))
-        .cast("long")
-        .alias("n_links"),
+        (F.coalesce("links", F.lit(0)) + copies).cast("long").alias("n_links"),
+        F.coalesce("root", "node").alias("root"),
     )
 
 
 def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One document of each component, with all columns of ``docs``.
 
-    That with the smallest doc_id stays; of rows that repeat it, one.  Rows with
-    a null id stay where their component has no other.
+    That with the smallest doc_id stays (a null id only where there is no other);
+    of rows that repeat id and text, one.  Documents without words all stay.
     """
-    stored = stage(docs, "jaccard-docs")
-    own = stored.withColumn(
-        "_row", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    found = _joined(docs, s).where("root IS NOT NULL").select("root", row.alias("row"))
+    times = found.groupBy("root", "row").agg(F.count("*").alias("times"))
+    heads = stage(
+        times.groupBy("root")
+        .agg(F.min(F.struct("row", "times")).alias("head"))
+        .select(
+            F.col("head.row.doc_id").alias("_id"),
+            F.col("head.row.text_key").alias("_key"),
+            F.col("head.times").alias("_times"),
+        ),
+        "jaccard-heads",
     )
-    found = jaccard_components(stored, s).select(
-        F.col("doc_id").alias("_id"), F.col("component_id").alias("_component")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_key() == F.col("_key"))
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = docs.where(~wordless).join(heads.where("_times = 1"), same, "left_semi")
+    repeated = stage(heads.where("_times > 1"), "jaccard-repeated")
+    again = (
+        docs.where(~wordless)
+        .join(repeated, same, "left_semi")
+        .withColumn("_key", _text_key())
+        .dropDuplicates(["doc_id", "_key"])
+        .drop("_key")
     )
-    heads = found.where(F.col("_id").eqNullSafe(F.col("_component"))).select("_id").distinct()
-    kept = own.join(heads, own["doc_id"].eqNullSafe(heads["_id"]), "left_semi")
-    unnamed = kept.where("doc_id IS NULL")
-    named = kept.where("doc_id IS NOT NULL")
-    one = W.partitionBy("doc_id").orderBy("_row")
-    named = named.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return named.unionByName(unnamed).select(*docs.columns)
+    return docs.where(wordless).unionByName(once).unionByName(again).select(*docs.columns)

@@ -89,6 +89,7 @@ def shingle_sets(rows, words):
     [
         jaccard.Settings(words=3, percent=90, slack=1.0),
         jaccard.Settings(words=5, percent=80, slack=0.5),
+        jaccard.Settings(words=5, percent=80, slack=0.25),
         jaccard.Settings(words=2, percent=60, slack=0.5, group_nodes=2, group_tokens=50),
     ],
 )
