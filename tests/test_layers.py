@@ -94,14 +94,14 @@ def transactions(spark):
 @pytest.fixture(scope="module")
 def dims(customers, products):
     return (
-        silver.dim_customer(customers, AS_OF, 10).cache(),
-        silver.dim_product(products, AS_OF, 10).cache(),
+        silver.dim_customer(customers, AS_OF).cache(),
+        silver.dim_product(products, AS_OF).cache(),
     )
 
 
 @pytest.fixture(scope="module")
 def fact(transactions, dims):
-    return silver.fact_transaction(transactions, dims[1], dims[0], 10, 10).cache()
+    return silver.fact_transaction(transactions, dims[1], dims[0]).cache()
 
 
 def test_customer_cleaning(customers, rows):
@@ -207,13 +207,11 @@ def test_spend_ties_share_a_rank(fact, dims, rows):
         month, "customer_id", "customer_name", "total_spend", "transaction_count",
         "rank_by_spend",
     )
-    assert rows(gold.customer_spend_by_month(fact, dims[0], 10, 10), *shown) == expected
     assert rows(gold.customer_spend_by_month(fact, dims[0]), *shown) == expected
 
 
-@pytest.mark.parametrize("bound", [10, None])
-def test_category_sales(fact, dims, rows, bound):
-    sales = gold.category_sales_daily(fact, dims[1], bound)
+def test_category_sales(fact, dims, rows):
+    sales = gold.category_sales_daily(fact, dims[1])
     assert rows(sales, F.col("transaction_date").cast("string"), "category", "total_revenue") == [
         ("2024-01-05", "Toys", 210.0),
         ("2024-01-06", "Books", 50.0),
