@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ from lakestrata.session import shared_folder
 
 _MAGIC = b"WVLT"
 _BLOCK = 64  # bytes of a plane to a count of ones
+_PLAIN = re.compile(r" \S+")
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD_SCHEMA = "part int, number int, n_docs long, n_tokens long, file binary"
@@ -186,20 +188,37 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        # In a byte-level vocabulary a token has one character for each byte.
+        self._bytes = np.zeros(max(tokens.values()) + 1, np.int64)
+        for token, number in tokens.items():
+            self._bytes[number] = len(token)
         self._cache = TokenCache(self._pieces)
 
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and ids per text."""
+        ids = [
+            e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, lens.sum()), lens
+
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
+        """A space with word characters behind it always starts a pre-token, so such
+        pieces are encoded as lines of many; bytes tell where each one's ids end."""
+        plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, pieces)), bool, len(pieces))
+        joined = [p for p, together in zip(pieces, plain) if together]
         lens = np.zeros(len(pieces), np.int64)
-        for at in range(0, len(pieces), 20_000):
-            batch = self.tokenizer.encode_batch_fast(
-                pieces[at : at + 20_000], add_special_tokens=False
-            )
-            ids = [e.ids for e in batch]
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            lens[at : at + len(ids)] = counts
-            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum()))
-        return np.concatenate(parts), lens
+        rest, lens[~plain] = self._ids([p for p, together in zip(pieces, plain) if not together])
+        lines = ["".join(joined[at : at + 500]) for at in range(0, len(joined), 500)]
+        ids, _ = self._ids(lines)
+        ends = np.cumsum(np.fromiter((len(p.encode()) for p in joined), np.int64, len(joined)))
+        upto = np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")
+        lens[plain] = np.diff(upto, prepend=0)
+        flat = np.empty(len(ids) + len(rest), np.uint32)
+        of_plain = np.repeat(plain, lens)
+        flat[of_plain], flat[~of_plain] = ids, rest
+        return flat, lens
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self._cache.encoded(texts)
