@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm.pieces import TokenCache, slices
 
 _NONE = np.int32(2**31 - 1)
+_CHARS = 8_000_000  # of the texts that are encoded and given back at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -160,7 +161,7 @@ class ReplayEncoder:
     def __init__(self, table: MergeTable, pattern: str) -> None:
         self.table = table
         self._split = regex.compile(pattern).findall
-        self._cache = TokenCache(self._pieces)
+        self._cache = TokenCache(self._pieces, limit=600_000)
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         numbers: dict[str, int] = {}
@@ -196,8 +197,8 @@ def bpe_ids(text: Column, path: str, pattern: str) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = _encoder(path, pattern)
         for texts in batches:
-            out = [ids.astype(np.int32) for part in slices(texts) for ids in encoder.encode(part)]
-            yield pd.Series(out, dtype=object)
+            for part in slices(texts, _CHARS):
+                yield pd.Series([i.astype(np.int32) for i in encoder.encode(part)], dtype=object)
 
     return encode(text)
 
@@ -227,8 +228,8 @@ def round_trip(text: Column, path: str, pattern: str, with_ids: bool = False) ->
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(path, pattern)
         for texts in batches:
-            rows = []
-            for part in slices(texts):
+            for part in slices(texts, _CHARS):
+                rows = []
                 for ids in encoder.encode(part):
                     decoded = encoder.table.decode(ids)
                     rows.append(
@@ -239,7 +240,7 @@ def round_trip(text: Column, path: str, pattern: str, with_ids: bool = False) ->
                             *([ids.astype(np.int32)] if with_ids else []),
                         )
                     )
-            yield pd.DataFrame(rows, columns=names)
+                yield pd.DataFrame(rows, columns=names)
 
     return digest(text)
 
