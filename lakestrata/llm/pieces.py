@@ -15,6 +15,8 @@ import pandas as pd
 # A space that neither starts nor ends a run of white space, or is the run's end
 # in front of a text's end: pre-tokens may cross a cut made there.
 _CROSSED = re.compile(r"\s (?:\s|\Z)")
+# The spaces that no pre-token crosses, whatever stands elsewhere in the text.
+_SAFE = re.compile(r"(?<!\s) | (?=\S)")
 
 
 class Numbering(dict):
@@ -52,6 +54,13 @@ class Ragged:
         self.starts = np.concatenate([self.starts, starts])
         self.lens = np.concatenate([self.lens, lens])
 
+    def without_last(self, rows: int) -> Ragged:
+        """The rows but for so many at the end."""
+        kept = len(self.lens) - rows
+        shorter = Ragged(self.flat.dtype)
+        shorter.extend(self.flat[: self.lens[:kept].sum()], self.lens[:kept])
+        return shorter
+
     def gather(self, rows: np.ndarray) -> np.ndarray:
         """The chosen rows, one after the other."""
         lens = self.lens[rows]
@@ -63,35 +72,59 @@ class Ragged:
 class TokenCache:
     """Token ids of texts by way of their distinct pieces.
 
-    A text is cut in front of its spaces.  A pre-token never crosses such a cut
-    unless the space stands inside a run of white space, so texts with such runs
-    are one piece each.  ``encode`` maps pieces to (flat ids, ids per piece).
-    Past ``limit`` pieces the cache starts anew, which bounds its memory.
+    A text is cut in front of its spaces, but for those inside a run of white
+    space, which a pre-token may cross.  ``encode`` maps pieces to (flat ids, ids
+    per piece).  Pieces of more than ``longest`` characters are forgotten after
+    the call that brings them.  Past ``limit`` pieces, or ``room`` characters and
+    ids held, the cache starts anew, which bounds its memory.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_200_000
+        self,
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        limit: int = 1_200_000,
+        room: int = 32_000_000,
+        longest: int = 200,
     ) -> None:
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.room, self.longest = encode, limit, room, longest
         self._reset()
 
     def _reset(self) -> None:
         self.numbering, self.ids = Numbering(), Ragged(np.uint32)
+        self.held = 0
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.numbering) > self.limit:
+        if len(self.numbering) > self.limit or self.held > self.room:
             self._reset()
         rows = []
         for text in texts:
-            if _CROSSED.search(text):
-                rows.append(self.numbering.numbers([(text,)]))
-            else:
-                head, *tail = text.split(" ")
-                rows.append(self.numbering.numbers([(head,), *tail]))
-        if fresh := self.numbering.take():
+            head, *tail = _SAFE.split(text) if _CROSSED.search(text) else text.split(" ")
+            rows.append(self.numbering.numbers([(head,), *tail]))
+        fresh = self.numbering.take()
+        if fresh:
             # A one-tuple is a piece that starts its text; others follow a space.
             self.ids.extend(*self.encode([p[0] if type(p) is tuple else " " + p for p in fresh]))
-        return [self.ids.gather(row) for row in rows]
+        found = [self.ids.gather(row) for row in rows]
+        self._keep(fresh)
+        return found
+
+    def _keep(self, fresh: list) -> None:
+        """Hold the new pieces for later texts, but for the long ones."""
+        sizes = np.fromiter(
+            (len(p[0] if type(p) is tuple else p) for p in fresh), np.int64, len(fresh)
+        )
+        short = sizes <= self.longest
+        rows = np.arange(len(self.numbering) - len(fresh), len(self.numbering))[short]
+        lens = self.ids.lens[rows]
+        self.held += int(sizes[short].sum() + lens.sum())
+        if not short.all():
+            flat = self.ids.gather(rows)
+            self.ids = self.ids.without_last(len(fresh))
+            self.ids.extend(flat, lens)
+            for piece in fresh:
+                del self.numbering[piece]
+            self.numbering.numbers([p for p, kept in zip(fresh, short) if kept])
+            self.numbering.take()
 
 
 def slices(texts: pd.Series, chars: int = 32_000_000) -> Iterator[list[str]]:

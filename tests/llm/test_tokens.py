@@ -12,6 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from lakestrata.llm import merge_replay, secret_scan, token_shards
+from lakestrata.llm.pieces import TokenCache
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +57,42 @@ def test_replay_where_a_merge_makes_way_for_a_lower_rank():
     assert [p.tolist() for p in parts] == [table.merge_word(w) for w in words]
 
 
+@pytest.mark.parametrize("which", ["library", "replay"])
+def test_cache_keeps_no_whole_texts(which, plain):
+    """Indented texts, and texts without a space: all different, none is held."""
+    if which == "library":
+        encoder = token_shards.LibraryEncoder(TOKENIZER)
+    else:
+        encoder = merge_replay.ReplayEncoder(
+            merge_replay.MergeTable(merge_replay.read_ranks(RANKS)), public_tokenizers.PATTERN
+        )
+    line = "\n    if x:\n \tcall(a,  b)   # note \n x"
+    for batch in range(10):
+        texts = [f"def f{batch}{k}():" + line * 50 + " " * (k % 4) for k in range(20)]
+        texts += [f"日本{batch}{k}語" * 200 for k in range(20)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert plain.encode_ordinary(text) == ids.tolist()
+    cache = encoder._cache
+    pieces = [p[0] if isinstance(p, tuple) else p for p in cache.numbering]
+    assert sum(map(len, pieces)) + len(cache.ids.flat) <= 10_000
+    assert len(cache.ids.lens) == len(pieces) and cache.numbering.fresh == []
+
+
+def test_cache_starts_anew_past_its_room():
+    def letters(pieces):
+        return np.array([ord(c) for p in pieces for c in p]), np.array([len(p) for p in pieces])
+
+    cache = TokenCache(letters, room=3000, longest=20)
+    rng = random.Random(7)
+    for _ in range(200):
+        texts = ["".join(rng.choices(["ab", " ", "\n", "c" * 19, "d" * 30], k=12)) for _ in range(5)]
+        for text, ids in zip(texts, cache.encoded(texts)):
+            assert "".join(map(chr, ids)) == text
+        pieces = [p[0] if isinstance(p, tuple) else p for p in cache.numbering]
+        assert cache.held == sum(map(len, pieces)) + len(cache.ids.flat) <= 3000 + 2 * 5 * 360
+        assert max(map(len, pieces), default=0) <= 20
+
+
 def test_token_digests(make_docs, odd_rows, plain):
     found = merge_replay.token_digests(make_docs(odd_rows), RANKS, public_tokenizers.PATTERN)
     expected = []
