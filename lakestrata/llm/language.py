@@ -9,7 +9,6 @@ probabilities are tempered on examples it did not see.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +22,11 @@ from lakestrata.llm.pieces import Numbering, Ragged, slices
 from lakestrata.llm.samples import is_remainder, labelled_sample
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Signs such as ½, ² and ① are numbers, not letters."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -103,7 +106,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> LanguageModel:
     frequencies, total = document_frequencies(docs, settings)
     idf = np.log((1 + total) / (1 + frequencies))
     sample = labelled_sample(docs, docs, "lang", settings.per_class, settings.chars)
-    sample = [(t, l) for t, l in sample if _LETTER.search(t)]
+    sample = [(t, l) for t, l in sample if has_letter(t)]
     return fit_sample(sample, idf, settings)
 
 
@@ -180,7 +183,7 @@ def language(text: Column, model: LanguageModel) -> Column:
             names_out, scores = [], []
             for part in slices(texts, 4_000_000):
                 p = shared.probabilities(sums.of(part))
-                known = np.array([bool(_LETTER.search(t)) for t in part], bool)
+                known = np.array([has_letter(t) for t in part], bool)
                 names_out.append(np.where(known, names[p.argmax(axis=1)], UNDETERMINED))
                 scores.append(np.where(known, p.max(axis=1), 0.0))
             yield pd.DataFrame(

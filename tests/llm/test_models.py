@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -137,6 +138,19 @@ def test_language(labelled_docs, make_docs, odd_rows):
     assert kept.columns == docs.columns and kept.count() >= 0.95 * docs.count()
 
 
+def test_numbers_that_are_no_digits_are_not_letters(make_docs):
+    texts = {1: "½ ²", 2: "① ③ 12 _ !", 3: "Ⅷ ٣", 4: "² a", 5: "ª", 6: "é", 7: "日", 8: "\u0301 \u20dd"}
+    rows = [(k, t, "en", None) for k, t in texts.items()]
+    rows += [(10 + k, f"word{k} other words", "en", None) for k in range(40)]
+    model = language.fit(make_docs(rows))
+    found = {r.doc_id: r for r in language.predict_language(make_docs(rows), model).collect()}
+    for k, text in texts.items():
+        letters = [c for c in text if unicodedata.category(c).startswith("L")]
+        assert (found[k].lang_pred, found[k].score > 0) == (("en", True) if letters else ("und", False))
+    kept = language.keep_known_language(make_docs(rows)).collect()
+    assert {r.doc_id for r in kept} == {4, 5, 6, 7, *range(10, 50)}
+
+
 def test_document_frequencies_cover_all_documents(make_docs):
     from lakestrata.llm.ngrams import feature_lists
 
