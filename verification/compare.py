@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.session import local_session
 from verification.oracle import ORACLE_SQL
-from verification.queries import QUERIES
+from verification.queries import QUERIES, Query
 
 Rows = tuple[list[tuple[str, str]], Counter]
 
@@ -55,9 +55,9 @@ def oracle_rows(sf_dir: str, sql: str) -> Rows:
         return _counted(columns, result.fetchall())
 
 
-def difference(spark: SparkSession, sf_dir: str, name: str) -> str | None:
-    """What differs between the two results, or None."""
-    ours, theirs = spark_rows(QUERIES[name](spark, sf_dir)), oracle_rows(sf_dir, ORACLE_SQL[name])
+def difference(spark: SparkSession, sf_dir: str, query: Query, sql: str) -> str | None:
+    """What differs between the results of a query and of its SQL, or None."""
+    ours, theirs = spark_rows(query(spark, sf_dir)), oracle_rows(sf_dir, sql)
     if ours[0] != theirs[0]:
         return f"columns {set(ours[0]) ^ set(theirs[0])}"
     only_ours, only_theirs = ours[1] - theirs[1], theirs[1] - ours[1]
@@ -76,7 +76,7 @@ def main(arguments: list[str]) -> int:
     failures = 0
     for name in arguments[1:] or QUERIES:
         start = time.perf_counter()
-        found = difference(spark, sf_dir, name)
+        found = difference(spark, sf_dir, QUERIES[name], ORACLE_SQL[name])
         failures += found is not None
         print(f"{name:28} {time.perf_counter() - start:6.2f}s {found or 'equal'}", flush=True)
     return failures
