@@ -17,7 +17,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
-    assert difference(spark, SF_DIR, name) is None
+    assert difference(spark, SF_DIR, QUERIES[name], ORACLE_SQL[name]) is None
 
 
 def test_entry(spark):
