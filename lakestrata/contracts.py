@@ -79,6 +79,7 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "boolean": T.BooleanType(),
+    "money": T.DecimalType(38, 10),
 }
 
 
@@ -253,6 +254,45 @@ def build_contracts(id_type: str = "int", prefix: str = "") -> dict[str, TableCo
     }
 
 
+def change_contract(contract: TableContract) -> TableContract:
+    """The table that holds the row images of every commit to ``contract``'s table."""
+    columns = T.StructType([T.StructField(f.name, f.dataType) for f in contract.columns.fields])
+    columns.add("_change_type", T.StringType(), False)
+    columns.add("_commit_ts", T.TimestampType(), False)
+    columns.add("_commit", T.LongType(), False)
+    return TableContract(
+        contract.layer,
+        f"{contract.name}_changes",
+        columns,
+        refresh="append",
+        comment=f"Row images of the commits to {contract.name}",
+        partition="_commit",
+        prefix=contract.prefix,
+    )
+
+
+def incremental_contracts(id_type: str = "int", prefix: str = "") -> dict[str, TableContract]:
+    """All tables of runs that recompute only what new rows touch.
+
+    Dimensions and fact keep their changes; the fact's months are switched one by
+    one; every mart has a state of sums and counts that changes add to.
+    """
+    contracts = build_contracts(id_type, prefix)
+    fact = "silver.fact_transaction"
+    contracts[fact] = replace(contracts[fact], refresh="merge")
+    for name in ("silver.dim_customer", "silver.dim_product", fact):
+        contracts[f"{name}_changes"] = change_contract(contracts[name])
+    for name in ("daily_revenue", "customer_spend_by_month", "category_sales_daily"):
+        mart = contracts[f"gold.{name}"]
+        columns = T.StructType([mart.columns[key] for key in mart.keys])
+        for column in _columns("amount money!, unsound bigint!, n_rows bigint!, _applied bigint!"):
+            columns.add(column)
+        contracts[f"gold.{name}_state"] = replace(
+            mart, name=f"{name}_state", columns=columns, comment=f"Sums and counts of {name}"
+        )
+    return contracts
+
+
 def conform(df: DataFrame, contract: TableContract, stored: bool = False) -> DataFrame:
     """Select, order and cast to the contract; a NULL in a required column fails.
 

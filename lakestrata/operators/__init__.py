@@ -1,6 +1,6 @@
 """Relational operators: DataFrames in, DataFrame out."""
 
-from lakestrata.operators.changes import change_set, incremental_since
+from lakestrata.operators.changes import change_set, incremental_since, net_changes
 from lakestrata.operators.dedupe import assert_unique, latest_by
 from lakestrata.operators.history import scd2_apply
 from lakestrata.operators.joins import lookup, without_match
@@ -15,6 +15,7 @@ __all__ = [
     "incremental_since",
     "latest_by",
     "lookup",
+    "net_changes",
     "rank_within",
     "scd2_apply",
     "stage",

@@ -50,11 +50,11 @@ class RunConfig:
         return replace(self, as_of=now)
 
 
-def _read(spark: SparkSession, cfg: RunConfig, table: str) -> DataFrame:
+def read_layer(spark: SparkSession, cfg: RunConfig, table: str) -> DataFrame:
     return read_table(spark, cfg.contracts[table])
 
 
-def _log(spark: SparkSession, cfg: RunConfig, layer: str, reached) -> None:
+def log_layer(spark: SparkSession, cfg: RunConfig, layer: str, reached) -> None:
     """Log a finished layer.  An empty layer has reached no data time."""
     if reached is not None:
         append_run(
@@ -62,9 +62,9 @@ def _log(spark: SparkSession, cfg: RunConfig, layer: str, reached) -> None:
         )
 
 
-def _newest_ingest(spark: SparkSession, cfg: RunConfig) -> str | None:
+def newest_ingest(spark: SparkSession, cfg: RunConfig) -> str | None:
     newest = [
-        _read(spark, cfg, f"bronze.{name}").agg(F.max("_ingest_ts").alias("ts"))
+        read_layer(spark, cfg, f"bronze.{name}").agg(F.max("_ingest_ts").alias("ts"))
         for name in feeds(cfg.contracts)
     ]
     both = newest[0].unionByName(newest[1]).unionByName(newest[2])
@@ -79,12 +79,12 @@ def run_bronze(spark: SparkSession, cfg: RunConfig) -> None:
         if name in cfg.feed_paths
     ]
     load_feeds(spark, sources, rejects, cfg.on_match, cfg.as_of)
-    _log(spark, cfg, "bronze", _newest_ingest(spark, cfg))
+    log_layer(spark, cfg, "bronze", newest_ingest(spark, cfg))
 
 
 def _refresh_dimension(spark: SparkSession, cfg: RunConfig, entity: str) -> None:
     contract = cfg.contracts[f"silver.dim_{entity}"]
-    bronze = _read(spark, cfg, f"bronze.{entity}s")
+    bronze = read_layer(spark, cfg, f"bronze.{entity}s")
     if cfg.dimensions == HISTORY:
         state = getattr(silver, f"{entity}_state")(bronze)
         dimension = scd2_apply(
@@ -107,22 +107,22 @@ def run_silver(spark: SparkSession, cfg: RunConfig) -> None:
         spark,
         [partial(_refresh_dimension, spark, cfg, e) for e in ("customer", "product")],
     )
-    transactions = _read(spark, cfg, "bronze.transactions")
-    products = _read(spark, cfg, "bronze.products")
+    transactions = read_layer(spark, cfg, "bronze.transactions")
+    products = read_layer(spark, cfg, "bronze.products")
     audit = silver.quarantine_rows(
         transactions,
         products,
-        _read(spark, cfg, "bronze.customers"),
+        read_layer(spark, cfg, "bronze.customers"),
         cfg.as_of,
-        _read(spark, cfg, "bronze.feed_rejects"),
+        read_layer(spark, cfg, "bronze.feed_rejects"),
     )
     write = append_table if cfg.quarantine == "append" else replace_table
     write(spark, cfg.contracts["silver.quarantine_rows"], audit)
-    customers = _read(spark, cfg, "silver.dim_customer")
-    dim_product = _read(spark, cfg, "silver.dim_product")
+    customers = read_layer(spark, cfg, "silver.dim_customer")
+    dim_product = read_layer(spark, cfg, "silver.dim_product")
     fact = silver.fact_transaction(transactions, dim_product, customers)
     replace_table(spark, cfg.contracts["silver.fact_transaction"], fact)
-    _log(spark, cfg, "silver", _newest_ingest(spark, cfg))
+    log_layer(spark, cfg, "silver", newest_ingest(spark, cfg))
 
 
 def run_gold(spark: SparkSession, cfg: RunConfig) -> None:
@@ -131,8 +131,8 @@ def run_gold(spark: SparkSession, cfg: RunConfig) -> None:
     fact = read_months(
         spark, cfg.contracts["silver.fact_transaction"], first=cfg.gold_from
     )
-    customers = _read(spark, cfg, "silver.dim_customer")
-    products = _read(spark, cfg, "silver.dim_product")
+    customers = read_layer(spark, cfg, "silver.dim_customer")
+    products = read_layer(spark, cfg, "silver.dim_product")
     marts = {
         "gold.daily_revenue": lambda: gold.daily_revenue(fact),
         "gold.customer_spend_by_month": lambda: gold.customer_spend_by_month(fact, customers),
@@ -145,7 +145,7 @@ def run_gold(spark: SparkSession, cfg: RunConfig) -> None:
 
     side_by_side(spark, [partial(refresh, table) for table in marts])
     reached = fact.agg(F.max("transaction_timestamp").cast("string")).first()[0]
-    _log(spark, cfg, "gold", reached)
+    log_layer(spark, cfg, "gold", reached)
 
 
 def run_layers(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -169,13 +169,13 @@ def summary(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 def validate(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """All checks over the stored tables, by name."""
     bronze = {
-        name: (_read(spark, cfg, f"bronze.{name}"), feed.business_key)
+        name: (read_layer(spark, cfg, f"bronze.{name}"), feed.business_key)
         for name, feed in feeds(cfg.contracts).items()
     }
-    customers = _read(spark, cfg, "silver.dim_customer")
-    products = _read(spark, cfg, "silver.dim_product")
-    fact = _read(spark, cfg, "silver.fact_transaction")
-    daily = _read(spark, cfg, "gold.daily_revenue")
+    customers = read_layer(spark, cfg, "silver.dim_customer")
+    products = read_layer(spark, cfg, "silver.dim_product")
+    fact = read_layer(spark, cfg, "silver.fact_transaction")
+    daily = read_layer(spark, cfg, "gold.daily_revenue")
     return {
         "key_counts": validation.key_counts(bronze),
         "duplicate_counts": validation.duplicate_counts(bronze),
@@ -186,7 +186,7 @@ def validate(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
             }
         ),
         "quarantine_by_reason": validation.quarantine_by_reason(
-            _read(spark, cfg, "silver.quarantine_rows")
+            read_layer(spark, cfg, "silver.quarantine_rows")
         ),
         "fact_enriched": validation.fact_enriched(fact, customers, products),
         "reconcile_revenue": validation.reconcile_revenue(spark, fact, daily),

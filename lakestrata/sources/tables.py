@@ -40,6 +40,23 @@ def read_months(
     return rows.select(*contract.names)
 
 
+def rows_of_keys(spark: SparkSession, contract: TableContract, keys: DataFrame) -> DataFrame:
+    """The rows whose columns named like those of ``keys`` hold one of its rows.
+
+    Of a partitioned table the partitions that hold them are found first, by a scan
+    of the key columns alone; no other is read whole.
+    """
+    require_table(spark, contract.table)
+    rows, names = spark.table(contract.table), keys.columns
+    if contract.partition:
+        place = F.col(contract.partition)
+        held = rows.join(keys, names, "left_semi").select(place.cast("string")).distinct()
+        kind = contract.stored_columns()[-1][1].simpleString()
+        values = [F.lit(row[0]).cast(kind) for row in held.toLocalIterator()]
+        rows = rows.filter(place.isin(values) if values else F.lit(False))
+    return rows.join(keys, names, "left_semi").select(*contract.names)
+
+
 def register_views(spark: SparkSession, contracts: dict[str, TableContract]) -> list[str]:
     """A temporary view per table, named like it, with the contract columns only."""
     for contract in contracts.values():

@@ -218,6 +218,61 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN dim_customer c ON c.customer_id = t.customer_id
         """,
     ),
+    "corrections": (
+        ("transaction_cells",),
+        """
+        SELECT *, TIMESTAMP '2024-01-03 00:00:00' AS _ingest_ts, 'batch-3' AS _source_path,
+               sha256(CAST(transaction_id AS VARCHAR) || '||' ||
+                      coalesce(CAST(customer_id AS VARCHAR), '') || '||' ||
+                      CAST(product_id AS VARCHAR) || '||' || CAST(quantity AS VARCHAR) ||
+                      '||' || CAST(transaction_amount AS VARCHAR) || '||' ||
+                      strftime(transaction_timestamp, '%Y-%m-%d %H:%M:%S') || '||' ||
+                      channel) AS _bronze_row_key
+        FROM (SELECT transaction_id, customer_id,
+                     CASE WHEN quantity = 50 THEN -abs(product_id) ELSE product_id END
+                         AS product_id,
+                     quantity, quantity * 100.0::DOUBLE AS transaction_amount,
+                     transaction_timestamp
+                         + CASE WHEN quantity = 49 THEN INTERVAL 40 DAY ELSE INTERVAL 0 DAY END
+                         AS transaction_timestamp,
+                     channel
+              FROM transaction_cells WHERE quantity >= 45)
+        """,
+    ),
+    "corrected_transactions": (
+        ("transactions", "corrections"),
+        """
+        SELECT * EXCLUDE (n) FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY transaction_id
+                ORDER BY _ingest_ts DESC, _source_path, _bronze_row_key) AS n
+            FROM (SELECT transaction_id, customer_id, product_id, quantity, transaction_amount,
+                         transaction_timestamp, channel, _ingest_ts, _source_path,
+                         _bronze_row_key FROM transactions
+                  UNION ALL BY NAME SELECT * FROM corrections)) WHERE n = 1
+        """,
+    ),
+    "corrected_fact": (
+        ("corrected_transactions", "dim_product", "dim_customer"),
+        """
+        SELECT t.transaction_id, c.customer_sk, p.product_sk,
+               CAST(t.transaction_timestamp AS DATE) AS order_date, t.transaction_timestamp,
+               t.transaction_amount, t.quantity, t.channel,
+               t.customer_id IS NULL OR c.customer_sk IS NULL AS is_anonymous_or_unlinked
+        FROM corrected_transactions t
+        JOIN dim_product p ON p.product_id = t.product_id
+        LEFT JOIN dim_customer c ON c.customer_id = t.customer_id
+        """,
+    ),
+    "order_states": (
+        (),
+        """
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month, o_orderkey,
+               o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority,
+               CAST(o_orderdate AS DATE) AS order_date
+        FROM orders
+        """,
+    ),
     "fact_before": (
         ("fact",),
         "SELECT * FROM fact WHERE order_date < DATE '1999-07-01' "
@@ -262,7 +317,12 @@ def _category(fact: str) -> str:
     """
 
 
-for _suffix, _fact_part in (("", "fact"), ("_before", "fact_before"), ("_after", "fact_after")):
+for _suffix, _fact_part in (
+    ("", "fact"),
+    ("_before", "fact_before"),
+    ("_after", "fact_after"),
+    ("_corrected", "corrected_fact"),
+):
     PARTS[f"daily{_suffix}"] = ((_fact_part,), _daily(_fact_part))
     PARTS[f"spend{_suffix}"] = ((_fact_part, "dim_customer"), _spend(_fact_part))
     PARTS[f"category{_suffix}"] = ((_fact_part, "dim_product"), _category(_fact_part))
@@ -302,6 +362,50 @@ _CUSTOMER_CONTENT = """
 """
 
 _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
+    "change_feed": (
+        ("order_states",),
+        """
+        SELECT * EXCLUDE (order_date), 'delete' AS what FROM order_states
+        WHERE order_date < DATE '2000-01-01' AND priority = '5-LOW'
+        UNION ALL
+        SELECT * EXCLUDE (order_date), 'insert' FROM order_states
+        WHERE order_date >= DATE '2000-01-01' AND priority <> '5-LOW'
+        UNION ALL
+        SELECT order_month, o_orderkey,
+               CASE WHEN order_date >= DATE '1999-07-01' THEN 'X' ELSE status END,
+               CASE WHEN order_date >= DATE '1999-07-01' THEN price * 2 ELSE price END,
+               priority, 'second'
+        FROM order_states
+        UNION ALL
+        SELECT order_month, o_orderkey, status, price, priority, what
+        FROM order_states, (VALUES ('table'), ('replayed')) AS both_ways(what)
+        WHERE priority <> '5-LOW'
+        """,
+    ),
+    "incremental_fact": (
+        ("corrected_fact",),
+        """
+        SELECT f.* EXCLUDE (customer_sk, product_sk), p.product_id, c.customer_id, c.city
+        FROM corrected_fact f JOIN dim_product p USING (product_sk)
+        LEFT JOIN dim_customer c ON c.customer_sk = f.customer_sk
+        """,
+    ),
+    "incremental_marts": (
+        ("daily_corrected", "spend_corrected", "category_corrected"),
+        """
+        SELECT 'daily' AS mart, transaction_date AS day, NULL::VARCHAR AS key,
+               total_revenue AS total, total_orders AS n_rows,
+               average_order_value AS average, NULL::INTEGER AS place
+        FROM daily_corrected
+        UNION ALL
+        SELECT 'spend', month, CAST(customer_id AS VARCHAR) || ' ' || customer_name,
+               total_spend, transaction_count, NULL, rank_by_spend
+        FROM spend_corrected
+        UNION ALL
+        SELECT 'category', transaction_date, category, total_revenue, NULL, NULL, NULL
+        FROM category_corrected
+        """,
+    ),
     "feed_customers": (("customers",), "SELECT * FROM customers"),
     "feed_products": (("products",), "SELECT * FROM products"),
     "feed_transactions": (("transactions",), "SELECT * FROM transactions"),

@@ -7,8 +7,15 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from lakestrata.contracts import TableContract, build_contracts, ensure_tables
+from pyspark.sql import types as T
+
+from lakestrata.contracts import (
+    TableContract,
+    build_contracts,
+    change_contract,
+    ensure_tables,
+    incremental_contracts,
+)
 from lakestrata.functions.keys import fingerprint
 from lakestrata.operators.changes import change_set, incremental_since
 from lakestrata.operators.dedupe import latest_by
@@ -19,8 +26,17 @@ from lakestrata.operators.sequence import with_surrogate_key
 from lakestrata.operators.staging import stage
 from lakestrata.plans import gold, silver, validation
 from lakestrata.plans.bronze import distinct_content, load_feed
+from lakestrata.plans.incremental import run_incremental
+from lakestrata.plans.run import HISTORY, RunConfig
 from lakestrata.session import shared_folder
-from lakestrata.sinks import merge_table, replace_table, write_csv
+from lakestrata.sinks import (
+    merge_table,
+    merge_with_changes,
+    net_changes_between,
+    replace_table,
+    state_at,
+    write_csv,
+)
 from lakestrata.sources import feeds, read_table
 from lakestrata.streaming import ingest_new_files
 from verification import sample_feeds as feed
@@ -398,6 +414,140 @@ def merge_table_by_month(spark, sf_dir):
     return read_table(spark, contract)
 
 
+def _order_states(spark, sf_dir) -> TableContract:
+    """A table of orders after three commits: inserts; updates and inserts; then its
+    whole content once more as it is in the file, without the orders of one priority."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "CAST(trunc(o_orderdate, 'MM') AS DATE) AS order_month",
+        "o_orderkey",
+        "o_orderstatus AS status",
+        "o_totalprice AS price",
+        "o_orderpriority AS priority",
+        "CAST(o_orderdate AS DATE) AS order_date",
+    )
+    contract = TableContract(
+        "gold",
+        "order_state",
+        T.StructType.fromDDL(
+            "order_month DATE NOT NULL, o_orderkey BIGINT NOT NULL, status STRING, "
+            "price DOUBLE, priority STRING"
+        ),
+        keys=("order_month", "o_orderkey"),
+        refresh="merge",
+        partition="order_month",
+        prefix=f"q{uuid4().hex[:12]}_",
+    )
+    ensure_tables(
+        spark,
+        {c.name: c for c in (contract, change_contract(contract))},
+        f"{shared_folder(spark)}/schemas",
+    )
+    merge_with_changes(spark, contract, orders.filter(f"order_date < DATE'{TARGET_BEFORE}'"))
+    dearer = orders.filter(f"order_date >= DATE'{SOURCE_FROM}'").withColumns(
+        {"status": F.lit("X"), "price": F.col("price") * 2}
+    )
+    merge_with_changes(spark, contract, dearer)
+    kept = orders.filter("priority <> '5-LOW'")
+    merge_with_changes(spark, contract, kept, delete_missing=True)
+    return contract
+
+
+def change_feed(spark, sf_dir):
+    """Net changes since the first commit, the state after the second, and the table."""
+    contract = _order_states(spark, sf_dir)
+    net = net_changes_between(spark, contract, 1).withColumnRenamed("_change_type", "what")
+    second = state_at(spark, contract, 2).withColumn("what", F.lit("second"))
+    now = read_table(spark, contract).withColumn("what", F.lit("table"))
+    replayed = state_at(spark, contract).withColumn("what", F.lit("replayed"))
+    return net.unionByName(second).unionByName(now).unionByName(replayed)
+
+
+def _incremental_layers(spark, sf_dir) -> RunConfig:
+    """Two runs that recompute what new rows touch.
+
+    The second brings moved customers, the store's sales, and corrections of sales
+    of both channels.
+    """
+    contracts = incremental_contracts("bigint", prefix=f"q{uuid4().hex[:12]}_")
+    ensure_tables(spark, contracts, f"{shared_folder(spark)}/schemas")
+    cfg = RunConfig(as_of=AS_OF, dimensions=HISTORY, contracts=contracts)
+    customers = feed.bronze_customers(spark, sf_dir)
+    sales = feed.bronze_transactions(spark, sf_dir)
+    first, second = "_source_path = 'batch-1'", "_source_path = 'batch-2'"
+    corrected = distinct_content(feed.corrections_feed(spark, sf_dir))
+    loads = [
+        {
+            "customers": customers.filter(first),
+            "products": feed.bronze_products(spark, sf_dir),
+            "transactions": sales.filter(first),
+        },
+        {
+            "customers": customers.filter(second),
+            "transactions": sales.filter(second).unionByName(corrected),
+        },
+    ]
+    for load in loads:
+        for name, rows in load.items():
+            merge_table(spark, contracts[f"bronze.{name}"], rows, "keep")
+        run_incremental(spark, cfg)
+    return cfg
+
+
+def incremental_fact(spark, sf_dir):
+    """The fact after both runs, with the business keys of the current versions."""
+    contracts = _incremental_layers(spark, sf_dir).contracts
+    customers = read_table(spark, contracts["silver.dim_customer"]).filter("is_current")
+    products = read_table(spark, contracts["silver.dim_product"]).filter("is_current")
+    return (
+        read_table(spark, contracts["silver.fact_transaction"])
+        .join(products.select("product_sk", "product_id"), "product_sk")
+        .join(customers.select("customer_sk", "customer_id", "city"), "customer_sk", "left")
+        .drop("customer_sk", "product_sk")
+    )
+
+
+def incremental_marts(spark, sf_dir):
+    """All marts after both runs, in one shape."""
+    contracts = _incremental_layers(spark, sf_dir).contracts
+    daily, spend, category = (
+        read_table(spark, contracts[f"gold.{name}"])
+        for name in ("daily_revenue", "customer_spend_by_month", "category_sales_daily")
+    )
+    return (
+        daily.selectExpr(
+            "'daily' AS mart",
+            "transaction_date AS day",
+            "CAST(NULL AS STRING) AS key",
+            "total_revenue AS total",
+            "total_orders AS n_rows",
+            "average_order_value AS average",
+            "CAST(NULL AS INT) AS place",
+        )
+        .unionByName(
+            spend.selectExpr(
+                "'spend' AS mart",
+                "month AS day",
+                "concat(customer_id, ' ', customer_name) AS key",
+                "total_spend AS total",
+                "transaction_count AS n_rows",
+                "CAST(NULL AS DOUBLE) AS average",
+                "rank_by_spend AS place",
+            )
+        )
+        .unionByName(
+            category.selectExpr(
+                "'category' AS mart",
+                "transaction_date AS day",
+                "category AS key",
+                "total_revenue AS total",
+                "CAST(NULL AS BIGINT) AS n_rows",
+                "CAST(NULL AS DOUBLE) AS average",
+                "CAST(NULL AS INT) AS place",
+            )
+        )
+    )
+
+
 def reconcile_revenue(spark, sf_dir):
     fact = stage(_fact(spark, sf_dir), "fact")
     return validation.reconcile_revenue(spark, fact, gold.daily_revenue(fact))
@@ -477,4 +627,7 @@ QUERIES: dict[str, Query] = {
     "replace_table": replace_table_twice,
     "merge_table": merge_table_by_month,
     "filter_limit": filter_limit,
+    "change_feed": change_feed,
+    "incremental_fact": incremental_fact,
+    "incremental_marts": incremental_marts,
 }

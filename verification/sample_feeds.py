@@ -128,6 +128,25 @@ def transactions_feed(
     )
 
 
+def corrections_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Big sales sent again: other amounts, some on another day, some with a product
+    no feed has."""
+    return _fingerprinted(
+        transactions_feed(spark, sf_dir, "3")
+        .filter("quantity >= 45")
+        .withColumns(
+            {
+                "transaction_amount": F.expr("quantity * 100D"),
+                "product_id": F.expr("IF(quantity = 50, -abs(product_id), product_id)"),
+                "transaction_timestamp": F.expr(
+                    "transaction_timestamp + IF(quantity = 49, 40, 0) * INTERVAL 1 DAY"
+                ),
+            }
+        ),
+        FEEDS["transactions"],
+    )
+
+
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_content(customers_feed(spark, sf_dir))
 
