@@ -264,6 +264,18 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN dim_customer c ON c.customer_id = t.customer_id
         """,
     ),
+    "priority_history": (
+        (),
+        """
+        SELECT customer_id, priority, moment AS valid_from,
+               lead(moment) OVER (PARTITION BY customer_id ORDER BY moment) AS next
+        FROM (SELECT *, lag(priority) OVER (PARTITION BY customer_id ORDER BY moment) AS before
+              FROM (SELECT o_custkey AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS moment,
+                           min(o_orderpriority) AS priority
+                    FROM orders GROUP BY 1, 2))
+        WHERE before IS NULL OR before <> priority
+        """,
+    ),
     "order_states": (
         (),
         """
@@ -362,6 +374,28 @@ _CUSTOMER_CONTENT = """
 """
 
 _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
+    "late_versions": (
+        ("priority_history",),
+        """
+        SELECT customer_id, priority, valid_from,
+               coalesce(strftime(next, '%Y-%m-%d %H:%M:%S'), '9999-12-31 23:59:59') AS valid_to,
+               next IS NULL AS is_current
+        FROM priority_history
+        """,
+    ),
+    "version_at": (
+        ("priority_history",),
+        """
+        SELECT s.*, h.priority, h.valid_from
+        FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+                     CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id,
+                     CAST(l_shipdate AS TIMESTAMP) - INTERVAL 60 DAY AS asked_at
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) s
+        LEFT JOIN priority_history h
+          ON h.customer_id = s.customer_id AND s.asked_at >= h.valid_from
+             AND (h.next IS NULL OR s.asked_at < h.next)
+        """,
+    ),
     "change_feed": (
         ("order_states",),
         """

@@ -19,8 +19,9 @@ from lakestrata.contracts import (
 from lakestrata.functions.keys import fingerprint
 from lakestrata.operators.changes import change_set, incremental_since
 from lakestrata.operators.dedupe import latest_by
-from lakestrata.operators.history import scd2_apply
+from lakestrata.operators.history import scd2_apply, splice_versions
 from lakestrata.operators.merge import upsert
+from lakestrata.operators.ordered import valid_at
 from lakestrata.operators.ranking import rank_within
 from lakestrata.operators.sequence import with_surrogate_key
 from lakestrata.operators.staging import stage
@@ -252,6 +253,54 @@ def scd2_history(spark, sf_dir):
     return _open_end_as_text(after)
 
 
+def _priority_history(spark, sf_dir) -> DataFrame:
+    """Order priorities as states of a customer; statuses arrive one after the other,
+    so most rows of the later batches lie between those known."""
+    states = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderdate").cast("timestamp").alias("as_of_ingest_ts"),
+        F.col("o_orderpriority").alias("row_hash"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    seen = states.drop("status").limit(0)
+    history = seen.selectExpr(
+        "CAST(NULL AS BIGINT) AS customer_sk",
+        "*",
+        "as_of_ingest_ts AS valid_from",
+        "as_of_ingest_ts AS valid_to",
+        "TRUE AS is_current",
+    )
+    for status in ("O", "F", "P"):
+        batch = states.filter(F.col("status") == status).drop("status")
+        history, seen = splice_versions(history, seen, batch, "customer_id", "customer_sk")
+        history = stage(history, "history")
+    return history
+
+
+def late_versions(spark, sf_dir):
+    """The history without its surrogate keys, whose numbers follow the batches."""
+    history = _priority_history(spark, sf_dir).drop("row_hash", "as_of_ingest_ts")
+    return _open_end_as_text(history.drop("customer_sk"))
+
+
+def version_at(spark, sf_dir):
+    """Every line item with its customer's state at the time it was shipped."""
+    history = _priority_history(spark, sf_dir)
+    shipped = (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "orders").hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            F.expr("IF(o_totalprice >= 6000, o_custkey, NULL)").alias("customer_id"),
+            F.expr("CAST(l_shipdate AS TIMESTAMP) - INTERVAL 60 DAYS").alias("asked_at"),
+        )
+    )
+    return valid_at(shipped, "customer_id", "asked_at", history, ["priority", "valid_from"])
+
+
 # ------------------------------------------------------------------- gold
 
 
@@ -627,6 +676,8 @@ QUERIES: dict[str, Query] = {
     "replace_table": replace_table_twice,
     "merge_table": merge_table_by_month,
     "filter_limit": filter_limit,
+    "late_versions": late_versions,
+    "version_at": version_at,
     "change_feed": change_feed,
     "incremental_fact": incremental_fact,
     "incremental_marts": incremental_marts,
