@@ -254,6 +254,21 @@ def build_contracts(id_type: str = "int", prefix: str = "") -> dict[str, TableCo
     }
 
 
+def ledger_contract(prefix: str = "") -> TableContract:
+    """The table of feed files that have been read."""
+    return TableContract(
+        META,
+        "file_ledger",
+        _columns(
+            "feed string!, path string!, size_bytes bigint!, modified timestamp!, "
+            "_ingest_ts timestamp!"
+        ),
+        refresh="append",
+        comment="Feed files read, as they were then",
+        prefix=prefix,
+    )
+
+
 def change_contract(contract: TableContract) -> TableContract:
     """The table that holds the row images of every commit to ``contract``'s table."""
     columns = T.StructType([T.StructField(f.name, f.dataType) for f in contract.columns.fields])

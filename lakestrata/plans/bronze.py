@@ -30,6 +30,7 @@ def load_feed(
     rejects: TableContract,
     on_match: str = "touch",
     ingest_ts: str | datetime | Column | None = None,
+    headers: str = "same",
 ) -> None:
     """Load a feed folder into its bronze table and set bad rows aside.
 
@@ -38,21 +39,22 @@ def load_feed(
     key: a corrected record is a new row.  Keep is the mode for folders that
     still hold old files, and the cheap one: it only appends.
     """
-    load_feeds(spark, [(feed, path)], rejects, on_match, ingest_ts)
+    load_feeds(spark, [(feed, path)], rejects, on_match, ingest_ts, headers)
 
 
 def load_feeds(
     spark: SparkSession,
-    sources: Sequence[tuple[Feed, str]],
+    sources: Sequence[tuple[Feed, str | list[str]]],
     rejects: TableContract,
     on_match: str = "touch",
     ingest_ts: str | datetime | Column | None = None,
+    headers: str = "same",
 ) -> None:
     """Load several feeds, which do not depend on each other, side by side."""
     for feed, _ in sources:
         require_table(spark, feed.contract.table)
     typed = [
-        (feed, typed_rows(read_feed(spark, feed, path, ingest_ts), feed))
+        (feed, typed_rows(read_feed(spark, feed, path, ingest_ts, headers), feed))
         for feed, path in sources
     ]
     store_typed(spark, typed, rejects, on_match)

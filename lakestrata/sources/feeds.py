@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +26,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# A record that does not fit its header, and what is wrong with it.
+MALFORMED, PROBLEM = "_malformed", "_record_problem"
+
 _LINEAGE = ["_ingest_ts", "_source_path", "_source_name", "_source_size_bytes"]
 
 
@@ -58,6 +63,13 @@ def feeds(contracts: dict[str, TableContract] | None = None) -> dict[str, Feed]:
     }
 
 
+def record_columns(feed: Feed) -> tuple[T.StructType, list[Column]]:
+    """Schema and columns of records whose cells are in the feed's own order."""
+    schema = T.StructType([*feed.text_schema.fields, T.StructField(MALFORMED, T.StringType())])
+    problem = _record_problem(len(feed.columns)).alias(PROBLEM)
+    return schema, [*map(F.col, schema.names), problem]
+
+
 def lineage_columns(ingest_ts: str | datetime | Column | None = None) -> dict[str, Column]:
     return {
         "_ingest_ts": instant(ingest_ts),
@@ -70,40 +82,105 @@ def lineage_columns(ingest_ts: str | datetime | Column | None = None) -> dict[st
 def read_feed(
     spark: SparkSession,
     feed: Feed,
-    path: str,
+    path: str | list[str],
     ingest_ts: str | datetime | Column | None = None,
+    headers: str = "same",
 ) -> DataFrame:
-    """All cells of a feed folder as text, with lineage.
+    """All cells of a feed folder, or of listed files, as text, with lineage.
 
-    Columns are found by their header name.  Files whose headers differ from
-    each other fail instead of shifting cells; columns the feed does not know
-    are left out.
+    Columns are found by their header name; columns the feed does not know are left
+    out.  With ``headers="same"`` files whose headers differ from each other fail
+    instead of shifting cells.  With ``"any"`` every file has its own order of
+    columns; the headers are looked up first, by a pass over the lines.  A record of
+    fewer or more cells than its header keeps its text in ``_malformed``.
     """
-    raw = (
+    if headers not in ("same", "any"):
+        raise ValueError(f"headers must be 'same' or 'any', not {headers!r}")
+    if headers == "any":
+        groups = _files_by_header(spark, feed, path)
+    else:
+        groups = [(_csv_reader(spark).csv(path).columns, path)]
+    parts = []
+    for names, files in groups:
+        missing = [f.name for f in feed.columns if f.name not in names]
+        if missing:
+            raise ValueError(f"feed {feed.name}: no column {', '.join(missing)} in {path}")
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+        raw = (
+            _csv_reader(spark)
+            .schema(text)
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", "false")  # else cells of columns left out are not counted
+            .csv(files)
+        )
+        parts.append(
+            raw.select(
+                *[F.col(f.name) for f in feed.columns],
+                _record_problem(len(names)).alias(PROBLEM),
+                MALFORMED,
+                *[column.alias(name) for name, column in lineage_columns(ingest_ts).items()],
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    return (
         spark.read.options(**CSV_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("enforceSchema", "false")
-        .csv(path)
     )
-    missing = [f.name for f in feed.columns if f.name not in raw.columns]
-    if missing:
-        raise ValueError(f"feed {feed.name}: no column {', '.join(missing)} in {path}")
-    lineage = lineage_columns(ingest_ts)
-    return raw.select(
-        *[F.col(f.name) for f in feed.columns],
-        *[column.alias(name) for name, column in lineage.items()],
+
+
+def _record_problem(cells: int) -> Column:
+    """Why a record does not fit its header, from its text outside of quotes; else NULL."""
+    bare = f"""regexp_replace({MALFORMED}, '"([^"]|"")*"', '')"""
+    found = f"length({bare}) - length(replace({bare}, ',', '')) + 1"
+    return F.expr(
+        f"CASE WHEN {MALFORMED} IS NULL THEN NULL WHEN {found} < {cells} THEN 'short_record' "
+        f"WHEN {found} > {cells} THEN 'long_record' ELSE 'malformed_record' END"
+    )
+
+
+def _files_by_header(
+    spark: SparkSession, feed: Feed, path: str | list[str]
+) -> list[tuple[list[str], list[str]]]:
+    """(column names, files that have them in this order).
+
+    A header is a line that names all columns of the feed.  One row for each file
+    comes to the driver: metadata, not data.
+    """
+    names = F.transform(F.split("value", ","), lambda name: F.trim(F.btrim(name, F.lit('"'))))
+    known = [F.array_contains("names", f.name) for f in feed.columns]
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    found = (
+        lines.filter(F.col("value").contains(feed.columns[0].name))
+        .select(F.col("_metadata.file_path").alias("file"), names.alias("names"))
+        .filter(reduce(Column.__and__, known))
+        .groupBy("file")
+        .agg(F.min("names").alias("names"), F.max("names").alias("other"))
+        .collect()
     )
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in found:
+        if row["names"] != row["other"]:
+            raise ValueError(f"feed {feed.name}: two headers in {row['file']}")
+        groups.setdefault(tuple(row["names"]), []).append(unquote(row["file"]))
+    if not groups:
+        raise ValueError(f"feed {feed.name}: no file with its columns in {path}")
+    return [(list(names), sorted(files)) for names, files in sorted(groups.items())]
 
 
 def typed_rows(raw: DataFrame, feed: Feed) -> DataFrame:
     """Typed cells, the fingerprint, and ``_reject_reason`` (NULL for good rows).
 
-    A cell that does not read as its type, or a required cell that is absent,
-    rejects its row with the name of the first such column; the load goes on.
-    The text is kept for rejected rows only.
+    A record of too few or too many cells is rejected as a whole.  A cell that does
+    not read as its type, or a required cell that is absent, rejects its row with the
+    name of the first such column; the load goes on.  The text is kept for rejected
+    rows only.
     """
     names = [c.name for c in feed.columns]
-    reasons = []
+    reasons = [f"WHEN {PROBLEM} IS NOT NULL THEN {PROBLEM}"]
     for column in feed.columns:
         name = column.name
         if not isinstance(column.dataType, T.StringType):
@@ -117,18 +194,21 @@ def typed_rows(raw: DataFrame, feed: Feed) -> DataFrame:
         *[f"{try_convert(c.name, c.dataType)} AS {c.name}" for c in feed.columns],
         *_LINEAGE,
         f"struct({', '.join(names)}) AS _text",
+        PROBLEM,
+        MALFORMED,
     )
     judged = cells.selectExpr(
         *names,
         *_LINEAGE,
         f"CASE {' '.join(reasons)} END AS _reject_reason",
         "_text",
+        MALFORMED,
     )
     kept_text = judged.selectExpr(
         *names,
         *_LINEAGE,
         "_reject_reason",
-        "IF(_reject_reason IS NULL, NULL, to_json(_text)) AS _raw_row",
+        f"IF(_reject_reason IS NULL, NULL, coalesce({MALFORMED}, to_json(_text))) AS _raw_row",
         f"IF(_reject_reason IS NULL, NULL, _text.{feed.business_key}) AS _raw_key",
     )
     # A rejected row is known by its text: typed cells are NULL where it is bad.

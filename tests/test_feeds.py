@@ -4,8 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from lakestrata.contracts import ensure_tables
+from lakestrata.contracts import ensure_tables, ledger_contract
 from lakestrata.plans.bronze import load_feed
+from lakestrata.plans.ledger import load_new_files
 from lakestrata.sinks import show_overview, write_csv
 from lakestrata.sources import (
     feeds,
@@ -178,3 +179,83 @@ def test_session_info_and_overview(spark, capsys):
     show_overview("one row", spark.range(1))
     shown = capsys.readouterr().out
     assert "== one row" in shown and "1 rows" in shown
+
+
+HEADER = PRODUCTS.strip()
+
+
+def test_short_and_long_records_are_rejects(spark, tmp_path, contracts, rows):
+    """Every record is a good row or a reject; quoted commas and quotes do not count."""
+    good = ['1,"a, ""b""",c,d,1.5,2020-01-01', '2,"x,y,z",c,d,,']
+    bad = ["3,a,c", "4,a,c,d,1.5,2020-01-01,more", '5,"a,b",c,d,1', "6,a,c,d,nan,2020-01-01", ",,,,,"]
+    write(tmp_path, "p.csv", "\n".join([HEADER, *good, *bad]) + "\n")
+    load_feed(spark, feeds(contracts)["products"], str(tmp_path), contracts["bronze.feed_rejects"])
+    stored = read_table(spark, contracts["bronze.products"])
+    assert rows(stored, "product_id", "product_name", "price") == [
+        (1, 'a, "b"', 1.5),
+        (2, "x,y,z", None),
+    ]
+    rejects = read_table(spark, contracts["bronze.feed_rejects"])
+    assert rows(rejects, "business_key", "reason") == sorted(
+        [
+            ("3", "short_record"),
+            ("4", "long_record"),
+            ("5", "short_record"),
+            ("6", "cast_failed:price"),
+            (None, "required_null:product_id"),
+        ],
+        key=repr,
+    )
+    assert "4,a,c,d,1.5,2020-01-01,more" in [r["raw_row"] for r in rejects.collect()]
+
+
+def test_headers_of_any_order(spark, tmp_path, contracts, rows):
+    write(tmp_path, "a b.csv", f"{HEADER}\n1,n,c,b,1.0,2020-01-01\n")
+    write(tmp_path, "b.csv", 'price,"brand",extra,product_id,category,created_date,product_name\n2.0,b,"e,e",2,c,,n\n3.0,b,3\n')
+    products = feeds(contracts)["products"]
+    with pytest.raises(Exception):
+        read_feed(spark, products, str(tmp_path)).collect()
+    found = read_feed(spark, products, str(tmp_path), headers="any")
+    assert rows(found, "product_id", "product_name", "price", "_record_problem") == sorted(
+        [("1", "n", "1.0", None), ("2", "n", "2.0", None), (None, None, "3.0", "short_record")], key=repr
+    )
+    with pytest.raises(ValueError):
+        read_feed(spark, products, str(tmp_path), headers="some")
+    other = tmp_path / "none"
+    other.mkdir()
+    write(other, "c.csv", "product_id,price\n1,2\n")
+    with pytest.raises(ValueError, match="no file"):
+        read_feed(spark, products, str(other), headers="any")
+
+
+def test_ledger_reads_changed_files_once_more(spark, tmp_path, contracts, rows):
+    products, rejects = feeds(contracts)["products"], contracts["bronze.feed_rejects"]
+    ledger, folder = ledger_contract(products.contract.prefix), tmp_path / "in"
+    ensure_tables(spark, {"ledger": ledger})
+    folder.mkdir()
+
+    def call(n):
+        return load_new_files(
+            spark, products, str(folder), rejects, ledger, ingest_ts=f"2024-01-0{n} 00:00:00"
+        )
+
+    write(folder, "a 1.csv", f"{HEADER}\n1,n,c,b,1.0,\n")
+    assert (call(1), call(2)) == (1, 0)
+    write(folder, "b.csv", f"{HEADER}\n2,n,c,b,1.0,\n")
+    assert call(3) == 1
+    write(folder, "a 1.csv", f"{HEADER}\n1,n,c,b,1.0,\n3,n,c,b,1.0,\n")
+    assert (call(4), call(5)) == (1, 0)
+    stored = read_table(spark, products.contract).selectExpr("product_id", "day(_ingest_ts)")
+    assert rows(stored) == [(1, 4), (2, 3), (3, 4)]
+    assert read_table(spark, ledger).count() == 3
+
+    # A stream over the same folder leaves them out, and tells the ledger of its own.
+    write(folder, "c.csv", f"{HEADER}\n4,n,c,b,1.0,\n5,n\n")
+    ingest_new_files(
+        spark, products, str(folder), rejects, str(tmp_path / "stream"),
+        ingest_ts="2024-01-06 00:00:00", ledger=ledger,
+    )
+    stored = read_table(spark, products.contract).selectExpr("product_id", "day(_ingest_ts)")
+    assert rows(stored) == [(1, 4), (2, 3), (3, 4), (4, 6)]
+    assert rows(read_table(spark, rejects), "reason") == [("short_record",)]
+    assert call(7) == 0 and read_table(spark, ledger).count() == 4

@@ -264,6 +264,27 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN dim_customer c ON c.customer_id = t.customer_id
         """,
     ),
+    # Rejects are known by the text of their records: what a cell hides does not count.
+    "bad_sales": (
+        ("transaction_cells",),
+        """
+        SELECT CASE quantity WHEN 50 THEN 'short_record' WHEN 49 THEN 'long_record'
+                    WHEN 47 THEN 'required_null:transaction_id'
+                    WHEN 45 THEN 'cast_failed:transaction_timestamp'
+                    ELSE 'cast_failed:transaction_amount' END AS reason,
+               CASE WHEN quantity = 47 THEN ' '
+                    WHEN quantity < 50 OR channel = 'online'
+                    THEN CAST(transaction_id AS VARCHAR) END AS key,
+               (quantity, channel,
+                CASE WHEN quantity <> 47 AND (quantity < 50 OR channel = 'online')
+                     THEN transaction_id END,
+                CASE WHEN quantity < 50 OR channel = 'online' THEN (customer_id, product_id) END,
+                CASE WHEN quantity IN (45, 47, 49) THEN transaction_amount END,
+                CASE WHEN quantity IN (46, 47, 48, 49) OR (quantity = 50 AND channel = 'store')
+                     THEN transaction_timestamp END) AS record
+        FROM transaction_cells WHERE quantity >= 45
+        """,
+    ),
     "priority_history": (
         (),
         """
@@ -374,6 +395,37 @@ _CUSTOMER_CONTENT = """
 """
 
 _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
+    "load_feed_transactions": (
+        ("transaction_keys",),
+        """
+        SELECT DISTINCT transaction_id, customer_id, product_id, quantity, transaction_amount,
+               transaction_timestamp, channel, _bronze_row_key, TRUE AS has_lineage
+        FROM transaction_keys WHERE quantity < 45
+        """,
+    ),
+    "feed_rejects": (
+        ("bad_sales", "transaction_keys"),
+        """
+        SELECT 'transactions' AS feed, reason, count(DISTINCT record) AS n_rows,
+               count(DISTINCT key) AS n_keys
+        FROM bad_sales GROUP BY reason
+        UNION ALL SELECT 'bucket', 'other', count(DISTINCT record), NULL FROM bad_sales
+        UNION ALL
+        SELECT 'good', NULL, count(DISTINCT (transaction_id, _bronze_row_key)),
+               count(DISTINCT transaction_id)
+        FROM transaction_keys WHERE quantity < 45
+        """,
+    ),
+    "file_ledger": (
+        ("customers",),
+        """
+        SELECT DISTINCT customer_id, first_name, last_name, email, city,
+               nullif(state, '') AS state, signup_date, loyalty_tier, _bronze_row_key,
+               CASE WHEN _source_path = 'batch-2' THEN 2
+                    WHEN loyalty_tier = 'BUILDING' THEN 3 ELSE 1 END AS read_by
+        FROM customers
+        """,
+    ),
     "late_versions": (
         ("priority_history",),
         """

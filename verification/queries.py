@@ -15,6 +15,7 @@ from lakestrata.contracts import (
     change_contract,
     ensure_tables,
     incremental_contracts,
+    ledger_contract,
 )
 from lakestrata.functions.keys import fingerprint
 from lakestrata.operators.changes import change_set, incremental_since
@@ -28,6 +29,7 @@ from lakestrata.operators.staging import stage
 from lakestrata.plans import gold, silver, validation
 from lakestrata.plans.bronze import distinct_content, load_feed
 from lakestrata.plans.incremental import run_incremental
+from lakestrata.plans.ledger import load_new_files
 from lakestrata.plans.run import HISTORY, RunConfig
 from lakestrata.session import shared_folder
 from lakestrata.sinks import (
@@ -39,6 +41,7 @@ from lakestrata.sinks import (
     write_csv,
 )
 from lakestrata.sources import feeds, read_table
+from lakestrata.sources.feeds import CSV_OPTIONS
 from lakestrata.streaming import ingest_new_files
 from verification import sample_feeds as feed
 from verification.sample_feeds import AS_OF, FEEDS, table
@@ -444,6 +447,122 @@ def file_ingest(spark, sf_dir):
     return read_table(spark, customers.contract).select(*columns, "_bronze_row_key")
 
 
+def _bad_cells(spark, sf_dir) -> DataFrame:
+    """Sales as CSV records: by quantity some are short, some long, some have a cell
+    that is no number, no time, or absent."""
+    return feed.transactions_feed(spark, sf_dir).selectExpr(
+        "quantity",
+        "channel",
+        "IF(quantity = 47, ' ', CAST(transaction_id AS STRING)) AS id",
+        "coalesce(CAST(customer_id AS STRING), '') AS customer",
+        "CAST(product_id AS STRING) AS product",
+        "CASE quantity WHEN 48 THEN 'n/a' WHEN 46 THEN 'Infinity' "
+        "ELSE CAST(transaction_amount AS STRING) END AS amount",
+        "IF(quantity = 45, 'noon', date_format(transaction_timestamp, 'yyyy-MM-dd HH:mm:ss')) "
+        "AS moment",
+    )
+
+
+def _load_bad_sales(spark, sf_dir) -> dict[str, TableContract]:
+    """Two folders of CSV files whose headers differ in order, loaded at once."""
+    contracts = _tables(spark, "bronze.transactions", "bronze.feed_rejects")
+    path = f"{shared_folder(spark)}/feeds/sales-{uuid4().hex}"
+    cells = _bad_cells(spark, sf_dir)
+    lines = {
+        "online": (
+            "transaction_id,customer_id,product_id,quantity,transaction_amount,"
+            "transaction_timestamp,channel",
+            ("id", "customer", "product", "quantity", "amount", "moment", "channel"),
+        ),
+        "store": (
+            "channel,extra,transaction_timestamp,transaction_amount,quantity,product_id,"
+            "customer_id,transaction_id",
+            ("channel", "'\"a, b\"'", "moment", "amount", "quantity", "product", "customer", "id"),
+        ),
+    }
+    for channel, (header, names) in lines.items():
+        whole = f"concat_ws(',', {', '.join(names)})"
+        record = (
+            f"CASE quantity WHEN 50 THEN substring_index({whole}, ',', 4) "
+            f"WHEN 49 THEN concat({whole}, ',more') ELSE {whole} END AS `{header}`"
+        )
+        # One column, so that a record is written as it is.
+        written = cells.filter(F.col("channel") == channel).selectExpr(record).write
+        written.options(**{**CSV_OPTIONS, "sep": "\x01", "quote": ""}).csv(f"{path}/{channel}")
+    sales = feeds(contracts)["transactions"]
+    load_feed(spark, sales, path, contracts["bronze.feed_rejects"], headers="any")
+    return contracts
+
+
+def load_feed_transactions(spark, sf_dir):
+    """Good sales out of files with bad ones, typed, with their lineage."""
+    contract = _load_bad_sales(spark, sf_dir)["bronze.transactions"]
+    return read_table(spark, contract).select(
+        *contract.feed_columns,
+        "_bronze_row_key",
+        F.expr(
+            "endswith(_source_path, _source_name) AND _source_size_bytes > 0 "
+            "AND contains(_source_path, concat('/', channel, '/'))"
+        ).alias("has_lineage"),
+    )
+
+
+def feed_rejects(spark, sf_dir):
+    """Bad sales by reason, in the audit's buckets, beside the number of good ones."""
+    contracts = _load_bad_sales(spark, sf_dir)
+    rejects = read_table(spark, contracts["bronze.feed_rejects"])
+    good = read_table(spark, contracts["bronze.transactions"])
+    counted = rejects.groupBy("feed", "reason").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("business_key").alias("n_keys")
+    )
+    buckets = validation.quarantine_by_reason(rejects).select(
+        F.lit("bucket").alias("feed"),
+        F.col("quarantine_category").alias("reason"),
+        F.col("n").alias("n_rows"),
+        F.lit(None).cast("bigint").alias("n_keys"),
+    )
+    stored = good.select(
+        F.lit("good").alias("feed"), F.lit(None).cast("string").alias("reason"), "transaction_id"
+    )
+    return (
+        counted.unionByName(buckets)
+        .unionByName(
+            stored.groupBy("feed", "reason").agg(
+                F.count("*").alias("n_rows"),
+                F.count_distinct("transaction_id").alias("n_keys"),
+            )
+        )
+    )
+
+
+def file_ledger(spark, sf_dir):
+    """Customers as read by four calls over one folder: one part; another part that
+    arrives; the first written anew with fewer rows; nothing."""
+    contracts = _tables(spark, "bronze.customers", "bronze.feed_rejects")
+    customers = feeds(contracts)["customers"]
+    ledger = ledger_contract(customers.contract.prefix)
+    ensure_tables(spark, {"ledger": ledger}, f"{shared_folder(spark)}/schemas")
+    rows = feed.customers_feed(spark, sf_dir)
+    columns = list(customers.contract.feed_columns)
+    path = f"{shared_folder(spark)}/feeds/customers-{uuid4().hex}"
+    first, second = "_source_path = 'batch-1'", "_source_path = 'batch-2'"
+    arriving = (("a", first), ("b", second), ("a", f"{first} AND loyalty_tier = 'BUILDING'"), None)
+    for call, part in enumerate(arriving, 1):
+        if part:
+            write_csv(rows.filter(part[1]).select(*columns), f"{path}/{part[0]}")
+        load_new_files(
+            spark,
+            customers,
+            path,
+            contracts["bronze.feed_rejects"],
+            ledger,
+            ingest_ts=f"2024-03-0{call} 00:00:00",
+        )
+    return read_table(spark, customers.contract).select(
+        *columns, "_bronze_row_key", F.day("_ingest_ts").alias("read_by")
+    )
+
+
 def replace_table_twice(spark, sf_dir):
     """The customer dimension, stored over an earlier state of itself."""
     contract = _tables(spark, "silver.dim_customer")["silver.dim_customer"]
@@ -676,6 +795,9 @@ QUERIES: dict[str, Query] = {
     "replace_table": replace_table_twice,
     "merge_table": merge_table_by_month,
     "filter_limit": filter_limit,
+    "load_feed_transactions": load_feed_transactions,
+    "feed_rejects": feed_rejects,
+    "file_ledger": file_ledger,
     "late_versions": late_versions,
     "version_at": version_at,
     "change_feed": change_feed,
