@@ -269,6 +269,23 @@ def ledger_contract(prefix: str = "") -> TableContract:
     )
 
 
+def audit_contract(prefix: str = "") -> TableContract:
+    """The quarantine over several runs, one row for each finding."""
+    return TableContract(
+        SILVER,
+        "quarantine_audit",
+        _columns(
+            "entity string!, business_key string!, reason string!, source_layer string, "
+            "n_rows bigint!, first_run string!, first_seen_at timestamp!, last_run string!, "
+            "last_seen_at timestamp!, resolved_run string, resolved_at timestamp, "
+            "times_opened int!"
+        ),
+        keys=("entity", "business_key", "reason"),
+        comment="Findings with the runs that saw and resolved them",
+        prefix=prefix,
+    )
+
+
 def change_contract(contract: TableContract) -> TableContract:
     """The table that holds the row images of every commit to ``contract``'s table."""
     columns = T.StructType([T.StructField(f.name, f.dataType) for f in contract.columns.fields])

@@ -1,7 +1,10 @@
 """Relational operators: DataFrames in, DataFrame out."""
 
+from lakestrata.operators.audit import audit_after
 from lakestrata.operators.changes import change_set, incremental_since, net_changes
 from lakestrata.operators.dedupe import assert_unique, latest_by
+from lakestrata.operators.digests import content_differences, multiset_digest
+from lakestrata.operators.distinct import distinct_counts, distinct_state, merge_states
 from lakestrata.operators.history import scd2_apply, splice_versions, versions_of
 from lakestrata.operators.joins import lookup, without_match
 from lakestrata.operators.merge import upsert, upsert_stored
@@ -12,11 +15,17 @@ from lakestrata.operators.staging import stage
 
 __all__ = [
     "assert_unique",
+    "audit_after",
     "change_set",
+    "content_differences",
+    "distinct_counts",
+    "distinct_state",
     "incremental_since",
     "last_before",
     "latest_by",
     "lookup",
+    "merge_states",
+    "multiset_digest",
     "net_changes",
     "rank_within",
     "scd2_apply",

@@ -9,7 +9,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.contracts import TableContract, build_contracts
+from lakestrata.contracts import TableContract, audit_contract, build_contracts
+from lakestrata.operators.audit import audit_after
 from lakestrata.operators.history import scd2_apply
 from lakestrata.plans import gold, silver, validation
 from lakestrata.plans.bronze import load_feeds
@@ -27,7 +28,8 @@ class RunConfig:
 
     ``dimensions="current"`` rebuilds the dimensions with one row per key;
     ``"history"`` closes and opens versions instead.  ``quarantine`` is
-    "replace" or "append".  ``as_of`` stamps validity and audit rows, so that a
+    "replace", "append", or "audit", which keeps one row for each finding in the
+    table of ``audit_contract`` and is repeatable by ``run_id``.  ``as_of`` stamps validity and audit rows, so that a
     repeated run gives the same tables.  ``gold_from`` limits the gold layer to
     the month of a day and all later ones; older mart rows stay as they are.
     """
@@ -116,8 +118,14 @@ def run_silver(spark: SparkSession, cfg: RunConfig) -> None:
         cfg.as_of,
         read_layer(spark, cfg, "bronze.feed_rejects"),
     )
-    write = append_table if cfg.quarantine == "append" else replace_table
-    write(spark, cfg.contracts["silver.quarantine_rows"], audit)
+    if cfg.quarantine == "audit":
+        contract = audit_contract(cfg.contracts["silver.quarantine_rows"].prefix)
+        run_id = cfg.run_id or str(cfg.as_of)
+        after = audit_after(read_table(spark, contract), audit, run_id, cfg.as_of)
+        replace_table(spark, contract, after)
+    else:
+        write = append_table if cfg.quarantine == "append" else replace_table
+        write(spark, cfg.contracts["silver.quarantine_rows"], audit)
     customers = read_layer(spark, cfg, "silver.dim_customer")
     dim_product = read_layer(spark, cfg, "silver.dim_product")
     fact = silver.fact_transaction(transactions, dim_product, customers)
@@ -190,5 +198,8 @@ def validate(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
         ),
         "fact_enriched": validation.fact_enriched(fact, customers, products),
         "reconcile_revenue": validation.reconcile_revenue(spark, fact, daily),
+        "content": validation.fact_content(
+            read_layer(spark, cfg, "bronze.transactions"), products, fact
+        ),
         "summary": summary(spark, cfg),
     }

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.money import money_sum
+from lakestrata.functions.times import month_start
+from lakestrata.operators.dedupe import latest_by
+from lakestrata.operators.digests import content_differences
 from lakestrata.operators.joins import lookup
 from lakestrata.values import BUCKET_EMAIL, BUCKET_MISSING_PRODUCT, BUCKET_OTHER
 
@@ -121,3 +124,26 @@ def layer_summary(spark: SparkSession, counts: dict[str, DataFrame]) -> DataFram
     return spark.range(1).select(
         *[df.agg(F.count("*")).scalar().alias(name) for name, df in counts.items()]
     )
+
+
+FACT_CONTENT = ("order_month", "transaction_id", "order_date", "transaction_amount", "quantity", "channel")
+
+
+def fact_content(
+    bronze_transactions: DataFrame, products: DataFrame, fact: DataFrame
+) -> DataFrame:
+    """Rows that bronze and the fact do not hold alike, with how often each has them.
+
+    Totals can agree where contents do not.  Months are compared by digest first, and
+    only those that differ by row.
+    """
+    known = products.filter("is_current").select("product_id")
+    latest = latest_by(bronze_transactions, ["transaction_id"])
+    expected = lookup(latest, known, "product_id", "left_semi")
+    sides = [
+        df.withColumn("order_date", F.to_date("transaction_timestamp"))
+        .withColumn("order_month", month_start("order_date"))
+        .select(*FACT_CONTENT)
+        for df in (expected, fact)
+    ]
+    return content_differences(*sides, "order_month", FACT_CONTENT)

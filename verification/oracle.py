@@ -426,6 +426,68 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customers
         """,
     ),
+    "distinct_rollup": (
+        ("transaction_cells",),
+        """
+        SELECT level, day, id_name, count(*) AS n_rows, count(DISTINCT id) AS n_distinct,
+               count(*) - count(DISTINCT id) AS surplus
+        FROM (SELECT CAST(transaction_timestamp AS DATE) AS on_day,
+                     unnest([{'id_name': 'customer_id', 'id': customer_id},
+                             {'id_name': 'product_id', 'id': product_id},
+                             {'id_name': 'transaction_id', 'id': transaction_id}],
+                            recursive := true)
+              FROM transaction_cells) ids,
+             LATERAL (VALUES ('day', on_day),
+                             ('month', CAST(date_trunc('month', on_day) AS DATE)),
+                             ('all', NULL)) AS levels(level, day)
+        WHERE id IS NOT NULL
+        GROUP BY level, day, id_name
+        """,
+    ),
+    "reconcile_content": (
+        ("fact",),
+        """
+        SELECT order_month, transaction_id, order_date, transaction_amount, quantity, channel,
+               sum(in_left)::BIGINT AS n_left, sum(1 - in_left)::BIGINT AS n_right
+        FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month,
+                     transaction_id, order_date, transaction_amount, quantity, channel,
+                     1 AS in_left
+              FROM fact
+              UNION ALL
+              SELECT CAST(date_trunc('month', f.order_date) AS DATE), f.transaction_id,
+                     f.order_date,
+                     CASE WHEN f.order_date < DATE '1997-01-01'
+                               AND o.transaction_id IS NOT NULL
+                          THEN o.transaction_amount ELSE f.transaction_amount END,
+                     f.quantity, f.channel, 0
+              FROM fact f
+              LEFT JOIN fact o
+                ON f.transaction_id % 8 IN (1, 2)
+                   AND date_trunc('month', o.order_date) = date_trunc('month', f.order_date)
+                   AND o.transaction_id = CASE f.transaction_id % 8
+                       WHEN 1 THEN f.transaction_id + 1 ELSE f.transaction_id - 1 END)
+        GROUP BY ALL HAVING sum(in_left) <> sum(1 - in_left)
+        """,
+    ),
+    "quarantine_audit": (
+        ("transactions", "products", "latest_customers"),
+        """
+        SELECT 'transaction' AS entity, CAST(t.transaction_id AS VARCHAR) AS business_key,
+               'product_id_not_in_bronze_product_feed' AS reason, 'bronze' AS source_layer,
+               count(*) AS n_rows, 'run-1' AS first_run,
+               TIMESTAMP '2024-02-01 00:00:00' AS first_seen_at, 'run-3' AS last_run,
+               TIMESTAMP '2024-02-03 00:00:00' AS last_seen_at,
+               NULL::VARCHAR AS resolved_run, NULL::TIMESTAMP AS resolved_at,
+               CASE WHEN count(p.product_id) < count(*) THEN 1 ELSE 2 END AS times_opened
+        FROM transactions t LEFT JOIN products p ON p.product_id = t.product_id
+        WHERE p.product_id IS NULL OR p.price >= 1500 GROUP BY t.transaction_id
+        UNION ALL
+        SELECT 'customer', CAST(customer_id AS VARCHAR), 'email_null_will_impute_in_dim', 'bronze',
+               1, 'run-1', TIMESTAMP '2024-02-01 00:00:00', 'run-2',
+               TIMESTAMP '2024-02-02 00:00:00', 'run-3', TIMESTAMP '2024-02-03 00:00:00', 1
+        FROM latest_customers WHERE email IS NULL OR trim(email) = ''
+        """,
+    ),
     "late_versions": (
         ("priority_history",),
         """

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakestrata.contracts import (
     TableContract,
+    audit_contract,
     build_contracts,
     change_contract,
     ensure_tables,
@@ -18,8 +19,10 @@ from lakestrata.contracts import (
     ledger_contract,
 )
 from lakestrata.functions.keys import fingerprint
+from lakestrata.operators.audit import audit_after
 from lakestrata.operators.changes import change_set, incremental_since
 from lakestrata.operators.dedupe import latest_by
+from lakestrata.operators.distinct import distinct_counts, distinct_state, merge_states
 from lakestrata.operators.history import scd2_apply, splice_versions
 from lakestrata.operators.merge import upsert
 from lakestrata.operators.ordered import valid_at
@@ -746,6 +749,69 @@ def layer_summary(spark, sf_dir):
     )
 
 
+def distinct_rollup(spark, sf_dir):
+    """Distinct customers, products and sales per day, month and in all, from one state."""
+    sales = feed.transactions_feed(spark, sf_dir).withColumn(
+        "day", F.to_date("transaction_timestamp")
+    )
+    ids = ["customer_id", "product_id", "transaction_id"]
+    online, store = (sales.filter(F.col("channel") == channel) for channel in ("online", "store"))
+    loads = distinct_state(online, ["day"], ids).unionByName(distinct_state(store, ["day"], ids))
+    state = stage(merge_states(loads, ["day"]), "distinct")
+    days = distinct_counts(state, ["day"]).withColumn("level", F.lit("day"))
+    by_month = state.withColumn("month", F.trunc("day", "MM")).drop("day")
+    months = distinct_counts(by_month, ["month"]).withColumnRenamed("month", "day")
+    whole = distinct_counts(state, []).withColumn("day", F.lit(None).cast("date"))
+    return days.unionByName(months.withColumn("level", F.lit("month"))).unionByName(
+        whole.withColumn("level", F.lit("all"))
+    )
+
+
+def reconcile_content(spark, sf_dir):
+    """A fact in which two sales of some orders have each other's amounts: every sum is
+    right, the rows are not."""
+    fact = stage(_fact(spark, sf_dir), "fact")
+    other = fact.filter("transaction_id % 8 IN (1, 2)").selectExpr(
+        "CAST(IF(transaction_id % 8 = 1, transaction_id + 1, transaction_id - 1) AS BIGINT) AS id",
+        "transaction_amount AS other_amount",
+        "trunc(order_date, 'MM') AS other_month",
+    )
+    same = F.expr("transaction_id = id AND trunc(order_date, 'MM') = other_month")
+    swaps = "id IS NOT NULL AND order_date < DATE'1997-01-01'"
+    swapped = (
+        fact.join(other, same, "left")
+        .withColumn(
+            "transaction_amount", F.expr(f"IF({swaps}, other_amount, transaction_amount)")
+        )
+        .select(*fact.columns)
+    )
+    return validation.fact_content(
+        feed.transactions_feed(spark, sf_dir), _dim_product(spark, sf_dir), swapped
+    )
+
+
+def quarantine_audit(spark, sf_dir):
+    """Four runs: with few products; the same again; with all of them; with few once more,
+    but without the audit of customers."""
+    contract = audit_contract(f"q{uuid4().hex[:12]}_")
+    ensure_tables(spark, {"audit": contract}, f"{shared_folder(spark)}/schemas")
+    sales = stage(feed.bronze_transactions(spark, sf_dir), "sales")
+    products = feed.products_feed(spark, sf_dir)
+    few = products.filter("price < 1500")
+    customers = feed.customers_feed(spark, sf_dir)
+    for at, known, audited in (
+        (1, few, customers),
+        (1, few, customers),
+        (2, products, customers),
+        (3, few, customers.limit(0)),
+    ):
+        moment = f"2024-02-0{at} 00:00:00"
+        found = silver.quarantine_rows(sales, known, audited, moment)
+        after = audit_after(read_table(spark, contract), found, f"run-{at}", moment)
+        replace_table(spark, contract, after)
+    return read_table(spark, contract)
+
+
 def filter_limit(spark, sf_dir):
     """Filter, then the first rows of a total order."""
     dear = table(spark, sf_dir, "orders").filter("o_totalprice > 100000")
@@ -798,6 +864,9 @@ QUERIES: dict[str, Query] = {
     "load_feed_transactions": load_feed_transactions,
     "feed_rejects": feed_rejects,
     "file_ledger": file_ledger,
+    "distinct_rollup": distinct_rollup,
+    "reconcile_content": reconcile_content,
+    "quarantine_audit": quarantine_audit,
     "late_versions": late_versions,
     "version_at": version_at,
     "change_feed": change_feed,
