@@ -12,6 +12,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.pieces import TokenCache, slices
+from lakestrata.llm.pieces import TokenCache, give_back, slices
 
 _NONE = np.int32(2**31 - 1)
 _CHARS = 8_000_000  # of the texts that are encoded and given back at a time
@@ -161,7 +162,7 @@ class ReplayEncoder:
     def __init__(self, table: MergeTable, pattern: str) -> None:
         self.table = table
         self._split = regex.compile(pattern).findall
-        self._cache = TokenCache(self._pieces, limit=600_000)
+        self.forget()
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         numbers: dict[str, int] = {}
@@ -180,11 +181,29 @@ class ReplayEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self._cache.encoded(texts)
 
+    def forget(self) -> None:
+        """Drop all pieces, and keep new ones from now on."""
+        self._cache = TokenCache(self._pieces, limit=600_000)
+
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> ReplayEncoder:
-    """One per Python worker: tasks on the same worker go on with its pieces."""
-    return ReplayEncoder(MergeTable(read_ranks(path)), pattern)
+def _table(path: str) -> MergeTable:
+    """One per Python worker."""
+    return MergeTable(read_ranks(path))
+
+
+@contextmanager
+def _encoder(path: str, pattern: str) -> Iterator[ReplayEncoder]:
+    """An encoder for the length of a task, whose pieces go with it.
+
+    Workers live on: what they kept, the next stage would lack.
+    """
+    encoder = ReplayEncoder(_table(path), pattern)
+    try:
+        yield encoder
+    finally:
+        encoder.forget()
+        give_back()
 
 
 def bpe_ids(text: Column, path: str, pattern: str) -> Column:
@@ -195,10 +214,11 @@ def bpe_ids(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(path, pattern)
-        for texts in batches:
-            for part in slices(texts, _CHARS):
-                yield pd.Series([i.astype(np.int32) for i in encoder.encode(part)], dtype=object)
+        with _encoder(path, pattern) as encoder:
+            for texts in batches:
+                for part in slices(texts, _CHARS):
+                    ids = [i.astype(np.int32) for i in encoder.encode(part)]
+                    yield pd.Series(ids, dtype=object)
 
     return encode(text)
 
@@ -208,7 +228,7 @@ def bpe_text(ids: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = _encoder(path, pattern).table
+        table = _table(path)
         for rows in batches:
             yield pd.Series(
                 [table.decode(np.asarray([] if r is None else r, np.int64)) for r in rows],
@@ -226,21 +246,21 @@ def round_trip(text: Column, path: str, pattern: str, with_ids: bool = False) ->
 
     @F.pandas_udf(", ".join(fields))
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(path, pattern)
-        for texts in batches:
-            for part in slices(texts, _CHARS):
-                rows = []
-                for ids in encoder.encode(part):
-                    decoded = encoder.table.decode(ids)
-                    rows.append(
-                        (
-                            len(ids),
-                            hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                            hashlib.sha256(decoded).hexdigest(),
-                            *([ids.astype(np.int32)] if with_ids else []),
+        with _encoder(path, pattern) as encoder:
+            for texts in batches:
+                for part in slices(texts, _CHARS):
+                    rows = []
+                    for ids in encoder.encode(part):
+                        decoded = encoder.table.decode(ids)
+                        rows.append(
+                            (
+                                len(ids),
+                                hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
+                                hashlib.sha256(decoded).hexdigest(),
+                                *([ids.astype(np.int32)] if with_ids else []),
+                            )
                         )
-                    )
-                yield pd.DataFrame(rows, columns=names)
+                    yield pd.DataFrame(rows, columns=names)
 
     return digest(text)
 

@@ -6,8 +6,10 @@ and handle a document as an array of piece numbers.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pandas as pd
@@ -127,6 +129,12 @@ class TokenCache:
             self.numbering.take()
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system, where libc can."""
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(texts: pd.Series, chars: int = 32_000_000) -> Iterator[list[str]]:
     """A batch's texts (null: empty) in lists of about ``chars`` characters."""
     part: list[str] = []
