@@ -23,8 +23,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +48,6 @@ _CALL = 500_000  # characters of lines that go to a tokenizer in one call
 _WIDE = 4_096  # links of a group from which its repeated ids are counted first
 
 
-class Tokens:
-    """Ids and byte ends of the tokens of many lines, one after the other."""
-
-    def __init__(self, ids: np.ndarray, ends: np.ndarray, widths: np.ndarray) -> None:
-        self.ids, self.ends, self.widths = ids, ends, widths
-
-
 def refined_ends(starts: np.ndarray, ends: np.ndarray, widths: np.ndarray) -> np.ndarray:
     """Byte ends of one line's tokens from their coarse spans and decoded widths.
 
@@ -92,7 +87,7 @@ class FirstTokenizer:
         for line, found in zip(
             lines, self.tokenizer.encode_batch(lines, add_special_tokens=False)
         ):
-            offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
+            offsets = _rows_of(found.offsets, 2)
             if not line.isascii():
                 points = np.frombuffer(line.encode("utf-32-le"), np.uint32)
                 size = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
@@ -100,6 +95,13 @@ class FirstTokenizer:
             yield np.array(found.ids, np.int64), offsets[:, 0], offsets[:, 1]
 
 
+_PROTO = attrgetter("id", "begin", "end")
+
+
+def _rows_of(tuples: Iterable[tuple[int, ...]], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(tuples), np.int64).reshape(-1, width)
+
+
 def _byte_letters() -> dict[str, int]:
     """The byte each letter of a byte-level vocabulary stands for.
 
@@ -134,8 +136,7 @@ class SecondTokenizer:
         """(ids, byte starts, byte ends) of each line, whose first space the model adds."""
         texts = [line[1:] for line in lines]
         for found in self.model.encode(texts, return_type="proto", num_threads=1):
-            cells = np.array([(p.id, p.begin, p.end) for p in found.pieces], np.int64)
-            cells = cells.reshape(-1, 3)
+            cells = _rows_of(map(_PROTO, found.pieces), 3)
             starts, ends = cells[:, 1] + 1, cells[:, 2] + 1
             starts[:1] = 0
             yield cells[:, 0], starts, ends
@@ -152,11 +153,16 @@ class Aligner:
         self,
         first: FirstTokenizer,
         second: SecondTokenizer,
-        limit: int = 300_000,
+        limit: int = 400_000,
         room: int = 12_000_000,
     ) -> None:
         self.first, self.second, self.limit, self.room = first, second, limit, room
         self.base = len(second.widths)
+        # Text of an id inside a group and as the last of its side.
+        self.texts = [
+            [np.array([f"{n}{mark}" for n in range(len(side.widths))], object) for mark in marks]
+            for side, marks in ((first, ",|"), (second, ",;"))
+        ]
         self._reset()
 
     def _reset(self) -> None:
@@ -185,94 +191,80 @@ class Aligner:
         return rows
 
     def _learn(self, pieces: list[str]) -> None:
-        lines, of_line, size = [], [], 0
-        for number, piece in enumerate(pieces):
+        lines, size = [], 0
+        for piece in pieces:
             joinable = _JOINABLE.fullmatch(piece) is not None
-            if not joinable or not lines or not size or size > _LINE:
+            if not joinable or not size or size > _LINE:
                 lines.append([piece])
-                of_line.append([number])
                 size = len(piece) if joinable else 0
             else:
                 lines[-1].append(piece)
-                of_line[-1].append(number)
                 size += len(piece)
-        learned: list = [None] * len(pieces)
-        broken: list[int] = []
-        for numbers, found in zip(of_line, self._aligned(lines)):
-            if found is None and len(numbers) > 1:
-                broken += numbers  # one of them: each on its own
-                continue
-            for number, piece in zip(numbers, found or [None]):
-                learned[number] = piece
-        for number, found in zip(broken, self._aligned([[pieces[n]] for n in broken])):
-            learned[number] = found[0] if found else None
-        nothing = np.zeros(0, np.int64)
-        sums = np.zeros((len(pieces), 5), np.int64)
-        pairs, times = [], []
-        for number, found in enumerate(learned):
-            text, counts, pair, count = found or ("", (0, 0, 0, 0), nothing, nothing)
-            self.groups.append(text)
-            sums[number, :4], sums[number, 4] = counts, found is not None
-            pairs.append(pair)
-            times.append(count)
-        lens = np.fromiter(map(len, pairs), np.int64, len(pairs))
-        self.sums = np.concatenate([self.sums, sums])
-        self.pairs.extend(np.concatenate([nothing, *pairs]), lens)
-        self.times.extend(np.concatenate([nothing, *times]), lens)
-
-    def _aligned(self, lines: list[list[str]]) -> Iterator[list[tuple] | None]:
-        """For each line of pieces what ``_pieces`` finds, None where bytes differ."""
+        found = list(self._aligned(lines))
+        self.groups += chain.from_iterable(f[0] for f in found)
+        self.sums = np.concatenate([self.sums, *(f[1] for f in found)])
+        lens = np.concatenate([f[4] for f in found])
+        self.pairs.extend(np.concatenate([f[2] for f in found]), lens)
+        self.times.extend(np.concatenate([f[3] for f in found]), lens)
+
+    def _aligned(self, lines: list[list[str]]) -> Iterator[tuple]:
+        """For each line of pieces what ``_pieces`` finds."""
         for some in _calls(lines):
-            yield from self._aligned_at_once(some)
-
-    def _aligned_at_once(self, lines: list[list[str]]) -> Iterator[list[tuple] | None]:
-        joined = ["".join(line) for line in lines]
-        spans = zip(joined, self.first.spans(joined), self.second.spans(joined))
-        for line, (text, a, b) in zip(lines, spans):
-            raw = text.encode()
-            tokens = []
-            for side, (ids, starts, ends) in ((self.first, a), (self.second, b)):
-                if b"".join(map(side.bytes.__getitem__, ids.tolist())) != raw:
-                    break
-                widths = side.widths[ids]
-                tokens.append(Tokens(ids, refined_ends(starts, ends, widths), widths))
-            if len(tokens) == 2:
-                sizes = np.fromiter((len(p.encode()) for p in line), np.int64, len(line))
-                yield self._pieces(*tokens, np.cumsum(sizes))
-            else:
-                yield None
-
-    def _pieces(self, a: Tokens, b: Tokens, piece_ends: np.ndarray) -> list[tuple]:
-        """(groups as text, sums, pairs, their times) of each piece of a line."""
-        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
-        upto_a = np.searchsorted(a.ends, cuts, side="right")
-        upto_b = np.searchsorted(b.ends, cuts, side="right")
+            joined = ["".join(line) for line in some]
+            spans = zip(joined, self.first.spans(joined), self.second.spans(joined))
+            for line, (text, a, b) in zip(some, spans):
+                raw = text.encode()
+                if all(
+                    b"".join(map(side.bytes.__getitem__, ids.tolist())) == raw
+                    for side, (ids, _, _) in ((self.first, a), (self.second, b))
+                ):
+                    sizes = np.fromiter((len(p.encode()) for p in line), np.int64, len(line))
+                    yield self._pieces(a, b, np.cumsum(sizes))
+                elif len(line) > 1:  # one of the pieces: each on its own
+                    yield from self._aligned([[piece] for piece in line])
+                else:
+                    none = np.zeros(0, np.int64)
+                    yield [""], np.zeros((1, 5), np.int64), none, none, np.zeros(1, np.int64)
+
+    def _pieces(self, a: tuple, b: tuple, piece_ends: np.ndarray) -> tuple:
+        """Of the pieces of a line: groups as text, sums, pairs, their times, pairs in each.
+
+        ``a`` and ``b`` are ids, coarse starts and coarse ends of the line's tokens.
+        """
+        ends_a, ends_b = (
+            refined_ends(starts, ends, side.widths[ids])
+            for side, (ids, starts, ends) in ((self.first, a), (self.second, b))
+        )
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        upto_a = np.searchsorted(ends_a, cuts, side="right")
+        upto_b = np.searchsorted(ends_b, cuts, side="right")
         n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
-        links = n_a * n_b
+        pieces = np.arange(len(piece_ends))
         piece_of = np.searchsorted(piece_ends, cuts)
-        text_a, text_b = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
-        at_a = at_b = 0
-        texts = []
-        for end_a, end_b in zip(upto_a.tolist(), upto_b.tolist()):
-            texts.append(f"{','.join(text_a[at_a:end_a])}|{','.join(text_b[at_b:end_b])}")
-            at_a, at_b = end_a, end_b
-        pair, times, of = self._links(a.ids, b.ids, upto_a - n_a, upto_b - n_b, n_a, n_b, piece_of)
-        groups_upto = np.searchsorted(piece_of, np.arange(len(piece_ends)), side="right")
-        pairs_upto = np.searchsorted(of, np.arange(len(piece_ends)), side="right")
-        total = [np.append(0, np.cumsum(x)) for x in (n_a, n_b, links)]
-        found, first, first_pair = [], 0, 0
-        for last, last_pair in zip(groups_upto.tolist(), pairs_upto.tolist()):
-            sums = [int(x[last] - x[first]) for x in total]
-            found.append(
-                (
-                    ";".join(texts[first:last]),
-                    (sums[0], sums[1], last - first, sums[2]),
-                    pair[first_pair:last_pair],
-                    times[first_pair:last_pair],
-                )
-            )
-            first, first_pair = last, last_pair
-        return found
+        upto = np.searchsorted(piece_of, pieces, side="right")
+        first = np.append(0, upto[:-1])
+
+        def per_piece(of_groups: np.ndarray) -> np.ndarray:
+            total = np.append(0, np.cumsum(of_groups))
+            return total[upto] - total[first]
+
+        sums = [per_piece(n_a), per_piece(n_b), upto - first, per_piece(n_a * n_b)]
+        # Each group's ids of the first side, then those of the second.
+        texts = np.empty(len(a[0]) + len(b[0]), object)
+        for ids, n, last, before, (inside, end) in (
+            (a[0], n_a, upto_a - 1, upto_b - n_b, self.texts[0]),
+            (b[0], n_b, upto_b - 1, upto_a, self.texts[1]),
+        ):
+            place = np.arange(len(ids)) + np.repeat(before, n)
+            texts[place] = inside[ids]
+            texts[place[last]] = end[ids[last]]
+        texts, ends = texts.tolist(), (sums[0] + sums[1]).cumsum().tolist()
+        groups = ["".join(texts[i:j]) for i, j in zip([0, *ends], ends)]
+        pair, times, of = self._links(
+            a[0], b[0], upto_a - n_a, upto_b - n_b, n_a, n_b, piece_of
+        )
+        lens = np.bincount(of, minlength=len(pieces))
+        return groups, np.stack([*sums, np.ones_like(pieces)], axis=1), pair, times, lens
 
     def _links(self, a, b, from_a, from_b, n_a, n_b, piece_of):
         """Distinct (piece, id pair) with the number of links, by piece."""
@@ -313,7 +305,8 @@ class Aligner:
         return self.sums[row, :4].sum(axis=0)
 
     def text_of_groups(self, row: np.ndarray) -> str:
-        return ";".join(map(self.groups.__getitem__, row.tolist()))
+        """``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group."""
+        return "".join(map(self.groups.__getitem__, row.tolist()))[:-1]
 
     def linked(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of a text in order, and the links of each."""
