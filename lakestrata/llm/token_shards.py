@@ -1,9 +1,11 @@
 """Token ids in wavelet-matrix files, one for each shard of documents.
 
-A shard's file holds one bit plane for each bit of an id, with counts of ones in
-front of every block.  Access to a token, the count of an id and the place of
-its k-th occurrence need that one file only and never unpack it as a whole.
-Shards follow the order of doc_id and are written and read by Spark.
+A shard's file holds one bit plane for each bit of an id, cut into blocks that are
+compressed one by one.  In front of them stand the documents, where each block
+lies, and the ones of its plane before it.  Access to a token, the count of an id
+and the place of its k-th occurrence open the blocks they touch, a few per plane;
+only reading all ids opens every block.  Shards follow the order of doc_id
+(a BIGINT) and are written and read by Spark.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 from uuid import uuid4
@@ -30,7 +32,8 @@ from lakestrata.llm.pieces import TokenCache, slices
 from lakestrata.session import shared_folder
 
 _MAGIC = b"WVLT"
-_BLOCK = 64  # bytes of a plane to a count of ones
+_BLOCK = 4096  # bytes of a plane that are compressed together and have a count of ones
+_BITS = 8 * _BLOCK
 _PLAIN = re.compile(r" \S+")
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
@@ -38,18 +41,25 @@ SHARD_SCHEMA = "part int, number int, n_docs long, n_tokens long, file binary"
 
 
 class WaveletMatrix:
-    """Ids below ``2 ** len(planes)``; the highest bit's plane comes first."""
+    """Ids below ``2 ** bits``; the highest bit's plane comes first.
 
-    def __init__(self, size: int, planes: np.ndarray, zeros: np.ndarray) -> None:
-        self.size, self.planes, self.zeros = size, planes, zeros
-        ones = _ONES[planes].reshape(len(planes), -1, _BLOCK).sum(axis=2, dtype=np.int64)
-        self.before = np.concatenate(
-            [np.zeros((len(planes), 1), np.int64), np.cumsum(ones, axis=1)], axis=1
-        )
+    ``block`` gives the bytes of a plane's block; ``zeros`` counts the zeros of each
+    plane, ``before`` the ones in front of each block and, last, of the whole plane.
+    """
+
+    def __init__(
+        self,
+        size: int,
+        zeros: np.ndarray,
+        before: np.ndarray,
+        block: Callable[[int, int], np.ndarray],
+    ) -> None:
+        self.size, self.zeros, self.before, self.block = size, zeros, before, block
+        self.bits, self.blocks = len(zeros), before.shape[1] - 1
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        width = -(-max(len(ids), 1) // (8 * _BLOCK)) * _BLOCK
+        width = -(-max(len(ids), 1) // _BITS) * _BLOCK
         planes = np.zeros((bits, width), np.uint8)
         zeros = np.zeros(bits, np.int64)
         current = ids.astype(np.uint16 if bits <= 16 else np.uint32)
@@ -60,26 +70,26 @@ class WaveletMatrix:
             low = current[~ones]
             zeros[level] = len(low)
             current = np.concatenate([low, current[ones]])
-        return cls(len(ids), planes, zeros)
-
-    def _bit(self, level: int, at: np.ndarray) -> np.ndarray:
-        return (self.planes[level][at >> 3].astype(np.int64) >> (7 - (at & 7))) & 1
-
-    def _ones_before(self, level: int, at: np.ndarray) -> np.ndarray:
-        """Ones of a plane in front of each place."""
-        plane, byte = self.planes[level], at >> 3
-        block = byte // _BLOCK
-        total = self.before[level][block]
-        within = np.arange(_BLOCK)
-        spans = np.minimum(block[:, None] * _BLOCK + within, len(plane) - 1)
-        total = total + np.where(
-            within < (byte - block * _BLOCK)[:, None], _ONES[plane[spans]], 0
-        ).sum(axis=1, dtype=np.int64)
-        last = np.where(byte < len(plane), plane[np.minimum(byte, len(plane) - 1)], 0)
-        return total + _ONES[last.astype(np.int64) & (0xFF00 >> (at & 7)) & 0xFF]
-
-    def _down(self, level: int, at: np.ndarray, ones: np.ndarray) -> np.ndarray:
-        rank = self._ones_before(level, at)
+        blocks = planes.reshape(bits, -1, _BLOCK)
+        ones = _ONES[blocks].sum(axis=2, dtype=np.int64)
+        before = np.concatenate([np.zeros((bits, 1), np.int64), np.cumsum(ones, axis=1)], axis=1)
+        return cls(len(ids), zeros, before, lambda level, number: blocks[level, number])
+
+    def _look(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of a plane at the given places (past its end: 0), and ones before them."""
+        number, within = np.divmod(at, _BITS)
+        bits, rank = np.zeros(len(at), np.int64), self.before[level][number]
+        for touched in np.unique(number[number < self.blocks]):
+            here = number == touched
+            block = self.block(level, int(touched))
+            byte, bit = within[here] >> 3, within[here] & 7
+            ahead = np.cumsum(_ONES[block], dtype=np.int64) - _ONES[block]
+            value = block[byte].astype(np.int64)
+            rank[here] += ahead[byte] + _ONES[value & (0xFF00 >> bit) & 0xFF]
+            bits[here] = value >> (7 - bit) & 1
+        return bits, rank
+
+    def _down(self, level: int, at: np.ndarray, rank: np.ndarray, ones) -> np.ndarray:
         return np.where(ones, self.zeros[level] + rank, at - rank)
 
     def access(self, at: np.ndarray) -> np.ndarray:
@@ -88,33 +98,34 @@ class WaveletMatrix:
         if len(at) and (at.min() < 0 or at.max() >= self.size):
             raise IndexError("place outside the shard")
         ids = np.zeros(len(at), np.uint32)
-        for level in range(len(self.planes)):
-            ones = self._bit(level, at) == 1
-            ids = (ids << np.uint32(1)) | ones.astype(np.uint32)
-            at = self._down(level, at, ones)
+        for level in range(self.bits):
+            bit, rank = self._look(level, at)
+            ids = (ids << np.uint32(1)) | bit.astype(np.uint32)
+            at = self._down(level, at, rank, bit == 1)
         return ids
 
     def all_ids(self) -> np.ndarray:
         """Every id, from the last plane up: each undoes the parting of the one above."""
-        ids = np.zeros(self.size, np.uint16 if len(self.planes) <= 16 else np.uint32)
-        for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.size).view(bool)
+        ids = np.zeros(self.size, np.uint16 if self.bits <= 16 else np.uint32)
+        for level in range(self.bits - 1, -1, -1):
+            plane = np.concatenate([self.block(level, k) for k in range(self.blocks)])
+            ones = np.unpackbits(plane, count=self.size).view(bool)
             above = np.empty_like(ids)
             above[~ones] = ids[: self.zeros[level]]
-            above[ones] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            above[ones] = ids[self.zeros[level] :] | ids.dtype.type(1 << (self.bits - 1 - level))
             ids = above
         return ids
 
     def _range(self, token: int, start: int, stop: int) -> tuple[int, int]:
         ends = np.array([start, stop], np.int64)
-        for level in range(len(self.planes)):
-            one = bool(token >> (len(self.planes) - 1 - level) & 1)
-            ends = self._down(level, ends, np.array([one, one]))
+        for level in range(self.bits):
+            _, rank = self._look(level, ends)
+            ends = self._down(level, ends, rank, bool(token >> (self.bits - 1 - level) & 1))
         return int(ends[0]), int(ends[1])
 
     def count(self, token: int, start: int = 0, stop: int | None = None) -> int:
         """Occurrences of an id from ``start`` up to ``stop``."""
-        if not 0 <= token < 1 << len(self.planes):
+        if not 0 <= token < 1 << self.bits:
             return 0
         first, last = self._range(token, start, self.size if stop is None else stop)
         return last - first
@@ -124,58 +135,83 @@ class WaveletMatrix:
         if not 0 <= number < self.count(token):
             raise IndexError("no such occurrence")
         at = self._range(token, 0, self.size)[0] + number
-        for level in range(len(self.planes) - 1, -1, -1):
-            one = token >> (len(self.planes) - 1 - level) & 1
+        for level in range(self.bits - 1, -1, -1):
+            one = token >> (self.bits - 1 - level) & 1
             at = self._select(level, one, at - (int(self.zeros[level]) if one else 0))
         return at
 
     def _select(self, level: int, bit: int, number: int) -> int:
         """Place of a plane's ``number``-th one or zero."""
         ones = self.before[level]
-        counts = ones if bit else np.arange(len(ones)) * _BLOCK * 8 - ones
+        counts = ones if bit else np.arange(len(ones)) * _BITS - ones
         block = int(np.searchsorted(counts, number, side="right")) - 1
-        bits = np.unpackbits(self.planes[level][block * _BLOCK : (block + 1) * _BLOCK])
-        return block * _BLOCK * 8 + int(np.flatnonzero(bits == bit)[number - counts[block]])
+        bits = np.unpackbits(self.block(level, block))
+        return block * _BITS + int(np.flatnonzero(bits == bit)[number - counts[block]])
 
 
 def pack_shard(doc_ids: list[int | None], lens: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
-    """One shard's file: a header, the documents' ids and lengths, the planes."""
+    """One shard's file: a header, the documents and the blocks' places and counts, the blocks."""
     matrix = WaveletMatrix.build(ids, bits)
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    blocks = [
+        squeeze(matrix.block(level, number).tobytes())
+        for level in range(bits)
+        for number in range(matrix.blocks)
+    ]
+    front = squeeze(
+        b"".join(
+            (
+                np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
+                np.asarray(lens, "<i8").tobytes(),
+                matrix.before.astype("<i8").tobytes(),
+                np.cumsum([0, *map(len, blocks)]).astype("<i8").tobytes(),
+            )
+        )
+    )
     head = {
         "size": matrix.size,
         "bits": bits,
+        "blocks": matrix.blocks,
         "docs": len(doc_ids),
+        "front": len(front),
         "zeros": matrix.zeros.tolist(),
         "unnamed": [k for k, d in enumerate(doc_ids) if d is None],
     }
     header = json.dumps(head).encode()
-    body = b"".join(
-        (
-            np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-            np.asarray(lens, "<i8").tobytes(),
-            matrix.planes.tobytes(),
-        )
-    )
-    packed = zstandard.ZstdCompressor(level=1).compress(body)
-    return _MAGIC + struct.pack("<I", len(header)) + header + packed
+    return b"".join((_MAGIC, struct.pack("<I", len(header)), header, front, *blocks))
 
 
 class Shard:
-    """A shard read from its file."""
+    """A shard's file.  ``opened`` counts the blocks that were decompressed so far."""
 
     def __init__(self, file: bytes) -> None:
         if file[:4] != _MAGIC:
             raise ValueError("not a token shard")
         (length,) = struct.unpack_from("<I", file, 4)
         head = json.loads(file[8 : 8 + length])
-        body = zstandard.ZstdDecompressor().decompress(file[8 + length :])
-        docs = head["docs"]
+        unpack = zstandard.ZstdDecompressor()
+        body = 8 + length + head["front"]
+        front = np.frombuffer(unpack.decompress(file[8 + length : body]), "<i8")
+        docs, bits, blocks = head["docs"], head["bits"], head["blocks"]
         unnamed = set(head["unnamed"])
-        named = np.frombuffer(body, "<i8", docs).tolist()
-        self.doc_ids = [None if k in unnamed else d for k, d in enumerate(named)]
-        self.lens = np.frombuffer(body, "<i8", docs, 8 * docs)
-        planes = np.frombuffer(body, np.uint8, offset=16 * docs).reshape(head["bits"], -1)
-        self.tokens = WaveletMatrix(head["size"], planes, np.array(head["zeros"], np.int64))
+        self.doc_ids = [None if k in unnamed else d for k, d in enumerate(front[:docs].tolist())]
+        self.lens = front[docs : 2 * docs]
+        counts = 2 * docs + bits * (blocks + 1)
+        before = front[2 * docs : counts].reshape(bits, blocks + 1)
+        places = body + front[counts:]
+        self.opened = 0
+
+        held: dict[int, tuple[int, np.ndarray]] = {}  # the last block of each plane
+
+        def block(level: int, number: int) -> np.ndarray:
+            if level not in held or held[level][0] != number:
+                self.opened += 1
+                at = level * blocks + number
+                found = unpack.decompress(file[places[at] : places[at + 1]])
+                held[level] = number, np.frombuffer(found, np.uint8)
+            return held[level][1]
+
+        self.tokens = WaveletMatrix(head["size"], np.array(head["zeros"], np.int64), before, block)
 
 
 class LibraryEncoder:
@@ -285,6 +321,15 @@ def write_shards(
     )
 
 
+def _check_ends(shard: Shard, ids: np.ndarray, ends: np.ndarray) -> None:
+    """The documents' last ids by access, and the count of one of them by rank."""
+    last = shard.tokens.access(ends - 1)
+    if (last != ids[ends - 1]).any() or (
+        shard.tokens.count(int(last[-1])) != np.count_nonzero(ids == last[-1])
+    ):
+        raise ValueError("planes and counts of a token shard do not fit together")
+
+
 def read_documents(spark, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files."""
 
@@ -294,6 +339,7 @@ def read_documents(spark, folder: str) -> DataFrame:
                 shard = Shard(file)
                 ids = shard.tokens.all_ids().astype("<u4")
                 ends = np.cumsum(shard.lens)
+                _check_ends(shard, ids, ends)
                 crcs = [zlib.crc32(ids[e - n : e].tobytes()) for e, n in zip(ends, shard.lens)]
                 yield pd.DataFrame(
                     {

@@ -117,7 +117,7 @@ def test_decodable_round_trip(make_docs, odd_rows):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, docs.collect()))
 
 
-@pytest.mark.parametrize("size", [0, 1, 8, 511, 512, 513, 5000])
+@pytest.mark.parametrize("size", [0, 1, 8, 511, 512, 513, 5000, 32768, 40000])
 def test_wavelet_matrix(size):
     rng = np.random.default_rng(size)
     ids = rng.integers(0, 9 if size % 2 else 50257, size).astype(np.uint32)
@@ -135,6 +135,27 @@ def test_wavelet_matrix(size):
         matrix.access(np.array([size]))
 
 
+def test_shard_opens_the_blocks_it_needs():
+    """200,000 ids are 7 blocks a plane, 112 in all."""
+    ids = np.random.default_rng(4).integers(0, 50257, 200_000).astype(np.uint32)
+    ids[150_000] = ids[3]
+    file = token_shards.pack_shard([1], np.array([len(ids)]), ids, 16)
+
+    def opened(ask):
+        shard = token_shards.Shard(file)
+        assert shard.opened == 0
+        return ask(shard.tokens), shard.opened
+
+    found, blocks = opened(lambda t: t.access(np.array([70_000])))
+    assert found[0] == ids[70_000] and blocks == 16
+    found, blocks = opened(lambda t: t.count(int(ids[3])))
+    assert found == (ids == ids[3]).sum() and blocks <= 2 * 16
+    found, blocks = opened(lambda t: t.occurrence(int(ids[3]), 1))
+    assert found == np.flatnonzero(ids == ids[3])[1] and blocks <= 5 * 16
+    found, blocks = opened(lambda t: t.all_ids())
+    assert (found == ids).all() and blocks == 7 * 16
+
+
 def test_token_files(make_docs, odd_rows, spark, tmp_path):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     tokenizer.encode_special_tokens = True
