@@ -13,6 +13,8 @@ from contextlib import suppress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # A space that neither starts nor ends a run of white space, or is the run's end
 # in front of a text's end: pre-tokens may cross a cut made there.
@@ -98,10 +100,7 @@ class TokenCache:
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.numbering) > self.limit or self.held > self.room:
             self._reset()
-        rows = []
-        for text in texts:
-            head, *tail = _SAFE.split(text) if _CROSSED.search(text) else text.split(" ")
-            rows.append(self.numbering.numbers([(head,), *tail]))
+        rows = self._rows(texts)
         fresh = self.numbering.take()
         if fresh:
             # A one-tuple is a piece that starts its text; others follow a space.
@@ -110,6 +109,38 @@ class TokenCache:
         self._keep(fresh)
         return found
 
+    def _rows(self, texts: list[str]) -> list[np.ndarray]:
+        """Piece numbers of each text.
+
+        Texts that may be cut at every space are cut and their pieces told apart
+        all together, so that the numbering is asked once per distinct piece.
+        """
+        crossed = [_CROSSED.search(text) is not None for text in texts]
+        plain = [text for text, odd in zip(texts, crossed) if not odd]
+        lists = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        heads = ends[:-1]
+        behind = np.ones(len(codes), bool)
+        behind[heads] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes[behind]] = True
+        number = np.zeros(len(used), np.int64)
+        number[used] = self.numbering.numbers(coded.dictionary.filter(pa.array(used)).to_pylist())
+        numbers = number[codes]
+        first = lists.values.take(pa.array(heads)).to_pylist()
+        numbers[heads] = self.numbering.numbers([(head,) for head in first])
+        cut = iter(np.split(numbers, ends[1:-1]))
+        rows = []
+        for text, odd in zip(texts, crossed):
+            if odd:
+                head, *tail = _SAFE.split(text)
+                rows.append(self.numbering.numbers([(head,), *tail]))
+            else:
+                rows.append(next(cut))
+        return rows
+
     def _keep(self, fresh: list) -> None:
         """Hold the new pieces for later texts, but for the long ones."""
         sizes = np.fromiter(
