@@ -3,20 +3,21 @@
 Texts arrive as a stream of files.  State on disk (RocksDB), keyed by the
 digest of the normalised text and never expired, retains the stable identifier
 that stays, the content's locator (file and row in it) and the group's size.  A
-digest that is known counts as a hit; hits are compared in full with the content
-the state points to, and texts that differ in spite of one digest are told apart
-by their bytes.
+digest that is known counts as a hit; the bytes of hits are compared in full with
+the content that the state points to, and texts that differ in spite of one digest
+are told apart by them.  Texts whose digest came up once are not sent anywhere.
 
 The state's updates combine on the sending side, so a text that a third of all
-rows hold arrives as one row per task.
+rows hold arrives as one row per task.  ``doc_id`` is a BIGINT.
 """
 
 from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from lakestrata.operators.staging import stage
 from lakestrata.session import shared_folder
@@ -28,6 +29,9 @@ _SETTINGS = {
     # Many small stores: no disk set aside for their logs.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+# Bits of the filter for digests that hits have: 8 MB, whatever the data.
+_MARKS = 2**26
+_BUCKET = 2**15  # bits of one of its rows
 
 
 def normalised(text: Column) -> Column:
@@ -35,10 +39,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _digest(text: Column, digits: int) -> Column:
-    return F.substring(F.sha2(text, 256), 1, digits)
-
-
 def _seen(file: Column, row: Column) -> Column:
     """Identifier and locator; a null id stays only where a group has no other."""
     return F.struct(
@@ -47,16 +47,47 @@ def _seen(file: Column, row: Column) -> Column:
 
 
 def stage_texts(docs: DataFrame, folder: str) -> str:
-    """Write ids and normalised texts as the source of the stream."""
+    """Write ids, normalised texts and their digests as the source of the stream."""
     path = f"{folder}/texts"
+    text = normalised(F.col("text"))
     docs.select(
-        "doc_id", normalised(F.col("text")).alias("text")
+        "doc_id", text.alias("text"), F.sha2(text, 256).alias("text_sha256")
     ).write.option("compression", "zstd").parquet(path)
     return path
 
 
+def _rows(
+    reader: DataFrameReader | DataStreamReader, source: str, digits: int, record: str | None
+) -> DataFrame:
+    """doc_id, text, text_sha256, digest and place of each row of a source.
+
+    ``record`` names the struct that holds a source's doc_id and text.  Files that
+    bring no digest get it from their text.
+    """
+    schema = "doc_id bigint, text string"
+    if record is not None:
+        schema = f"{record} struct<doc_id: bigint, text: string>"
+    rows = reader.schema(f"{schema}, text_sha256 string").parquet(source)
+    prefix = "" if record is None else f"{record}."
+    text = normalised(F.col(f"{prefix}text"))
+    sha = F.coalesce("text_sha256", F.sha2(text, 256))
+    return rows.select(
+        F.col(f"{prefix}doc_id").alias("doc_id"),
+        text.alias("text"),
+        sha.alias("text_sha256"),
+        F.substring(sha, 1, digits).alias("digest"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+
+
 def update_state(
-    spark: SparkSession, source: str, folder: str, digits: int = 64, files: int = 100_000
+    spark: SparkSession,
+    source: str,
+    folder: str,
+    digits: int = 64,
+    files: int = 100_000,
+    record: str | None = None,
 ) -> None:
     """Bring the keyed state up to the files in ``source``; then it stops.
 
@@ -67,12 +98,10 @@ def update_state(
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     try:
-        schema = "doc_id bigint, text string"
-        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
-        seen = _seen(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        digest = _digest(normalised(F.col("text")), digits)
+        reader = spark.readStream.option("maxFilesPerTrigger", files)
+        rows = _rows(reader, source, digits, record)
         state = (
-            rows.select(digest.alias("digest"), seen.alias("seen"))
+            rows.select("digest", _seen(F.col("file"), F.col("row")).alias("seen"))
             .groupBy("digest")
             .agg(F.min("seen").alias("first"), F.count("*").alias("size"))
         )
@@ -127,35 +156,59 @@ def resolve(spark: SparkSession, source: str, folder: str, digits: int = 64) ->
     return _resolved(spark, source, folder, digits).drop("file", "row")
 
 
-def _resolved(spark: SparkSession, source: str, folder: str, digits: int) -> DataFrame:
-    """Join the state back to the rows, and check full bytes.
+def _marks(hits: DataFrame) -> DataFrame:
+    """bucket and bitmap: which numbers the digests of hits begin with."""
+    number = _number().alias("number")
+    return (
+        hits.select(number)
+        .groupBy(F.expr(f"number div {_BUCKET}").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.expr(f"number % {_BUCKET}")).alias("bitmap"))
+    )
 
-    Rows of one digest are grouped by their whole text.  That compares bytes, not
-    digests, and copies combine before anything is sent.
-    """
-    rows = spark.read.schema("doc_id bigint, text string").parquet(source)
-    text = normalised(F.col("text"))
-    rows = rows.select(
-        "doc_id",
-        text.alias("text"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-        F.sha2(text, 256).alias("text_sha256"),
-        _digest(text, digits).alias("digest"),
+
+def _number() -> Column:
+    return F.conv(F.substring("digest", 1, 7), 16, 10).cast("long") % _MARKS
+
+
+def marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """Rows whose digest may be one of ``hits``, filtered by a bitmap where they are read."""
+    marks = F.broadcast(_marks(hits))  # at most 2,048 rows of 4 KB
+    numbered = rows.withColumn("number", _number())
+    return numbered.join(marks, F.expr(f"number div {_BUCKET}") == F.col("bucket")).where(
+        f"""getbit(
+            cast(conv(hex(substring(
+                bitmap, cast(number % {_BUCKET} div 8 as int) + 1, 1)), 16, 10) as int),
+            cast(number % 8 as int)) = 1"""
     )
-    clashes = (
-        rows.select("digest", "text")
-        .distinct()
-        .groupBy("digest")
-        .agg(F.count("*").alias("texts"))
-        .where("texts > 1")
-        .select("digest")
+
+
+def clashing(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Digests whose rows differ in bytes from the content the state points to.
+
+    Only rows that may be hits are read on; what the filter lets pass besides, the
+    join with the state takes out.  Copies combine by their bytes before they are sent.
+    """
+    hits = state.where("size > 1").select("digest", "first")
+    contents = marked(rows, hits).groupBy("digest", "text").agg(
+        F.min(_seen(F.col("file"), F.col("row"))).alias("at")
     )
-    clashes.write.parquet(f"{folder}/clashes")
-    clashes = spark.read.schema("digest string").parquet(f"{folder}/clashes")
+    contents = stage(contents.join(hits, "digest"), "exact-dedup-contents")
+    same_place = (F.col("at.file") == F.col("first.file")) & (F.col("at.row") == F.col("first.row"))
+    pointed = contents.where(same_place).select("digest", F.col("text").alias("known"))
+    # Also a digest whose locator leads to none of its rows is told apart by bytes.
+    checked = contents.join(pointed, "digest", "left")
+    return checked.where("known IS NULL OR text <> known").select("digest").distinct()
+
+
+def _resolved(
+    spark: SparkSession, source: str, folder: str, digits: int, record: str | None = None
+) -> DataFrame:
+    """Join the state back to the rows, and check the bytes of hits."""
+    rows = _rows(spark.read, source, digits, record)
     # Read from files, the state is dealt out for the join alone, so that Spark can
     # split the partition of a digest that many rows have.
     state = stage(state_now(spark, folder), "exact-dedup-state")
+    clashes = stage(clashing(rows, state), "exact-dedup-clashes")
     sound = rows.drop("text").join(state, "digest")
     sound = sound.join(clashes, "digest", "left_anti")
     clashed = rows.join(clashes, "digest", "left_semi")
@@ -184,12 +237,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/exact-dedup/{uuid4().hex}"
-    docs.write.option("compression", "zstd").parquet(f"{folder}/docs")
-    stored = spark.read.schema(docs.schema).parquet(f"{folder}/docs")
-    update_state(spark, f"{folder}/docs", folder)
-    kept = _resolved(spark, f"{folder}/docs", folder, 64).where("kept")
-    first = kept.select(F.col("file").alias("_file"), F.col("row").alias("_row"))
-    placed = stored.withColumns(
-        {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    source = f"{folder}/docs"
+    # The user's columns stay in one struct, apart from those made here.
+    sha = F.sha2(normalised(F.col("text")), 256).alias("text_sha256")
+    packed = docs.select(F.struct("*").alias("doc"), sha)
+    packed.write.option("compression", "zstd").parquet(source)
+    update_state(spark, source, folder, record="doc")
+    kept = _resolved(spark, source, folder, 64, record="doc").where("kept")
+    stored = spark.read.schema(packed.schema).parquet(source)
+    placed = stored.select(
+        "doc", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    return placed.join(first, ["_file", "_row"], "left_semi").select(*docs.columns)
+    return placed.join(kept.select("file", "row"), ["file", "row"], "left_semi").select("doc.*")
