@@ -8,9 +8,11 @@ are sampled by a hash of id and text.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from lakestrata.llm.pieces import Numbering, slices
 from lakestrata.operators.staging import stage
 
+_LOG = logging.getLogger(__name__)
+
 DIMENSIONS = ("source", "lang", "topic")
 
 
@@ -36,7 +40,7 @@ class Settings:
     )
     budget: float = 0.6  # expected tokens of the sample, as a share of all
     topics: int = 8
-    rounds: int = 12
+    rounds: int | None = None  # None: as many as it takes
     tolerance: float = 1e-3  # of any value's share
     seed: int = 3
 
@@ -103,12 +107,27 @@ def _targets(cells: DataFrame, dimension: str, target) -> DataFrame:
     )
 
 
+def _errors(raked: DataFrame, targets: Mapping[str, DataFrame], wanted: float) -> DataFrame:
+    """raked with ``error``: the worst of its three sums."""
+    offs = []
+    for d in DIMENSIONS:
+        sums = raked.groupBy(d).agg(F.sum("weight").alias("sum")).join(targets[d], d)
+        aim = F.col("share") * wanted
+        off = F.when(aim > 0, F.abs(F.col("sum") / aim - 1))
+        raked = raked.join(sums.select(d, off.alias(f"off_{d}")), d)
+        offs.append(f"off_{d}")
+    return raked.withColumn("error", F.greatest(*offs)).drop(*offs)
+
+
 def rake(cells: DataFrame, s: Settings) -> DataFrame:
     """cells with ``weight``: tokens scaled until all three sums match their targets.
 
     The weights sum to the budget, and no cell's weight passes its tokens: what a
     full cell cannot give, the others of its values give in the next rounds.
-    Targets that cannot be met together are met as the last round leaves them.
+    Rounds end when all sums are met within ``tolerance``, or, as some targets cannot
+    be met together, when a round moves less than a hundredth of it.  ``error`` is the
+    most by which a sum of the cell's source, language or topic is off its target, as
+    a share of that; null where that is nothing.
     Cells follow the combinations there are, not the documents.
     """
     cells = stage(cells, "mix-cells")
@@ -117,76 +136,79 @@ def rake(cells: DataFrame, s: Settings) -> DataFrame:
     }
     wanted = s.budget * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
     raked = cells.withColumn("weight", F.col("tokens") * s.budget)
-    for _ in range(s.rounds):
+    for done in count(1):
+        before = raked.select(*DIMENSIONS, F.col("weight").alias("before"))
         for d in DIMENSIONS:
             sums = raked.groupBy(d).agg(F.sum("weight").alias("sum")).join(targets[d], d)
             factor = F.when(F.col("sum") > 0, F.col("share") * wanted / F.col("sum")).otherwise(0.0)
             raked = (
                 raked.join(sums.select(d, factor.alias("factor")), d)
-                .withColumns(
-                    {
-                        "weight": F.least("tokens", F.col("weight") * F.col("factor")),
-                        f"off_{d}": F.abs(F.col("factor") - 1),
-                    }
-                )
+                .withColumn("weight", F.least("tokens", F.col("weight") * F.col("factor")))
                 .drop("factor")
             )
-        raked = stage(raked, "mix-raked")
-        off = F.greatest(*(F.col(f"off_{d}") for d in DIMENSIONS))
-        worst = raked.agg(F.max(F.when(F.col("weight") > 0, off))).first()[0] or 0.0
-        raked = raked.drop(*(f"off_{d}" for d in DIMENSIONS))
-        if worst < s.tolerance:
+        raked = stage(raked.join(before, list(DIMENSIONS)), "mix-raked")
+        moved = raked.agg(F.sum(F.abs(F.col("weight") - F.col("before")))).first()[0] or 0.0
+        raked = raked.drop("before")
+        off = _errors(raked, targets, wanted)
+        worst = off.agg(F.max("error")).first()[0] or 0.0
+        settled = moved <= s.tolerance * wanted / 100
+        if worst < s.tolerance or settled or done == s.rounds:
             break
+    if worst >= s.tolerance:
+        _LOG.warning("sums are off their targets by %.3g after %d rounds", worst, done)
+    raked = off
     chance = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     return raked.withColumn("probability", chance)
 
 
-def _described(docs: DataFrame, s: Settings, topic: Column | None) -> DataFrame:
-    found = docs.withColumn("_mix", tokens_and_topic(F.col("text"), s.topics))
-    return found.select(
-        *(F.col(c) for c in docs.columns),
-        _key(F.col("source")).alias("_source"),
-        _key(F.col("lang")).alias("_lang"),
-        _key(F.col("_mix.topic") if topic is None else topic).alias("_topic"),
-        F.col("_mix.tokens").alias("_tokens"),
+def _decided(docs: DataFrame, doc: Column, s: Settings, topic: Column | None) -> DataFrame:
+    """``doc`` of each document beside its margins, tokens, draw and probability."""
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(2**53)) / F.lit(float(2**53))
+    found = docs.select(
+        doc.alias("doc"),
+        tokens_and_topic(F.col("text"), s.topics).alias("found"),
+        _key(F.col("source")).alias("source"),
+        _key(F.col("lang")).alias("lang"),
+        draw.alias("draw"),
+        *([] if topic is None else [topic.alias("given")]),
     )
-
-
-def _decided(docs: DataFrame, s: Settings, topic: Column | None) -> DataFrame:
-    described = stage(_described(docs, s, topic), "mix-documents")
-    keys = [F.col(f"_{d}").alias(d) for d in DIMENSIONS]
-    cells = count_cells(described.select(*keys, F.col("_tokens").alias("tokens")))
-    chances = stage(rake(cells, s), "mix-chances").select(
-        *(F.col(d).alias(f"_{d}") for d in DIMENSIONS),
-        F.col("probability").alias("_probability"),
+    described = stage(
+        found.select(
+            "doc",
+            "source",
+            "lang",
+            _key(F.col("found.topic" if topic is None else "given")).alias("topic"),
+            F.col("found.tokens").alias("tokens"),
+            "draw",
+        ),
+        "mix-documents",
     )
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(2**53)) / F.lit(float(2**53))
-    joined = described.join(chances, [f"_{d}" for d in DIMENSIONS])
-    return joined.withColumn("_sampled", draw < F.col("_probability"))
+    raked = stage(rake(count_cells(described), s), "mix-chances")
+    chances = raked.select(*DIMENSIONS, "probability", "error")
+    joined = described.join(chances, list(DIMENSIONS))
+    return joined.withColumn("sampled", F.col("draw") < F.col("probability"))
 
 
 def mix(docs: DataFrame, s: Settings = Settings(), topic: Column | None = None) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, weight, probability, sampled.
+    """One row per document: doc_id, source, lang, topic, n_tokens, weight, probability,
+    sampled, margin_error.
 
     ``topic`` may name a column to be used in place of the one worked out.  Null
     sources, languages and topics are values of their own; texts without words
     have no tokens and are never sampled from a cell without any; equal rows share
-    one fate.  Other columns are not read.
+    one fate.  ``margin_error`` is that of ``rake``.  Other columns are not read.
     """
-    extra = [] if topic is None else [topic.alias("_given")]
-    rows = docs.select("doc_id", "text", "source", "lang", *extra)
-    return _decided(rows, s, None if topic is None else F.col("_given")).select(
-        "doc_id",
-        "source",
-        "lang",
-        F.expr("CASE WHEN _topic <> 'null' THEN substring(_topic, 2) END").alias("topic"),
-        F.col("_tokens").alias("n_tokens"),
-        (F.col("_probability") / s.budget).alias("weight"),
-        F.col("_probability").alias("probability"),
-        F.col("_sampled").alias("sampled"),
+    return _decided(docs, F.struct("doc_id", "source", "lang"), s, topic).select(
+        "doc.*",
+        F.expr("CASE WHEN topic <> 'null' THEN substring(topic, 2) END").alias("topic"),
+        F.col("tokens").alias("n_tokens"),
+        (F.col("probability") / s.budget).alias("weight"),
+        "probability",
+        "sampled",
+        F.col("error").alias("margin_error"),
     )
 
 
 def sample(docs: DataFrame, s: Settings = Settings(), topic: Column | None = None) -> DataFrame:
     """The sampled documents, with all columns they came with."""
-    return _decided(docs, s, topic).where("_sampled").select(*docs.columns)
+    return _decided(docs, F.struct("*"), s, topic).where("sampled").select("doc.*")

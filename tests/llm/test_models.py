@@ -6,6 +6,7 @@ import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakestrata.llm import language, mixing, quality, toxicity
@@ -221,6 +222,36 @@ def test_mixing_to_given_shares_and_odd_rows(make_docs, odd_rows):
     assert mixing.mix(make_docs([])).collect() == []
 
 
+def test_mixing_goes_on_until_the_sums_are_met(make_docs, caplog):
+    """Margins that hang together need many rounds; some can't be met, which is told."""
+    rng = random.Random(12)
+    rows = [(k, "word " * 20, "en" if k % 50 else "de", "a") for k in range(400)]
+    rows += [(400 + k, "word " * 20, "de" if k % 50 else "en", "b") for k in range(100)]
+    rng.shuffle(rows)
+    s = mixing.Settings(
+        targets={"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.51, "de": 0.49}},
+        topics=1,
+        budget=0.1,
+    )
+    found = mixing.mix(make_docs(rows), s).collect()
+    assert max(r.margin_error for r in found) < s.tolerance and not caplog.records
+    total = sum(r.n_tokens * r.probability for r in found)
+    for name, share in (("en", 0.51), ("de", 0.49)):
+        part = sum(r.n_tokens * r.probability for r in found if r.lang == name)
+        assert part == pytest.approx(share * total, rel=2e-3)
+    full = mixing.Settings(targets={"source": {"a": 0.1, "b": 0.9}}, topics=1, budget=0.9)
+    short = mixing.mix(make_docs(rows), full).collect()
+    assert max(r.margin_error for r in short if r.source == "b") > 0.5 and caplog.records
+
+
+def test_stages_leave_columns_of_their_own_names_alone(labelled_docs, spark):
+    taken = ["_language", "told", "doc", "_mix", "_source", "_topic", "draw", "sampled", "tokens"]
+    docs = labelled_docs[0].withColumns({name: F.concat(F.lit(name), "doc_id") for name in taken})
+    whole = {r.doc_id: r for r in docs.collect()}
+    kept = mixing.sample(language.keep_known_language(docs)).collect()
+    assert kept and all(r == whole[r.doc_id] for r in kept)
+
+
 def test_pipeline_stages(make_docs, spark, tmp_path):
     rng = random.Random(10)
     rows = [(k, prose(rng, "en", 40), "en", f"s{k % 3}") for k in range(120)]
