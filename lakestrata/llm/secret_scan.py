@@ -64,39 +64,74 @@ def found_spans(text: Column, rule: Rule) -> Column:
     pieces = F.transform(F.split(text, rule.pattern, -1), F.length)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     value = whole if rule.value == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.value))
-    walked = F.aggregate(
-        F.arrays_zip(
-            pieces.alias("gap"),
-            F.transform(whole, F.length).alias("size"),
-            F.transform(value, F.length).alias("value"),
-        ),
-        F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start_at:int,end_at:int>>").alias("spans"),
-        ),
-        lambda state, step: F.struct(
-            (state["at"] + step["gap"] + F.coalesce(step["size"], F.lit(0))).alias("at"),
-            F.when(
-                step["value"] >= rule.least,
-                F.concat(
-                    state["spans"],
-                    F.array(
-                        F.struct(
-                            (state["at"] + step["gap"]).alias("start_at"),
-                            (state["at"] + step["gap"] + step["size"]).alias("end_at"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(state["spans"])
-            .alias("spans"),
-        ),
-        lambda state: state["spans"],
+    steps = F.arrays_zip(
+        pieces.alias("gap"),
+        F.transform(whole, F.length).alias("size"),
+        F.transform(value, F.length).alias("value"),
     )
+    walked = F.transform(F.array(steps), lambda all_steps: _walked(all_steps, rule.least))[0]
     none = F.array().cast("array<struct<start_at:int,end_at:int>>")
     return F.when(text.rlike(rule.hint), walked).otherwise(none)
 
 
+def _walked(steps: Column, least: int) -> Column:
+    """Spans of the steps that hold ``least`` characters.
+
+    An array that grows by one is copied each time.  So steps are walked in blocks of
+    about the root of their number, from nothing each, and then moved to their places.
+    """
+    spans = "array<struct<start_at:int,end_at:int>>"
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps))).cast("int"))
+    firsts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(steps)), block)
+
+    def one(first: Column) -> Column:
+        return F.aggregate(
+            F.slice(steps, first, block),
+            F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans")),
+            lambda state, step: F.struct(
+                (state["at"] + step["gap"] + F.coalesce(step["size"], F.lit(0))).alias("at"),
+                F.when(
+                    step["value"] >= least,
+                    F.concat(
+                        state["spans"],
+                        F.array(
+                            F.struct(
+                                (state["at"] + step["gap"]).alias("start_at"),
+                                (state["at"] + step["gap"] + step["size"]).alias("end_at"),
+                            )
+                        ),
+                    ),
+                )
+                .otherwise(state["spans"])
+                .alias("spans"),
+            ),
+        )
+
+    def joined(blocks: Column) -> Column:
+        places = F.aggregate(
+            blocks,
+            F.array(F.lit(0)),
+            lambda ends, done: F.concat(ends, F.array(F.element_at(ends, -1) + done["at"])),
+        )
+
+        def moved(done: Column, number: Column, at: Column) -> Column:
+            return F.transform(
+                done["spans"],
+                lambda span: F.struct(
+                    (span["start_at"] + F.get(at, number)).alias("start_at"),
+                    (span["end_at"] + F.get(at, number)).alias("end_at"),
+                ),
+            )
+
+        # An array of one element names a value that is needed many times.
+        return F.transform(
+            F.array(places),
+            lambda at: F.flatten(F.transform(blocks, lambda done, number: moved(done, number, at))),
+        )[0]
+
+    return F.transform(F.array(F.transform(firsts, one)), joined)[0]
+
+
 def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 

@@ -213,6 +213,20 @@ def test_secrets(make_docs, odd_rows):
     assert secret_scan.find_secrets(make_docs([])).count() == 0
 
 
+def test_secrets_of_a_dense_text(make_docs):
+    """20,000 keys in one text, and a number of keys that fills no block."""
+    rng = random.Random(8)
+    texts = [
+        " ".join(f"{rng.getrandbits(80):020x}" + "é" * rng.randrange(3) for _ in range(count))
+        for count in (1, 2, 3, 50, 20_000)
+    ]
+    rows = [(k, text, None, None) for k, text in enumerate(texts)]
+    found = {r.doc_id: r for r in secret_scan.find_secrets(make_docs(rows)).collect()}
+    for doc_id, text, *_ in rows:
+        places = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{16,}", text)]
+        assert found[doc_id].n_hex == len(places) and found[doc_id].spans == ",".join(places)
+
+
 def test_ledger_scans_unseen_pairs_only(make_docs, spark, tmp_path):
     path = str(tmp_path / "ledger")
     secret_scan.empty_ledger(spark).write.parquet(path)
