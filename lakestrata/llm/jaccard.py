@@ -357,14 +357,24 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     )
     per_node = stage(sizes.join(linked, "node", "left"), "jaccard-components")
     copies = F.coalesce(F.col("documents") - 1, F.lit(0))
-    return rows.join(per_node, "node", "left").select(
+    with_node = rows.join(per_node, "node").select(
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "least", "doc_id").alias("component_id"),
+        F.coalesce("component", "least").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + copies).cast("long").alias("n_links"),
         F.coalesce("root", "node").alias("root"),
     )
+    # Rows without a set meet nothing; in the join they would all hash alike.
+    without = rows.where("node IS NULL").select(
+        "doc_id",
+        "text_key",
+        F.col("n").alias("n_shingles"),
+        F.col("doc_id").alias("component_id"),
+        F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("long").alias("root"),
+    )
+    return with_node.unionByName(without)
 
 
 def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -386,15 +396,15 @@ def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame
         ),
         "jaccard-heads",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_key() == F.col("_key"))
+    # The user's columns stay in one struct, apart from those made here.
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    once = docs.where(~wordless).join(heads.where("_times = 1"), same, "left_semi")
-    repeated = stage(heads.where("_times > 1"), "jaccard-repeated")
-    again = (
-        docs.where(~wordless)
-        .join(repeated, same, "left_semi")
-        .withColumn("_key", _text_key())
-        .dropDuplicates(["doc_id", "_key"])
-        .drop("_key")
+    packed = docs.select(
+        F.struct("*").alias("doc"), "doc_id", _text_key().alias("key"), wordless.alias("wordless")
     )
-    return docs.where(wordless).unionByName(once).unionByName(again).select(*docs.columns)
+    worded = packed.where(~F.col("wordless"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    once = worded.join(heads.where("_times = 1"), same, "left_semi")
+    repeated = stage(heads.where("_times > 1"), "jaccard-repeated")
+    again = worded.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "key"])
+    kept = packed.where("wordless").unionByName(once).unionByName(again)
+    return kept.select("doc.*")

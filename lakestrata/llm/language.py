@@ -215,8 +215,9 @@ def keep_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents, with all their columns, whose language is told with ``least`` or more."""
     model = fit(learnable(docs))
     told = language(F.col("text"), model)
+    # The user's columns stay in one struct, apart from the one made here.
     return (
-        docs.withColumn("_language", told)
-        .where((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= least))
-        .drop("_language")
+        docs.select(F.struct("*").alias("doc"), told.alias("told"))
+        .where((F.col("told.lang_pred") != UNDETERMINED) & (F.col("told.score") >= least))
+        .select("doc.*")
     )

@@ -6,6 +6,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from lakestrata.llm import exact_dedup, jaccard, near_vectors
 from lakestrata.llm.components import components
@@ -74,6 +76,38 @@ def test_keep_first_keeps_columns_and_one_row_of_each_text(make_docs, odd_rows):
     assert sorted(texts) == sorted(expected_groups(odd_rows))
 
 
+def test_keep_first_leaves_columns_of_its_own_names_alone(spark):
+    rows = [(k, f"text {k // 2}", f"f{k}", k, f"d{k}", f"s{k}") for k in range(8)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, file string, row long, doc string, text_sha256 string"
+    ).withColumns({"_file": F.col("file"), "_row": F.col("row"), "digest": F.col("doc")})
+    kept = sorted(exact_dedup.keep_first(docs).collect())
+    assert kept == sorted(docs.where("doc_id % 2 = 0").collect())
+
+
+def test_only_texts_of_hits_are_compared(spark, make_docs, tmp_path):
+    """The located content and each copy's bytes; texts that came up once stay where they are."""
+    folder = str(tmp_path)
+    rows = [(k, f"alone {k}", None, None) for k in range(300)]
+    rows += [(1000 + k, f"copy {k % 2}", None, None) for k in range(40)]
+    docs = make_docs(rows).repartition(6)
+    source = exact_dedup.stage_texts(docs, folder)
+    exact_dedup.update_state(spark, source, folder)
+    state = exact_dedup.state_now(spark, folder)
+    read = exact_dedup._rows(spark.read, source, 64, None)
+    assert exact_dedup.marked(read, state.where("size > 1")).select("text").distinct().count() == 2
+    # A state that points to other content: the bytes tell.
+    wrong = state.withColumn(
+        "first",
+        F.when(
+            F.col("first.doc_id") == 1000,
+            F.first("first").over(W.partitionBy(F.lit(1)).orderBy(F.col("first.doc_id") != 1001)),
+        ).otherwise(F.col("first")),
+    )
+    assert exact_dedup.clashing(read, state).count() == 0
+    assert exact_dedup.clashing(read, wrong).count() == 1
+
+
 def shingle_sets(rows, words):
     sets = []
     for _, text, *_ in rows:
@@ -135,6 +169,15 @@ def vectors(spark, rows):
     return spark.createDataFrame([(*r, None, None, None) for r in rows], schema)
 
 
+def test_representatives_leave_columns_of_its_own_names_alone(spark):
+    rows = [(k, f"a b c d e f {k // 2}", k, f"k{k}") for k in range(8)]
+    rows += [(3, rows[3][1], 3, "k3"), (9, None, 9, "k9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key long, key string")
+    docs = docs.withColumns({"_id": F.col("key"), "_times": F.col("key"), "doc": F.col("key")})
+    kept = sorted(jaccard.keep_representatives(docs).collect(), key=lambda r: r.doc_id)
+    assert kept == docs.where("doc_id in (0, 2, 4, 6, 9)").orderBy("doc_id").collect()
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(1)
     rows = []
