@@ -34,7 +34,7 @@ from lakestrata.session import shared_folder
 _MAGIC = b"WVLT"
 _BLOCK = 4096  # bytes of a plane that are compressed together and have a count of ones
 _BITS = 8 * _BLOCK
-_PLAIN = re.compile(r" \S+")
+_PLAIN = re.compile(r" \S(?:.*\S)?", re.DOTALL)
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD_SCHEMA = "part int, number int, n_docs long, n_tokens long, file binary"
@@ -240,8 +240,9 @@ class LibraryEncoder:
         return np.fromiter(chain.from_iterable(ids), np.uint32, lens.sum()), lens
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A space with word characters behind it always starts a pre-token, so such
-        pieces are encoded as lines of many; bytes tell where each one's ids end."""
+        """A space between two characters that are none always starts a pre-token, so
+        pieces without white space at their ends are encoded as lines of many; bytes
+        tell where each one's ids end."""
         plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, pieces)), bool, len(pieces))
         joined = [p for p, together in zip(pieces, plain) if together]
         lens = np.zeros(len(pieces), np.int64)
