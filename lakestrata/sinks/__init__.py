@@ -7,7 +7,7 @@ from lakestrata.sinks.commits import (
     read_changes,
     state_at,
 )
-from lakestrata.sinks.csv import show_overview, write_csv
+from lakestrata.sinks.csv import show_overview, write_csv, write_ordered_csv
 from lakestrata.sinks.tables import append_run, append_table, last_event_ts, merge_table, replace_table
 
 __all__ = [
@@ -23,4 +23,5 @@ __all__ = [
     "show_overview",
     "state_at",
     "write_csv",
+    "write_ordered_csv",
 ]

@@ -7,7 +7,7 @@ import pytest
 from lakestrata.contracts import ensure_tables, ledger_contract
 from lakestrata.plans.bronze import load_feed
 from lakestrata.plans.ledger import load_new_files
-from lakestrata.sinks import show_overview, write_csv
+from lakestrata.sinks import show_overview, write_csv, write_ordered_csv
 from lakestrata.sources import (
     feeds,
     read_feed,
@@ -259,3 +259,30 @@ def test_ledger_reads_changed_files_once_more(spark, tmp_path, contracts, rows):
     assert rows(stored) == [(1, 4), (2, 3), (3, 4), (4, 6)]
     assert rows(read_table(spark, rejects), "reason") == [("short_record",)]
     assert call(7) == 0 and read_table(spark, ledger).count() == 4
+
+
+def joined_parts(path):
+    return b"".join(part.read_bytes() for part in sorted(Path(path).glob("part-*")))
+
+
+@pytest.mark.parametrize("rows", [0, 1, 400])
+def test_ordered_parts_are_one_file(spark, tmp_path, rows):
+    """Quotes, separators, line ends, nulls, and a day that a third of the rows have."""
+    notes = ['a "b", c', "", None, "two\nlines", " edge ", "x,y", "back\\slash"]
+    df = spark.createDataFrame(
+        [
+            (k, 1 if k % 3 == 0 else k % 40, notes[k % 7], None if k % 5 else k / 4)
+            for k in range(rows)
+        ],
+        "id int, part int, value string, c1 double",
+    ).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = write_ordered_csv(df, str(tmp_path / "parts"), by=["part"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    single = write_csv(df.orderBy("part", "id").coalesce(1), str(tmp_path / "single"))
+    expected = joined_parts(single) or b"id,part,value,c1\n"
+    assert joined_parts(parts) == expected
+    if rows > 100:
+        assert len(list(Path(parts).glob("part-*"))) > 2

@@ -785,6 +785,18 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("spend_before", "spend_after"),
         _upserted("spend_before", "spend_after", ("month", "customer_id")),
     ),
+    "ordered_export": (
+        (),
+        """
+        SELECT 1::BIGINT AS line_no, 'day,order,priority,note' AS line
+        UNION ALL
+        SELECT 1 + row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS line_no,
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',' || o_orderkey || ','
+               || CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE '' END
+               || ',"' || o_orderstatus || ', ""' || o_custkey || '""' || '"' AS line
+        FROM orders
+        """,
+    ),
     "filter_limit": (
         (),
         "SELECT * FROM orders WHERE o_totalprice > 100000 ORDER BY o_orderkey LIMIT 5",

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,7 @@ from lakestrata.sinks import (
     replace_table,
     state_at,
     write_csv,
+    write_ordered_csv,
 )
 from lakestrata.sources import feeds, read_table
 from lakestrata.sources.feeds import CSV_OPTIONS
@@ -812,6 +814,30 @@ def quarantine_audit(spark, sf_dir):
     return read_table(spark, contract)
 
 
+def ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the parts, numbered through from the first part to the last."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderkey").alias("order"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
+        F.concat("o_orderstatus", F.lit(', "'), "o_custkey", F.lit('"')).alias("note"),
+    )
+    path = f"{shared_folder(spark)}/ordered-export-{uuid4().hex}"
+    write_ordered_csv(orders, path, by=["day"])
+    parts = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("part"),
+        F.split(F.regexp_replace("value", "\n$", ""), "\n").alias("lines"),
+    )
+    sizes = parts.select("part", F.size("lines").alias("size"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row per file
+    starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    return (
+        parts.select("part", F.posexplode("lines").alias("place", "line"))
+        .join(starts, "part")
+        .select((F.col("start") + F.col("place") + 1).alias("line_no"), "line")
+    )
+
+
 def filter_limit(spark, sf_dir):
     """Filter, then the first rows of a total order."""
     dear = table(spark, sf_dir, "orders").filter("o_totalprice > 100000")
@@ -861,6 +887,7 @@ QUERIES: dict[str, Query] = {
     "replace_table": replace_table_twice,
     "merge_table": merge_table_by_month,
     "filter_limit": filter_limit,
+    "ordered_export": ordered_export,
     "load_feed_transactions": load_feed_transactions,
     "feed_rejects": feed_rejects,
     "file_ledger": file_ledger,
