@@ -2,17 +2,21 @@
 
 Documents with one set of shingles are one class; a class has one node.  Similar
 nodes are put into groups, and the matrix row of a group is the union of its
-members' tokens.  A query node is held against a group only if enough of its
-tokens are in the union, and only groups that qualify are opened.
-
-Which groups a node is held against follows from bounds that lose no link.  With
-similarity ``t``, a node of ``n`` tokens may miss ``n - ceil(t n)`` of them in a
-partner.  So partners share a number of tokens among the first few by hash (the
-prefix), and a node with fewer prefix tokens that others have is out.  The same
-holds for all tokens of the nodes left.  Of the tokens two partners share, the
-rarest is among the rarest of either (the probes).  Words that very many
-documents share thus stand in nobody's probes, unless a document consists of
-hardly anything else.
+members' tokens, written once.  A query node that may have a partner in a group is
+held against that row; only groups of whose tokens the query has enough are opened,
+and its members are compared with the queries that qualified.
+
+Which rows a node is held against follows from signatures that lose no link.  With
+similarity ``t``, the sets of two partners, the smaller of ``n`` tokens, differ by
+``d = floor(n (1 - t) / t)`` tokens at most.  Hashes are cut into intervals; one
+token that differs changes one interval.  Of the first ``d + 1 + e`` intervals that
+hold tokens of either, ``1 + e`` are thus equal, and each stands among the first as
+many that hold tokens of its own set.  A signature is the digest of an interval's
+tokens, several of them in most, so a word or passage that very many documents
+share gives no signature of its own.  The number of intervals is a power of two
+that follows from the size; sets between two powers use both.  A set with too few
+filled intervals has its first tokens as signatures besides.  Sets of which no
+different one can be a partner have none.
 """
 
 from __future__ import annotations
@@ -35,11 +39,16 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+# Signatures hold the power of their number of intervals in their last bits.
+_POWER = 63
+_TOKENS = 63  # in place of a power: the signature is a token
+
+
 @dataclass(frozen=True)
 class Settings:
     words: int = 5  # of a shingle
     percent: int = 80  # of the union that the intersection has at least
-    slack: float = 0.5  # prefix beyond the tokens a node may miss, as a share of them
+    slack: float = 0.5  # signatures beyond the tokens that may differ, as a share of them
     group_nodes: int = 128  # expected size of a group
     group_tokens: int = 200_000
 
@@ -47,16 +56,20 @@ class Settings:
         """Tokens of ``n`` that a partner has at least; integers or arrays."""
         return -(-n * self.percent // 100)
 
-    def shared(self, n):
-        """Prefix tokens that two partners of ``n`` tokens share at least."""
-        return np.maximum(1, ((n - self.need(n)) * self.slack).astype(np.int64))
+    def differ(self, n):
+        """Tokens by which a set of ``n`` and a partner as large or larger differ at most."""
+        return n * (100 - self.percent) // self.percent
+
+    def beyond(self, n):
+        """Equal signatures that two partners have beyond one, the smaller of ``n``."""
+        return max(0, min(int(self.differ(n) * self.slack), self.need(n) - 1))
 
-    def prefix(self, n):
-        return np.minimum(n, n - self.need(n) + self.shared(n))
+    def signatures(self, n):
+        return self.differ(n) + 1 + self.beyond(n)
 
-    def shared_least(self, n):
-        """The same with the smallest partner that ``n`` tokens can have."""
-        return self.shared(self.need(n))
+    def power(self, n):
+        """Intervals as a power of two: a quarter more than signatures, or up to twice that."""
+        return int(np.ceil(np.log2(1.25 * self.signatures(n))))
 
 
 class Shingler:
@@ -101,13 +114,35 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def signatures_of(shingles: np.ndarray, s: Settings) -> np.ndarray:
+    """Signatures of a sorted set, see the module; none where no partner can differ."""
+    n = len(shingles)
+    if s.differ(n) == 0:
+        return np.zeros(0, np.uint64)
+    most = s.signatures(n)
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * _A
+    mixed ^= mixed >> np.uint64(33)
+    clear = ~np.uint64(_POWER)
+    found, few = [], False
+    for power in range(s.power(s.need(n)), s.power(n) + 1):
+        interval = shingles >> np.uint64(64 - power)
+        starts = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
+        few |= len(starts) < most
+        digest = np.add.reduceat(mixed, starts)[:most] * _B
+        digest ^= digest >> np.uint64(32)
+        found.append((digest & clear) | np.uint64(power))
+    if few:
+        found.append((mixed[:most] & clear) | np.uint64(_TOKENS))
+    return np.concatenate(found)
+
+
 def _text_key() -> Column:
     """Tells rows of one doc_id apart."""
     return F.xxhash64("text")
 
 
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, text_key, n, node and prefix of each row; node is null for an empty set."""
+    """doc_id, text_key, n, node and signatures of each row; node is null for an empty set."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(s.words)
@@ -122,7 +157,7 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
                         "text_key": [next(keys) for _ in sets],
                         "n": lens,
                         "node": pd.array([node_of(x) if len(x) else None for x in sets], "Int64"),
-                        "prefix": [x[:p].astype(np.int64) for x, p in zip(sets, s.prefix(lens))],
+                        "signatures": [signatures_of(x, s).astype(np.int64) for x in sets],
                     }
                 )
 
@@ -130,58 +165,41 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     name = F.col("doc_id").cast("string").alias("doc_id")
     rows = docs.select(name, _text_key().alias("text_key"), "text")
     found = rows.mapInPandas(
-        describe, "doc_id string, text_key long, n long, node long, prefix array<long>"
+        describe, "doc_id string, text_key long, n long, node long, signatures array<long>"
     )
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """One row per node: its smallest doc_id (nulls last), size, n and prefix."""
+    """One row per node: its smallest doc_id (nulls last), n and signatures."""
     first = W.partitionBy("node").orderBy(F.col("doc_id").asc_nulls_last(), "n")
     some = rows.where("node IS NOT NULL")
     one = some.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     return one.withColumnRenamed("doc_id", "first_id")
 
 
-def _need(n: Column, s: Settings) -> Column:
-    return F.ceil(n * s.percent / 100)
-
-
-def _shared_least(n: Column, s: Settings) -> Column:
-    partner = _need(n, s)
-    return F.greatest(F.lit(1), F.floor((partner - _need(partner, s)) * s.slack)).cast("int")
-
-
-def _common(tokens: DataFrame) -> DataFrame:
-    """Rows of (node, n, token) whose token two nodes or more have, with their number."""
-    counts = tokens.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1")
-    return tokens.join(counts, "token")
+def by_signatures(classes: DataFrame, s: Settings) -> DataFrame:
+    """node, n and probes of the nodes that can have a partner.
 
-
-def by_prefix(classes: DataFrame, s: Settings) -> DataFrame:
-    """node and n of the nodes with enough prefix tokens that others have too."""
-    tokens = classes.select("node", "n", F.explode("prefix").alias("token"))
-    held = _common(tokens).groupBy("node", "n").agg(F.count("*").alias("held"))
-    return held.where(F.col("held") >= _shared_least(F.col("n"), s)).drop("held")
-
-
-def by_all_tokens(nodes: DataFrame, s: Settings) -> DataFrame:
-    """node, n and probes of the nodes that can have a partner among ``nodes``.
-
-    All tokens of the nodes left count now: those that no other has must be few
-    enough to be missed.  A document that is in part a passage many share goes
-    here, if the rest of it is its own.  Of the tokens it shares, the probes are
-    the rarest, one more than it may miss.
+    Probes are the signatures that others have too, each with the number of its
+    nodes; of one power there have to be as many as two partners share.
     """
-    tokens = nodes.select("node", "n", F.explode("tokens").alias("token"))
+    rows = classes.select(
+        "node", F.col("n").cast("int").alias("n"), F.explode("signatures").alias("signature")
+    )
+    counts = rows.groupBy("signature").agg(F.count("*").alias("nodes")).where("nodes > 1")
     held = (
-        _common(tokens)
-        .groupBy("node", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("nodes", "token"))).alias("held"))
+        rows.join(counts, "signature")
+        .groupBy("node", "n", F.col("signature").bitwiseAND(F.lit(_POWER)).alias("power"))
+        .agg(F.collect_list(F.struct("nodes", "signature")).alias("held"))
     )
-    need = _need(F.col("n"), s).cast("int")
-    return held.where(F.size("held") >= need).select(
-        "node", "n", F.slice("held", F.lit(1), F.size("held") - need + 1).alias("probes")
+    partner = F.ceil(F.col("n") * s.percent / 100)
+    differ = F.floor(partner * (100 - s.percent) / s.percent)
+    beyond = F.least(F.floor(differ * s.slack), F.ceil(partner * s.percent / 100) - 1)
+    return (
+        held.where(F.size("held") > F.greatest(F.lit(0), beyond))
+        .groupBy("node", "n")
+        .agg(F.flatten(F.collect_list("held")).alias("probes"))
     )
 
 
@@ -191,7 +209,8 @@ def grouped(probes: DataFrame, s: Settings) -> DataFrame:
     Home is the probe that most nodes have, so that nodes alike meet; a home with
     many nodes is cut into groups of bounded size.
     """
-    home = probes.select("node", "n", "probes", F.element_at("probes", -1)["token"].alias("home"))
+    most = F.array_max("probes")["signature"]
+    home = probes.withColumn("home", most)
     sizes = home.groupBy("home").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
     cuts = F.greatest(
         F.lit(1),
@@ -199,19 +218,58 @@ def grouped(probes: DataFrame, s: Settings) -> DataFrame:
         F.ceil(F.col("tokens") / s.group_tokens),
     )
     return home.join(sizes.select("home", cuts.alias("cuts")), "home").select(
-        "node",
-        "n",
-        "probes",
+        *probes.columns,
         F.xxhash64("home", F.pmod(F.xxhash64("node"), "cuts")).alias("group"),
     )
 
 
-def group_pairs(groups: DataFrame) -> DataFrame:
-    """(first, second) for groups with a probe in common, a group with itself included."""
-    rows = groups.select(F.explode("probes.token").alias("token"), "group").distinct()
-    one = rows.withColumnRenamed("group", "first")
-    other = rows.withColumnRenamed("group", "second")
-    return one.join(other, "token").where("first <= second").select("first", "second").distinct()
+def touching(groups: DataFrame) -> DataFrame:
+    """node, first and second: ``second`` is a group that has a probe of the node.
+
+    ``first`` is the node's own group and comes before ``second``, so that two nodes
+    of different groups meet once.
+    """
+    own = groups.select(
+        F.explode("probes.signature").alias("signature"), "node", F.col("group").alias("first")
+    )
+    held = own.select("signature", F.col("first").alias("second")).distinct()
+    return own.join(held, "signature").where("first < second").select(
+        "node", "first", "second"
+    ).distinct()
+
+
+def unions(members: DataFrame) -> DataFrame:
+    """The matrix: one row per group, with all tokens of its members in order."""
+    tokens = F.array_distinct(F.flatten(F.collect_list("tokens")))
+    return members.groupBy("group").agg(F.array_sort(tokens).alias("tokens"))
+
+
+def qualifying(
+    touched: DataFrame, members: DataFrame, matrix: DataFrame, s: Settings
+) -> DataFrame:
+    """The rows of ``touched`` whose node has enough tokens of the second group's union.
+
+    A task holds one row of the matrix and the queries of one other group.
+    """
+
+    def bound(queries: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:
+        if not len(row):
+            return queries[["node", "first", "second"]][:0]
+        union = np.asarray(row["tokens"].iloc[0], np.int64)
+        enough = []
+        for tokens in queries["tokens"]:
+            place = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+            enough.append(np.count_nonzero(union[place] == tokens) >= s.need(len(tokens)))
+        return queries.loc[np.array(enough, bool), ["node", "first", "second"]]
+
+    queries = touched.join(members.select("node", "tokens"), "node")
+    asking = touched.select(F.col("first").alias("asking"), F.col("second").alias("group"))
+    rows = asking.distinct().join(matrix, "group")
+    return (
+        queries.groupBy("first", "second")
+        .cogroup(rows.groupBy("asking", "group"))
+        .applyInPandas(bound, "node long, first long, second long")
+    )
 
 
 def token_sets(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -237,7 +295,7 @@ def token_sets(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
 
 
 def links(queries: list, group: list, same: bool, s: Settings) -> Iterator[tuple[int, int]]:
-    """Index pairs that link: each query's bound first, then the group's members."""
+    """Index pairs of queries and members that link."""
     sizes = np.array([len(x) for x in group])
     every = np.concatenate(group)
     by_token = np.argsort(every, kind="stable")
@@ -247,10 +305,9 @@ def links(queries: list, group: list, same: bool, s: Settings) -> Iterator[tuple
     union = every[starts]
     runs = np.diff(np.append(starts, len(every)))
     for at, query in enumerate(queries):
-        place = np.searchsorted(union, query)
-        place[place == len(union)] = 0
+        place = np.minimum(np.searchsorted(union, query), len(union) - 1)
         place = place[union[place] == query]
-        if len(place) < s.need(len(query)):
+        if not len(place):
             continue
         run = runs[place]
         ends = np.cumsum(run)
@@ -262,22 +319,22 @@ def links(queries: list, group: list, same: bool, s: Settings) -> Iterator[tuple
                 yield at, int(other)
 
 
-def verified(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
+def verified(qualified: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
     """node, root and links from each pair of groups.
 
+    A group is opened for itself and for the queries of another that qualified.
     root ties the nodes linked in that pair together; links counts the documents
     of the nodes linked with this one.
     """
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["node", "side"])
         sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
         side = rows["side"].to_numpy()
         nodes, weights = rows["node"].tolist(), rows["documents"].tolist()
         one = np.flatnonzero(side == 0)
         other = np.flatnonzero(side == 1)
-        same = not len(other)
-        other = one if same else other
+        same = not len(one)
+        one = other if same else one
         root = list(range(len(nodes)))
         count = [0] * len(nodes)
 
@@ -287,7 +344,7 @@ def verified(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
                 k = root[k]
             return k
 
-        if len(one) and len(other):
+        if len(other):
             for a, b in links([sets[k] for k in one], [sets[k] for k in other], same, s):
                 a, b = int(one[a]), int(other[b])
                 count[a] += weights[b]
@@ -302,16 +359,23 @@ def verified(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
             }
         ).astype("int64")
 
-    pair = F.xxhash64("first", "second").alias("pair")
-    ones = pairs.select(pair, F.col("first").alias("group"), F.lit(0).alias("side"))
-    others = pairs.where("first <> second").select(
-        pair, F.col("second").alias("group"), F.lit(1).alias("side")
+    asked = qualified.join(members.drop("group"), "node").withColumn("side", F.lit(0))
+    opened = qualified.select("first", "second").distinct()
+    # A group of one has nothing to compare inside.
+    several = members.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1")
+    opened = opened.unionByName(
+        several.select(F.col("group").alias("first"), F.col("group").alias("second"))
+    )
+    held = (
+        members.withColumnRenamed("group", "second")
+        .join(opened, "second")
+        .withColumn("side", F.lit(1))
     )
+    columns = ["first", "second", "side", "node", "documents", "tokens"]
     return (
-        ones.unionByName(others)
-        .join(members, "group")
-        .select("pair", "side", "node", "documents", "tokens")
-        .groupBy("pair")
+        asked.select(*columns)
+        .unionByName(held.select(*columns))
+        .groupBy("first", "second")
         .applyInPandas(verify, "node long, root long, links long")
     )
 
@@ -331,24 +395,38 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return _joined(docs, s).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+# A class of copies is dealt over this many tasks.
+_SALTS = 32
+
+
 def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     """The same with text_key and root, the node that names the component."""
-    rows = stage(described(docs, s), "jaccard-rows")
+    salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(_SALTS)).cast("int")
+    rows = stage(described(docs, s), "jaccard-rows").withColumn("salt", salt)
     classes = classes_of(rows)
     sizes = (
         rows.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.count("*").alias("documents"), F.min("doc_id").alias("least"))
+        .agg(
+            F.count("*").alias("documents"),
+            F.min("doc_id").alias("least"),
+            F.expr("bit_or(shiftleft(1L, salt))").alias("salts"),
+        )
     )
-    left = stage(by_prefix(classes, s).join(sizes, "node"), "jaccard-nodes")
-    sets = token_sets(docs, left.select(F.col("least").alias("first_id")), s)
+    probes = by_signatures(classes, s).join(sizes.select("node", "documents", "least"), "node")
+    groups = stage(grouped(probes, s), "jaccard-groups")
+    sets = token_sets(docs, groups.select(F.col("least").alias("first_id")), s)
     # Repeated rows work a node's tokens out more than once.
     own = W.partitionBy("node").orderBy("node")
     sets = sets.withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
-    nodes = stage(left.join(sets, "node"), "jaccard-tokens")
-    groups = stage(grouped(by_all_tokens(nodes, s), s), "jaccard-groups")
-    members = groups.select("node", "group").join(nodes, "node")
-    found = stage(verified(group_pairs(groups), members, s), "jaccard-links")
+    members = stage(
+        groups.select("node", "group", "documents").join(sets, "node"), "jaccard-tokens"
+    )
+    touched = stage(touching(groups), "jaccard-touched")
+    second = touched.select(F.col("second").alias("group")).distinct()
+    matrix = stage(unions(members.join(second, "group", "left_semi")), "jaccard-matrix")
+    qualified = stage(qualifying(touched, members, matrix, s), "jaccard-qualified")
+    found = stage(verified(qualified, members, s), "jaccard-links")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     whole = tied.join(sizes, "node").groupBy("root").agg(F.min("least").alias("component"))
@@ -356,8 +434,14 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
         tied.join(whole, "root").join(counted, "node").select("node", "root", "component", "links")
     )
     per_node = stage(sizes.join(linked, "node", "left"), "jaccard-components")
+    # As many rows of a class as its documents have salts.
+    has = F.filter(
+        F.sequence(F.lit(0), F.lit(_SALTS - 1)),
+        lambda k: F.expr("salts").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k)) != 0,
+    )
+    dealt = per_node.withColumn("salt", F.explode(has)).drop("salts")
     copies = F.coalesce(F.col("documents") - 1, F.lit(0))
-    with_node = rows.join(per_node, "node").select(
+    with_node = rows.join(dealt, ["node", "salt"]).select(
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),
