@@ -148,6 +148,37 @@ def test_jaccard_components(make_docs, odd_rows, random_docs, settings):
     assert sorted(map(tuple, found)) == expected
 
 
+@pytest.mark.parametrize("percent, slack", [(90, 1.0), (90, 0.0), (80, 0.25), (60, 0.5)])
+def test_partners_share_as_many_signatures_as_asked(percent, slack):
+    """Sets at the edge of similarity, of all sizes; too many differences may share none."""
+    s, rng = jaccard.Settings(percent=percent, slack=slack), np.random.default_rng(1)
+    for n in [*range(1, 60), 200, 1000, 3000]:
+        for _ in range(5):
+            one = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            gone = int(rng.integers(0, s.differ(n) + 1))
+            more = rng.integers(0, 2**64, int(rng.integers(0, s.differ(n) + 1)), np.uint64)
+            other = np.unique(np.append(rng.permutation(one)[gone:], more))
+            common = len(np.intersect1d(one, other))
+            if not gone + len(more) or 100 * common < percent * (n + len(other) - common):
+                continue
+            a, b = jaccard.signatures_of(one, s), jaccard.signatures_of(other, s)
+            shared = np.intersect1d(a, b) & np.uint64(63)
+            assert np.bincount(shared.astype(int)).max() > s.beyond(min(n, len(other)))
+
+
+def test_only_queries_within_the_bound_qualify(spark):
+    s = jaccard.Settings(percent=80)
+    members = spark.createDataFrame(
+        [(1, 10, list(range(10))), (2, 20, list(range(2, 14))), (3, 20, list(range(50, 60)))],
+        "node long, group long, tokens array<long>",
+    )
+    matrix = jaccard.unions(members)
+    assert sorted(matrix.where("group = 20").first()["tokens"]) == [*range(2, 14), *range(50, 60)]
+    touched = spark.createDataFrame([(1, 10, 20), (3, 20, 10)], "node long, first long, second long")
+    found = jaccard.qualifying(touched, members, matrix, s).collect()
+    assert [tuple(r) for r in found] == [(1, 10, 20)]
+
+
 def test_jaccard_null_ids_and_empty_table(make_docs, odd_rows):
     found = jaccard.jaccard_components(make_docs(odd_rows)).collect()
     assert len(found) == len(odd_rows)
