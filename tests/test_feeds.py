@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 
 from lakestrata.contracts import ensure_tables, ledger_contract
+from lakestrata.plans import bronze
 from lakestrata.plans.bronze import load_feed
 from lakestrata.plans.ledger import load_new_files
+from lakestrata.session import shared_folder
 from lakestrata.sinks import show_overview, write_csv, write_ordered_csv
 from lakestrata.sources import (
     feeds,
@@ -286,3 +288,28 @@ def test_ordered_parts_are_one_file(spark, tmp_path, rows):
     assert joined_parts(parts) == expected
     if rows > 100:
         assert len(list(Path(parts).glob("part-*"))) > 2
+
+
+def test_update_writes_rows_once_into_their_months(spark, rows, contracts, tmp_path, capsys):
+    """No key is shuffled, no source row is staged, and months keep their other rows."""
+    feed = feeds(contracts)["transactions"]
+    head = ",".join(feed.contract.feed_columns) + "\n"
+    line = "{},7,8,1,2.5,2024-0{}-03 00:00:00,online\n"
+    path = write(tmp_path, "a.csv", head + line.format(1, 1) * 3 + line.format(2, 2) + "x" * 9 + "\n")
+    typed = typed_rows(read_feed(spark, feed, path, "2024-05-01"), feed)
+    placed = bronze._placed(typed, feed)
+    capsys.readouterr()
+    placed.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1
+    assert "sha2" not in plan[plan.index("Exchange") :]
+    folder = Path(shared_folder(spark), "stages")
+    staged = set(folder.glob("transactions-*"))
+    load(spark, contracts, "transactions", path, ingest_ts="2024-05-01")
+    write(tmp_path, "a.csv", head + line.format(1, 1) + line.format(3, 1) + line.format(4, 3))
+    after = load(spark, contracts, "transactions", path, ingest_ts="2024-05-02")
+    assert rows(after.selectExpr("transaction_id", "day(_ingest_ts)", "month(transaction_timestamp)")) == [
+        (1, 2, 1), (2, 1, 2), (3, 2, 1), (4, 2, 3)
+    ]
+    assert set(folder.glob("transactions-*")) == staged
+    assert rows(read_table(spark, contracts["bronze.feed_rejects"]), "raw_row") == [("x" * 9,)]
