@@ -59,3 +59,13 @@ def setting(spark):
     yield change
     for key, value in before.items():
         spark.conf.set(key, value)
+
+
+@pytest.fixture
+def plan(capsys):
+    def text(df, mode="formatted"):
+        capsys.readouterr()
+        df.explain(mode)
+        return capsys.readouterr().out
+
+    return text

@@ -47,6 +47,18 @@ def test_distinct_counts_add_up(spark):
     assert distinct_counts(distinct_state(df.limit(0), ["day"], ["id"]), []).collect() == []
 
 
+def test_sparse_ids_take_no_block_each(spark, plan):
+    """Ids far apart are a few bytes in the state, and are summed up by hash."""
+    df = spark.range(100).selectExpr("'a' AS day", "id * 100000 AS id")
+    state = distinct_state(df, ["day"], ["id"])
+    assert state.schema["bitmap"].dataType.simpleString() == "bigint"
+    merged = merge_states(state, ["day"])
+    assert "SortAggregate" not in plan(merged)
+    assert "ObjectHashAggregate" not in plan(merged)
+    row = distinct_counts(merged, []).first()
+    assert (row["n_rows"], row["n_distinct"]) == (100, 100)
+
+
 def test_differences_of_contents(spark, rows):
     """Swaps that keep sums, copies that cancel in an xor, nulls, groups of one side."""
     left = [(1, "a", 5.0), (1, "b", 7.0), (2, "c", 1.0), (2, "c", 1.0), (3, None, 0.0), (4, "x", 1.0),
