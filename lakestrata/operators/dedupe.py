@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakestrata.functions.keys import fingerprint
+
 
 def recency_order() -> list[Column]:
     """Total order over versions of one business key, newest first.
@@ -38,6 +40,23 @@ def latest_by(
     )
 
 
+def latest_content(df: DataFrame, keys: Sequence[str], content: Sequence[str]) -> DataFrame:
+    """``latest_by`` for rows whose fingerprint is that of the columns ``content``.
+
+    The newest rows of a key are found without it; where several share time and path,
+    it settles them after the shuffle, which thus moves no fingerprints.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*recency_order()[:2])
+    tied = (
+        df.drop("_bronze_row_key")
+        .withColumn("_version", F.rank().over(newest))
+        .filter("_version = 1")
+        .drop("_version")
+    )
+    keyed = tied.withColumn("_bronze_row_key", fingerprint(*content))
+    return latest_by(keyed, keys, recency_order()[2:]).select(*df.columns)
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """Pass rows through; fail the job when a key comes twice.
 

@@ -20,6 +20,7 @@ from lakestrata.session import side_by_side
 from lakestrata.sinks.tables import merge_placed, merge_table
 from lakestrata.sources.feeds import (
     Feed,
+    add_fingerprint,
     add_keys,
     read_feed,
     reject_rows,
@@ -29,9 +30,18 @@ from lakestrata.sources.feeds import (
 from lakestrata.sources.tables import require_table
 
 
-def distinct_content(rows: DataFrame) -> DataFrame:
-    """Exact copies reduced to one row, chosen by the total order of lineage."""
-    return latest_by(rows, ["_bronze_row_key"], recency_order()[:2])
+def distinct_content(rows: DataFrame, feed: Feed | None = None) -> DataFrame:
+    """Exact copies reduced to one row, chosen by the total order of lineage.
+
+    With ``feed``, whose key is a number, rows are placed by that key and their
+    fingerprints, which name it, are worked out after the shuffle.
+    """
+    order = recency_order()[:2]
+    if feed is None:
+        return latest_by(rows, ["_bronze_row_key"], order)
+    placed = rows.drop("_bronze_row_key").repartition(feed.business_key)
+    keyed = add_fingerprint(placed, feed)
+    return latest_by(keyed, [feed.business_key, "_bronze_row_key"], order).select(*rows.columns)
 
 
 def load_feed(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakestrata.functions.cleaning import customer_cleaning, is_blank
 from lakestrata.functions.keys import fingerprint
 from lakestrata.functions.times import instant
-from lakestrata.operators.dedupe import latest_by
+from lakestrata.operators.dedupe import latest_by, latest_content
 from lakestrata.operators.joins import lookup, without_match
 from lakestrata.operators.sequence import with_surrogate_key
 from lakestrata.values import (
@@ -43,6 +43,17 @@ PRODUCT_HASH = (
     "created_date",
 )
 
+# The feed's columns, which the fingerprint of a bronze row covers.
+TRANSACTION_CONTENT = (
+    "transaction_id",
+    "customer_id",
+    "product_id",
+    "quantity",
+    "transaction_amount",
+    "transaction_timestamp",
+    "channel",
+)
+
 
 def customer_state(bronze_customers: DataFrame) -> DataFrame:
     """Latest version of every customer: cleaned, with the hash of its raw content."""
@@ -143,7 +154,7 @@ def fact_transaction(
     """
     product_keys = products.filter("is_current").select("product_id", "product_sk")
     customer_keys = customers.filter("is_current").select("customer_id", "customer_sk")
-    latest = latest_by(bronze_transactions, ["transaction_id"])
+    latest = latest_content(bronze_transactions, ["transaction_id"], TRANSACTION_CONTENT)
     with_product = lookup(latest, product_keys, "product_id")
     linked = lookup(
         with_product, customer_keys, "customer_id", "left", spread_by="transaction_id"

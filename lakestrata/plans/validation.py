@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.money import money_sum
 from lakestrata.functions.times import month_start
-from lakestrata.operators.dedupe import latest_by
+from lakestrata.operators.dedupe import latest_content
 from lakestrata.operators.digests import content_differences
 from lakestrata.operators.joins import lookup
+from lakestrata.operators.staging import stage
+from lakestrata.plans.silver import TRANSACTION_CONTENT
 from lakestrata.values import BUCKET_EMAIL, BUCKET_MISSING_PRODUCT, BUCKET_OTHER
 
 
@@ -135,10 +137,10 @@ def fact_content(
     """Rows that bronze and the fact do not hold alike, with how often each has them.
 
     Totals can agree where contents do not.  Months are compared by digest first, and
-    only those that differ by row.
+    only those that differ by row; the rows expected are written once for both.
     """
     known = products.filter("is_current").select("product_id")
-    latest = latest_by(bronze_transactions, ["transaction_id"])
+    latest = latest_content(bronze_transactions, ["transaction_id"], TRANSACTION_CONTENT)
     expected = lookup(latest, known, "product_id", "left_semi")
     sides = [
         df.withColumn("order_date", F.to_date("transaction_timestamp"))
@@ -146,4 +148,5 @@ def fact_content(
         .select(*FACT_CONTENT)
         for df in (expected, fact)
     ]
+    sides[0] = stage(sides[0], "expected")
     return content_differences(*sides, "order_month", FACT_CONTENT)

@@ -7,21 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.contracts import use_catalog
+from lakestrata.functions.keys import fingerprint
 from lakestrata.operators import latest_by, lookup, upsert_stored, with_surrogate_key
+from lakestrata.operators.dedupe import latest_content
 from lakestrata.operators.staging import staged
 from lakestrata.plans import gold
+from lakestrata.plans.bronze import distinct_content
+from lakestrata.plans.silver import TRANSACTION_CONTENT
 from lakestrata.session import shared_folder
-from lakestrata.sources import read_months, read_table, register_views
-
-
-@pytest.fixture
-def plan(capsys):
-    def text(df, mode="formatted"):
-        capsys.readouterr()
-        df.explain(mode)
-        return capsys.readouterr().out
-
-    return text
+from lakestrata.sources import feeds, read_months, read_table, register_views
 
 
 @pytest.fixture(scope="module")
@@ -113,6 +107,40 @@ def test_latest_of_a_hot_key_sends_one_row_per_task(spark):
     assert latest_by(hot, ["id"], [F.col("v").desc()]).collect() == [(1, 9999)]
 
 
+def _versions(spark):
+    """Versions of few sales: other times, other paths, ties on both, and copies."""
+    cells = spark.range(400).selectExpr(
+        "id % 9 AS transaction_id",
+        "id % 4 AS customer_id",
+        "5L AS product_id",
+        "CAST(id % 3 AS INT) AS quantity",
+        "1.5D AS transaction_amount",
+        "TIMESTAMP'2024-01-01 00:00:00' AS transaction_timestamp",
+        "IF(id % 2 = 0, 'online', NULL) AS channel",
+        "timestamp_seconds(id % 5) AS _ingest_ts",
+        "concat('p', id % 2) AS _source_path",
+    )
+    return cells.withColumn("_bronze_row_key", fingerprint(*TRANSACTION_CONTENT))
+
+
+def test_latest_of_contents_moves_no_fingerprints(spark, plan, rows):
+    df = _versions(spark)
+    found = latest_content(df, ["transaction_id"], TRANSACTION_CONTENT)
+    text = plan(found, "simple")
+    assert text.count("Exchange") == 1
+    assert "sha2" not in text[text.index("Exchange") :]
+    assert rows(found) == rows(latest_by(df, ["transaction_id"]))
+
+
+def test_distinct_contents_move_no_fingerprints(spark, plan, rows):
+    df = _versions(spark)
+    found = distinct_content(df, feeds()["transactions"])
+    text = plan(found, "simple")
+    assert text.count("Exchange") == 1
+    assert "sha2" not in text[text.index("Exchange") :]
+    assert rows(found) == rows(distinct_content(df))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 

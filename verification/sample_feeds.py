@@ -156,4 +156,4 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_content(transactions_feed(spark, sf_dir))
+    return distinct_content(transactions_feed(spark, sf_dir), FEEDS["transactions"])
