@@ -141,23 +141,39 @@ def _text_key() -> Column:
     return F.xxhash64("text")
 
 
+# Nodes whose signatures a task knows to be given, at most.
+_SEEN = 1_000_000
+
+
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, text_key, n, node and signatures of each row; node is null for an empty set."""
+    """doc_id, text_key, n, node and signatures of each row; node is null for an empty set.
+
+    The first row of a node in a task has the signatures; copies of it there have none.
+    """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(s.words)
+        shingler, seen = Shingler(s.words), set()
+        none = np.zeros(0, np.int64)
         for batch in batches:
             names, keys = iter(batch["doc_id"]), iter(batch["text_key"])
             for texts in slices(batch["text"], 8_000_000):
                 sets = shingler.sets(texts)
                 lens = np.array([len(x) for x in sets], np.int64)
+                nodes = [node_of(x) if len(x) else None for x in sets]
+                if len(seen) > _SEEN:
+                    seen.clear()
+                signatures = []
+                for node, x in zip(nodes, sets):
+                    fresh = node not in seen
+                    signatures.append(signatures_of(x, s).astype(np.int64) if fresh else none)
+                    seen.add(node)
                 yield pd.DataFrame(
                     {
                         "doc_id": [next(names) for _ in sets],
                         "text_key": [next(keys) for _ in sets],
                         "n": lens,
-                        "node": pd.array([node_of(x) if len(x) else None for x in sets], "Int64"),
-                        "signatures": [signatures_of(x, s).astype(np.int64) for x in sets],
+                        "node": pd.array(nodes, "Int64"),
+                        "signatures": signatures,
                     }
                 )
 
@@ -170,35 +186,33 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def classes_of(rows: DataFrame) -> DataFrame:
-    """One row per node: its smallest doc_id (nulls last), n and signatures."""
-    first = W.partitionBy("node").orderBy(F.col("doc_id").asc_nulls_last(), "n")
-    some = rows.where("node IS NOT NULL")
-    one = some.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return one.withColumnRenamed("doc_id", "first_id")
+def by_signatures(rows: DataFrame, sizes: DataFrame, s: Settings) -> DataFrame:
+    """The rows of ``sizes`` whose node can have a partner, with probes.
 
-
-def by_signatures(classes: DataFrame, s: Settings) -> DataFrame:
-    """node, n and probes of the nodes that can have a partner.
-
-    Probes are the signatures that others have too, each with the number of its
-    nodes; of one power there have to be as many as two partners share.
+    Probes are the signatures that other nodes have too, each with the number of its
+    rows; of one power there have to be as many as two partners share.  Signatures
+    travel once: they are counted where they lie for that.
     """
-    rows = classes.select(
-        "node", F.col("n").cast("int").alias("n"), F.explode("signatures").alias("signature")
-    )
-    counts = rows.groupBy("signature").agg(F.count("*").alias("nodes")).where("nodes > 1")
-    held = (
-        rows.join(counts, "signature")
-        .groupBy("node", "n", F.col("signature").bitwiseAND(F.lit(_POWER)).alias("power"))
-        .agg(F.collect_list(F.struct("nodes", "signature")).alias("held"))
-    )
+    given = rows.select("node", F.explode("signatures").alias("signature"))
+    of_one = W.partitionBy("signature")
+    shared = given.select(
+        "*",
+        F.count("*").over(of_one).alias("nodes"),
+        F.min("node").over(of_one).alias("_least"),
+        F.max("node").over(of_one).alias("_most"),
+    ).where("_least < _most")
+    # Copies in several tasks have given their signatures more than once.
+    once = shared.groupBy("signature", "node").agg(F.max("nodes").alias("nodes"))
+    held = once.groupBy(
+        "node", F.col("signature").bitwiseAND(F.lit(_POWER)).alias("power")
+    ).agg(F.collect_list(F.struct("nodes", "signature")).alias("held"))
     partner = F.ceil(F.col("n") * s.percent / 100)
     differ = F.floor(partner * (100 - s.percent) / s.percent)
     beyond = F.least(F.floor(differ * s.slack), F.ceil(partner * s.percent / 100) - 1)
     return (
-        held.where(F.size("held") > F.greatest(F.lit(0), beyond))
-        .groupBy("node", "n")
+        held.join(sizes, "node")
+        .where(F.size("held") > F.greatest(F.lit(0), beyond))
+        .groupBy(*sizes.columns)
         .agg(F.flatten(F.collect_list("held")).alias("probes"))
     )
 
@@ -223,19 +237,32 @@ def grouped(probes: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def touching(groups: DataFrame) -> DataFrame:
-    """node, first and second: ``second`` is a group that has a probe of the node.
+def near_groups(groups: DataFrame) -> DataFrame:
+    """first, second and common: two groups and the probes that both hold.
 
-    ``first`` is the node's own group and comes before ``second``, so that two nodes
-    of different groups meet once.
+    ``first`` comes before ``second``, so that two nodes of different groups meet
+    once.  A group holds a probe once, however many of its nodes have it.
     """
-    own = groups.select(
-        F.explode("probes.signature").alias("signature"), "node", F.col("group").alias("first")
+    held = groups.select(F.explode("probes.signature").alias("signature"), "group").distinct()
+    first = held.withColumnRenamed("group", "first")
+    second = held.withColumnRenamed("group", "second")
+    return (
+        first.join(second, "signature")
+        .where("first < second")
+        .groupBy("first", "second")
+        .agg(F.collect_list("signature").alias("common"))
+    )
+
+
+def touching(groups: DataFrame) -> DataFrame:
+    """node, first and second: the node's group and a later one that has a probe of the node."""
+    own = groups.select("node", F.col("group").alias("first"), F.col("probes.signature").alias("own"))
+    return (
+        near_groups(groups)
+        .join(own, "first")
+        .where(F.arrays_overlap("common", "own"))
+        .select("node", "first", "second")
     )
-    held = own.select("signature", F.col("first").alias("second")).distinct()
-    return own.join(held, "signature").where("first < second").select(
-        "node", "first", "second"
-    ).distinct()
 
 
 def unions(members: DataFrame) -> DataFrame:
@@ -403,17 +430,17 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     """The same with text_key and root, the node that names the component."""
     salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(_SALTS)).cast("int")
     rows = stage(described(docs, s), "jaccard-rows").withColumn("salt", salt)
-    classes = classes_of(rows)
     sizes = (
         rows.where("node IS NOT NULL")
         .groupBy("node")
         .agg(
+            F.min("n").cast("int").alias("n"),
             F.count("*").alias("documents"),
             F.min("doc_id").alias("least"),
             F.expr("bit_or(shiftleft(1L, salt))").alias("salts"),
         )
     )
-    probes = by_signatures(classes, s).join(sizes.select("node", "documents", "least"), "node")
+    probes = by_signatures(rows, sizes.drop("salts"), s)
     groups = stage(grouped(probes, s), "jaccard-groups")
     sets = token_sets(docs, groups.select(F.col("least").alias("first_id")), s)
     # Repeated rows work a node's tokens out more than once.
@@ -433,7 +460,7 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     linked = (
         tied.join(whole, "root").join(counted, "node").select("node", "root", "component", "links")
     )
-    per_node = stage(sizes.join(linked, "node", "left"), "jaccard-components")
+    per_node = stage(sizes.drop("n").join(linked, "node", "left"), "jaccard-components")
     # As many rows of a class as its documents have salts.
     has = F.filter(
         F.sequence(F.lit(0), F.lit(_SALTS - 1)),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm import exact_dedup, jaccard, near_vectors
 from lakestrata.llm.components import components
+from lakestrata.operators.staging import stage
 
 
 def roots(nodes, pairs):
@@ -179,6 +180,46 @@ def test_only_queries_within_the_bound_qualify(spark):
     assert [tuple(r) for r in found] == [(1, 10, 20)]
 
 
+def test_groups_meet_once_for_a_signature_whatever_their_size(spark):
+    """90 nodes in 3 groups hold 20 signatures; one node of a fourth holds the last."""
+    both = [{"nodes": 91, "signature": k} for k in range(20)]
+    rows = [(k, 100 + k % 3, both) for k in range(90)]
+    rows += [(90, 99, both[-1:]), (91, 99, [{"nodes": 2, "signature": 50}])]
+    schema = "node long, group long, probes array<struct<nodes: long, signature: long>>"
+    groups = spark.createDataFrame(rows, schema)
+    near = jaccard.near_groups(groups)
+    found = {(r.first, r.second): sorted(r.common) for r in near.collect()}
+    every = list(range(20))
+    assert found == {
+        (99, 100): [19], (99, 101): [19], (99, 102): [19],
+        (100, 101): every, (100, 102): every, (101, 102): every,
+    }
+    touched = sorted(map(tuple, jaccard.touching(groups).collect()))
+    expected = [(90, 99, g) for g in (100, 101, 102)]
+    expected += [(k, 100 + k % 3, g) for k in range(90) for g in range(101 + k % 3, 103)]
+    assert touched == sorted(expected)
+
+
+def test_signatures_travel_once_and_copies_in_a_task_give_none(spark, make_docs):
+    s = jaccard.Settings(words=2, percent=60)
+    base = " ".join(f"w{k}" for k in range(40))
+    texts = [base, base, base + " more", "alone in here with nobody else at all"]
+    docs = make_docs([(k, t, "en", "web") for k, t in enumerate(texts)]).coalesce(1)
+    rows = stage(jaccard.described(docs, s), "rows")
+    given = {r.doc_id: len(r.signatures) for r in rows.collect()}
+    assert given[0] and not given[1] and given[2] and given[3]
+    copies = rows.unionByName(rows.where("doc_id = 0").withColumn("doc_id", F.lit(7).cast("long")))
+    sizes = rows.groupBy("node").agg(F.min("n").cast("int").alias("n"))
+    probes = jaccard.by_signatures(copies, sizes, s)
+    plan = probes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(signature") == 1
+    nodes = {r.doc_id: r.node for r in rows.collect()}
+    found = {r.node: [p.signature for p in r.probes] for r in probes.collect()}
+    assert set(found) == {nodes[0], nodes[2]}
+    assert all(len(set(p)) == len(p) for p in found.values())
+    assert set(found[nodes[0]]) == set(found[nodes[2]])
+
+
 def test_jaccard_null_ids_and_empty_table(make_docs, odd_rows):
     found = jaccard.jaccard_components(make_docs(odd_rows)).collect()
     assert len(found) == len(odd_rows)
