@@ -107,16 +107,40 @@ def _targets(cells: DataFrame, dimension: str, target) -> DataFrame:
     )
 
 
-def _errors(raked: DataFrame, targets: Mapping[str, DataFrame], wanted: float) -> DataFrame:
+def _off(aim: str) -> Column:
+    """By how much a sum is off its aim, as a share of that; null where that is nothing."""
+    return F.when(F.col(aim) > 0, F.abs(F.col("sum") / F.col(aim) - 1))
+
+
+def _errors(raked: DataFrame) -> DataFrame:
     """raked with ``error``: the worst of its three sums."""
-    offs = []
+    found = raked
     for d in DIMENSIONS:
-        sums = raked.groupBy(d).agg(F.sum("weight").alias("sum")).join(targets[d], d)
-        aim = F.col("share") * wanted
-        off = F.when(aim > 0, F.abs(F.col("sum") / aim - 1))
-        raked = raked.join(sums.select(d, off.alias(f"off_{d}")), d)
-        offs.append(f"off_{d}")
-    return raked.withColumn("error", F.greatest(*offs)).drop(*offs)
+        sums = raked.groupBy(d).agg(F.sum("weight").alias("sum"), F.max(f"aim_{d}").alias("aim"))
+        found = found.join(sums.select(d, _off("aim").alias(f"off_{d}")), d)
+    offs = [f"off_{d}" for d in DIMENSIONS]
+    return found.withColumn("error", F.greatest(*offs)).drop(*offs)
+
+
+def _progress(raked: DataFrame) -> tuple[float, float]:
+    """The worst error of any sum, and the weight moved since ``before``: one pass."""
+    margins = [
+        F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col(f"aim_{d}").alias("aim"))
+        for d in DIMENSIONS
+    ]
+    sums = (
+        raked.select(
+            F.inline(F.array(*margins)),
+            "weight",
+            F.abs(F.col("weight") - F.col("before")).alias("moved"),
+        )
+        .groupBy("dimension", "value")
+        .agg(F.sum("weight").alias("sum"), F.max("aim").alias("aim"), F.sum("moved").alias("moved"))
+    )
+    # Every cell stands in one sum of each dimension.
+    moved = F.sum(F.when(F.col("dimension") == DIMENSIONS[0], F.col("moved")))
+    worst, total = sums.agg(F.max(_off("aim")), moved).first()
+    return worst or 0.0, total or 0.0
 
 
 def rake(cells: DataFrame, s: Settings) -> DataFrame:
@@ -128,35 +152,34 @@ def rake(cells: DataFrame, s: Settings) -> DataFrame:
     be met together, when a round moves less than a hundredth of it.  ``error`` is the
     most by which a sum of the cell's source, language or topic is off its target, as
     a share of that; null where that is nothing.
-    Cells follow the combinations there are, not the documents.
+    Cells follow the combinations there are, not the documents.  Each step is written,
+    so that no plan holds more than one step's join: what is broadcast takes
+    memory of the driver, however few rows it has.
     """
+    columns = cells.columns
     cells = stage(cells, "mix-cells")
-    targets = {
-        d: stage(_targets(cells, d, s.targets.get(d, 1.0)), f"mix-{d}") for d in DIMENSIONS
-    }
     wanted = s.budget * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
     raked = cells.withColumn("weight", F.col("tokens") * s.budget)
+    for d in DIMENSIONS:
+        target = _targets(cells, d, s.targets.get(d, 1.0))
+        aims = target.select(d, (F.col("share") * wanted).alias(f"aim_{d}"))
+        raked = stage(raked.join(aims, d), "mix-aims")
     for done in count(1):
-        before = raked.select(*DIMENSIONS, F.col("weight").alias("before"))
+        raked = raked.withColumn("before", F.col("weight"))
         for d in DIMENSIONS:
-            sums = raked.groupBy(d).agg(F.sum("weight").alias("sum")).join(targets[d], d)
-            factor = F.when(F.col("sum") > 0, F.col("share") * wanted / F.col("sum")).otherwise(0.0)
-            raked = (
-                raked.join(sums.select(d, factor.alias("factor")), d)
-                .withColumn("weight", F.least("tokens", F.col("weight") * F.col("factor")))
-                .drop("factor")
+            sums = raked.groupBy(d).agg(F.sum("weight").alias("sum"))
+            factor = F.when(F.col("sum") > 0, F.col(f"aim_{d}") / F.col("sum")).otherwise(0.0)
+            scaled = raked.join(sums, d).withColumn(
+                "weight", F.least("tokens", F.col("weight") * factor)
             )
-        raked = stage(raked.join(before, list(DIMENSIONS)), "mix-raked")
-        moved = raked.agg(F.sum(F.abs(F.col("weight") - F.col("before")))).first()[0] or 0.0
-        raked = raked.drop("before")
-        off = _errors(raked, targets, wanted)
-        worst = off.agg(F.max("error")).first()[0] or 0.0
+            raked = stage(scaled.drop("sum"), "mix-raked")
+        worst, moved = _progress(raked)
         settled = moved <= s.tolerance * wanted / 100
         if worst < s.tolerance or settled or done == s.rounds:
             break
     if worst >= s.tolerance:
         _LOG.warning("sums are off their targets by %.3g after %d rounds", worst, done)
-    raked = off
+    raked = _errors(raked).select(*columns, "weight", "error")
     chance = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     return raked.withColumn("probability", chance)
 

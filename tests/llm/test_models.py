@@ -244,6 +244,22 @@ def test_mixing_goes_on_until_the_sums_are_met(make_docs, caplog):
     assert max(r.margin_error for r in short if r.source == "b") > 0.5 and caplog.records
 
 
+def test_no_step_of_the_mix_plans_more_than_its_own_joins(make_docs, monkeypatch):
+    """What is broadcast lies in the driver, so joins of all steps can't be in one plan."""
+    joins = {}
+
+    def stage(df, label, write=mixing.stage):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[label] = max(joins.get(label, 0), plan.count("Join "))
+        return write(df, label)
+
+    monkeypatch.setattr(mixing, "stage", stage)
+    rows = [(k, "word " * (k % 9 + 1), "en" if k % 3 else "de", "ab"[k % 2]) for k in range(60)]
+    found = mixing.mix(make_docs(rows), mixing.Settings(rounds=4)).collect()
+    assert len(found) == 60
+    assert joins["mix-raked"] == 1 and max(joins.values()) <= 3
+
+
 def test_stages_leave_columns_of_their_own_names_alone(labelled_docs, spark):
     taken = ["_language", "told", "doc", "_mix", "_source", "_topic", "draw", "sampled", "tokens"]
     docs = labelled_docs[0].withColumns({name: F.concat(F.lit(name), "doc_id") for name in taken})
