@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators import last_before, splice_versions, valid_at, versions_of
+from lakestrata.operators import last_before, ordered, splice_versions, valid_at, versions_of
 from lakestrata.operators.staging import stage
 
 SEEN = "id int, place string, as_of_ingest_ts timestamp, row_hash string"
@@ -34,6 +34,52 @@ def test_last_before_cuts_hot_keys(spark, setting, descending):
     assert found.rdd.getNumPartitions() > 1
 
 
+@pytest.fixture
+def small_cuts(monkeypatch):
+    monkeypatch.setattr(ordered, "_CUT_ROWS", 20)
+    monkeypatch.setattr(ordered, "_SAMPLED", 2)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_values_are_carried_over_cuts(spark, small_cuts, descending):
+    """A hot key is cut by its order; some cuts have no value, some orders are null."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([1, 1, 1, 2, None]), rng.choice([k, k, k, None]), rng.choice([None] * 60 + ["v"]))
+        for k in range(600)
+    ]
+    # Rows without order tie, so none of them has a value.
+    rows = [(key, at, f"v{at}" if value and at is not None else None) for key, at, value in rows]
+    df = spark.createDataFrame(rows, "key int, at int, value string")
+    placed, cut = ordered.with_cuts(df, "key", ["at"])
+    parts = {key: set() for key in (1, 2, None)}
+    for row in placed.collect():
+        parts[row["key"]].add(row["_cut"])
+    assert cut and len(parts[1]) > 5 and 0 not in parts[1] and len(parts[None]) > 5
+    found = last_before(df, "key", ["at"], "value", "before", descending)
+    expected, last = [], {}
+    sign = -1 if descending else 1  # nulls are the least
+    for key, at, value in sorted(rows, key=lambda r: sign * (-1 if r[1] is None else r[1])):
+        expected.append((key, at, value, last.get(key) if key is not None else None))
+        if value is not None:
+            last[key] = value
+    assert found.columns == ["key", "at", "value", "before"]
+    assert Counter(map(tuple, found.collect())) == Counter(expected)
+
+
+def test_versions_of_a_hot_key(spark, small_cuts):
+    """Both looks use the same cuts."""
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 1, 1, 2]), d, rng.choice("ab")) for d in range(1, 29) for _ in range(4)]
+    assert intervals(versions_of(observed(spark, rows), "id")) == plain_intervals(rows)
+
+
+def test_small_keys_are_not_cut(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "key int, at int")
+    placed, cut = ordered.with_cuts(df, "key", ["at"])
+    assert not cut and {r["_cut"] for r in placed.collect()} == {0}
+
+
 def observed(spark, rows):
     df = spark.createDataFrame(
         [(i, v, f"2024-01-{d:02} 00:00:00", v) for i, d, v in rows],
@@ -127,3 +173,23 @@ def test_valid_at(spark):
     )
     assert valid_at(facts.limit(0), "key", "at", versions, ["sk"]).collect() == []
     assert {r["sk"] for r in valid_at(facts, "key", "at", versions.limit(0), ["sk"]).collect()} == {None}
+
+
+def test_valid_at_works_facts_out_once(spark):
+    """Facts may be a costly join: not once for places, once for rows, once for loose ones."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(at):
+        seen.add(1)
+        return at
+
+    noted = F.udf(note, "int").asNondeterministic()
+    facts = spark.createDataFrame(
+        [(1, 4), (1, 6), (2, 1), (None, 1), (1, None)], "key int, at int"
+    ).withColumn("at", noted("at"))
+    versions = spark.createDataFrame(
+        [(1, 10, 0, 5), (1, 11, 5, None)], "key int, sk int, valid_from int, valid_to int"
+    )
+    found = valid_at(facts, "key", "at", versions, ["sk"])
+    assert Counter(r["sk"] for r in found.collect()) == {10: 1, 11: 1, None: 3}
+    assert seen.value == 5
