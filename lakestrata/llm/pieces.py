@@ -127,7 +127,8 @@ class TokenCache:
         used = np.zeros(len(coded.dictionary), bool)
         used[codes[behind]] = True
         number = np.zeros(len(used), np.int64)
-        number[used] = self.numbering.numbers(coded.dictionary.filter(pa.array(used)).to_pylist())
+        pieces = coded.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False)
+        number[used] = self.numbering.numbers(pieces.tolist())
         numbers = number[codes]
         first = lists.values.take(pa.array(heads)).to_pylist()
         numbers[heads] = self.numbering.numbers([(head,) for head in first])

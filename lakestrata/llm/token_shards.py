@@ -39,6 +39,8 @@ _BITS = 8 * _BLOCK
 _PLAIN = re.compile(r" \S(?:.*\S)?", re.DOTALL)
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
+_LINE = 60  # pieces that are encoded as one line: the library slows down with longer ones
+
 _STRIDE = 2**16  # ids that are moved together, so that their places stay in the processor's cache
 
 SHARD_SCHEMA = "part int, number int, n_docs long, n_tokens long, file binary"
@@ -267,7 +269,7 @@ class LibraryEncoder:
         joined = list(compress(pieces, plain))
         lens = np.zeros(len(pieces), np.int64)
         rest, lens[~plain] = self._ids(list(compress(pieces, ~plain)))
-        lines = ["".join(joined[at : at + 500]) for at in range(0, len(joined), 500)]
+        lines = ["".join(joined[at : at + _LINE]) for at in range(0, len(joined), _LINE)]
         ids, _ = self._ids(lines)
         ends = np.cumsum(pc.binary_length(pa.array(joined, pa.large_string())).to_numpy())
         upto = np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")

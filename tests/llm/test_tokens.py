@@ -57,6 +57,18 @@ def test_replay_where_a_merge_makes_way_for_a_lower_rank():
     assert [p.tolist() for p in parts] == [table.merge_word(w) for w in words]
 
 
+def test_pieces_go_to_the_library_in_short_lines(plain, monkeypatch):
+    """Few pieces in a line, which the library takes faster, and the same ids."""
+    encoder = token_shards.LibraryEncoder(TOKENIZER)
+    lines, ids_of = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: lines.extend(texts) or ids_of(texts))
+    text = "x" + "".join(f" w{k}é,{k % 7}" for k in range(400))
+    (ids,) = encoder.encode([text])
+    assert plain.encode_ordinary(text) == ids.tolist()
+    assert "".join(lines) == text
+    assert 2 < len(lines) and max(line.count(" ") for line in lines) <= 100
+
+
 @pytest.mark.parametrize("which", ["library", "replay"])
 def test_cache_keeps_no_whole_texts(which, plain):
     """Indented texts, and texts without a space: all different, none is held."""
