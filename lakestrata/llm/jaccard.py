@@ -22,7 +22,9 @@ different one can be a partner have none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,9 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakestrata.llm.bitmaps import MARKS, with_mark
 from lakestrata.llm.components import components
 from lakestrata.llm.pieces import Numbering, slices
-from lakestrata.operators.staging import stage
+from lakestrata.operators.staging import stage, staged
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -51,6 +54,8 @@ class Settings:
     slack: float = 0.5  # signatures beyond the tokens that may differ, as a share of them
     group_nodes: int = 128  # expected size of a group
     group_tokens: int = 200_000
+    tile_nodes: int = 4_096  # of the groups that one task holds, expected
+    tile_tokens: int = 2_000_000
 
     def need(self, n):
         """Tokens of ``n`` that a partner has at least; integers or arrays."""
@@ -141,6 +146,11 @@ def _text_key() -> Column:
     return F.xxhash64("text")
 
 
+def _number_of(*names: str) -> Column:
+    """A row's place in a bitmap."""
+    return F.xxhash64(*names).bitwiseAND(F.lit(MARKS - 1))
+
+
 # Nodes whose signatures a task knows to be given, at most.
 _SEEN = 1_000_000
 
@@ -186,14 +196,15 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def by_signatures(rows: DataFrame, sizes: DataFrame, s: Settings) -> DataFrame:
-    """The rows of ``sizes`` whose node can have a partner, with probes.
+def shared_signatures(rows: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """signature, node and nodes for the signatures that several nodes have.
 
-    Probes are the signatures that other nodes have too, each with the number of its
-    rows; of one power there have to be as many as two partners share.  Signatures
-    travel once: they are counted where they lie for that.
+    ``part`` of ``parts`` takes those of one rest of their digests.  Signatures travel
+    once: they are counted where they lie for that.
     """
     given = rows.select("node", F.explode("signatures").alias("signature"))
+    if parts > 1:
+        given = given.where(F.pmod(F.shiftright("signature", 6), F.lit(parts)) == part)
     of_one = W.partitionBy("signature")
     shared = given.select(
         "*",
@@ -202,7 +213,19 @@ def by_signatures(rows: DataFrame, sizes: DataFrame, s: Settings) -> DataFrame:
         F.max("node").over(of_one).alias("_most"),
     ).where("_least < _most")
     # Copies in several tasks have given their signatures more than once.
-    once = shared.groupBy("signature", "node").agg(F.max("nodes").alias("nodes"))
+    return shared.groupBy("signature", "node").agg(F.max("nodes").alias("nodes"))
+
+
+def by_signatures(
+    rows: DataFrame, sizes: DataFrame, s: Settings, shared: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``sizes`` whose node can have a partner, with probes.
+
+    Probes are the signatures that other nodes have too, each with the number of its
+    rows; of one power there have to be as many as two partners share.  ``shared``
+    holds the shared signatures of ``rows`` where they are known already.
+    """
+    once = shared_signatures(rows) if shared is None else shared
     held = once.groupBy(
         "node", F.col("signature").bitwiseAND(F.lit(_POWER)).alias("power")
     ).agg(F.collect_list(F.struct("nodes", "signature")).alias("held"))
@@ -271,30 +294,98 @@ def unions(members: DataFrame) -> DataFrame:
     return members.groupBy("group").agg(F.array_sort(tokens).alias("tokens"))
 
 
+def tiled(touched: DataFrame, groups: DataFrame, s: Settings) -> DataFrame:
+    """group, tie and slice of the groups in ``touched``.
+
+    Groups that touch each other, be it by way of others, have one tie.  A task holds
+    two slices of a tie, so that what many groups ask for goes to few tasks and not to
+    one for each pair.  A tie of many nodes is cut so that groups with one largest
+    neighbour stay together.  ``groups`` gives node, group and n.
+    """
+    pairs = touched.select(F.col("first").alias("a"), F.col("second").alias("b")).distinct()
+    ties = components(pairs).select(F.col("node").alias("group"), F.col("root").alias("tie"))
+    sizes = groups.groupBy("group").agg(F.count("*").alias("nodes"), F.sum("n").alias("tokens"))
+    slices = F.greatest(
+        F.lit(1),
+        F.ceil(F.sum("nodes") / s.tile_nodes),
+        F.ceil(F.sum("tokens") / s.tile_tokens),
+    )
+    size = F.struct("nodes", "group")
+    beside = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    largest = (
+        beside.join(sizes, F.col("b") == F.col("group"))
+        .groupBy("a")
+        .agg(F.max(size).alias("_largest"))
+    )
+    sized = ties.join(sizes, "group").join(largest, F.col("a") == F.col("group"))
+    hubs = sized.withColumn("hub", F.greatest(size, "_largest")["group"])
+    of_hub = hubs.groupBy("hub").agg(slices.alias("_own"))
+    of_tie = sized.groupBy("tie").agg(slices.alias("_cuts"))
+    part = F.xxhash64("hub", F.pmod(F.xxhash64("group"), "_own"))
+    return (
+        hubs.join(of_hub, "hub")
+        .join(of_tie, "tie")
+        .select("group", "tie", F.pmod(part, "_cuts").alias("slice"))
+    )
+
+
+_TILE = ["tie", "low", "high"]
+_ROW = {c: f"_{c}" for c in _TILE}  # the side that is asked has names of its own
+
+
+def _in_tiles(touched: DataFrame, tiles: DataFrame) -> DataFrame:
+    """node, first and second with the tile that holds both groups."""
+    one = tiles.select(F.col("group").alias("first"), "tie", F.col("slice").alias("_one"))
+    other = tiles.select(F.col("group").alias("second"), F.col("slice").alias("_other"))
+    return touched.join(one, "first").join(other, "second").select(
+        "tie",
+        F.least("_one", "_other").alias("low"),
+        F.greatest("_one", "_other").alias("high"),
+        "node",
+        "first",
+        "second",
+    )
+
+
 def qualifying(
-    touched: DataFrame, members: DataFrame, matrix: DataFrame, s: Settings
+    touched: DataFrame,
+    members: DataFrame,
+    matrix: DataFrame,
+    s: Settings,
+    tiles: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of ``touched`` whose node has enough tokens of the second group's union.
 
-    A task holds one row of the matrix and the queries of one other group.
+    A task holds the matrix rows and the queries of a tile, each of them once.
     """
 
-    def bound(queries: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:
-        if not len(row):
-            return queries[["node", "first", "second"]][:0]
-        union = np.asarray(row["tokens"].iloc[0], np.int64)
-        enough = []
-        for tokens in queries["tokens"]:
-            place = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
-            enough.append(np.count_nonzero(union[place] == tokens) >= s.need(len(tokens)))
-        return queries.loc[np.array(enough, bool), ["node", "first", "second"]]
-
-    queries = touched.join(members.select("node", "tokens"), "node")
-    asking = touched.select(F.col("first").alias("asking"), F.col("second").alias("group"))
-    rows = asking.distinct().join(matrix, "group")
+    def bound(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        unions = {
+            group: np.asarray(tokens, np.int64)
+            for group, tokens in zip(rows["group"], rows["tokens"])
+        }
+        found = []
+        for node, first, seconds, tokens in zip(
+            queries["node"], queries["first"], queries["seconds"], queries["tokens"]
+        ):
+            for second in seconds:
+                union = unions.get(second)
+                if union is None:
+                    continue
+                place = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+                if np.count_nonzero(union[place] == tokens) >= s.need(len(tokens)):
+                    found.append((node, first, second))
+        return pd.DataFrame(found, columns=["node", "first", "second"]).astype("int64")
+
+    if tiles is None:
+        tiles = tiled(touched, members.withColumn("n", F.size("tokens")), s)
+    placed = _in_tiles(touched, tiles)
+    queries = placed.groupBy(*_TILE, "node", "first").agg(F.collect_list("second").alias("seconds"))
+    queries = queries.join(members.select("node", "tokens"), "node")
+    rows = placed.select(*_TILE, F.col("second").alias("group")).distinct().join(matrix, "group")
     return (
-        queries.groupBy("first", "second")
-        .cogroup(rows.groupBy("asking", "group"))
+        queries.groupBy(*_TILE)
+        .cogroup(rows.withColumnsRenamed(_ROW).groupBy(*_ROW.values()))
         .applyInPandas(bound, "node long, first long, second long")
     )
 
@@ -314,10 +405,12 @@ def token_sets(docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
                     }
                 )
 
+    # Texts are sent on only where a bitmap says that they may be wanted.
     wanted = classes.select("first_id")
-    chosen = docs.select("doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi"
-    )
+    texts = docs.select("doc_id", "text")
+    numbers = wanted.select(_number_of("first_id").alias("number"))
+    chosen = with_mark(texts, _number_of("doc_id"), numbers, "_wanted").where("_wanted")
+    chosen = chosen.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     return chosen.select("text").mapInPandas(tokens, "node long, tokens array<long>")
 
 
@@ -346,22 +439,33 @@ def links(queries: list, group: list, same: bool, s: Settings) -> Iterator[tuple
                 yield at, int(other)
 
 
-def verified(qualified: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
-    """node, root and links from each pair of groups.
+def verified(
+    qualified: DataFrame, members: DataFrame, tiles: DataFrame, s: Settings
+) -> DataFrame:
+    """node, root and links from each tile.
 
-    A group is opened for itself and for the queries of another that qualified.
-    root ties the nodes linked in that pair together; links counts the documents
-    of the nodes linked with this one.
+    A group is opened for itself, in the one tile of its own slice, and for the queries
+    of others that qualified.  root ties the nodes linked in that tile together; links
+    counts the documents of the nodes linked with this one.
     """
 
-    def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
-        side = rows["side"].to_numpy()
-        nodes, weights = rows["node"].tolist(), rows["documents"].tolist()
-        one = np.flatnonzero(side == 0)
-        other = np.flatnonzero(side == 1)
-        same = not len(one)
-        one = other if same else one
+    def verify(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        at: dict[int, int] = {}
+        sets, weights = [], []
+        for rows in (held, asked):
+            for node, documents, tokens in zip(rows["node"], rows["documents"], rows["tokens"]):
+                if node not in at:
+                    at[node] = len(sets)
+                    sets.append(np.asarray(tokens, np.int64))
+                    weights.append(documents)
+        opened: dict[int, list[int]] = {}
+        for group, node in zip(held["group"], held["node"]):
+            opened.setdefault(group, []).append(at[node])
+        asking: dict[int, list[int]] = {}
+        for node, seconds in zip(asked["node"], asked["seconds"]):
+            for second in seconds:
+                asking.setdefault(second, []).append(at[node])
+        nodes = list(at)
         root = list(range(len(nodes)))
         count = [0] * len(nodes)
 
@@ -371,12 +475,19 @@ def verified(qualified: DataFrame, members: DataFrame, s: Settings) -> DataFrame
                 k = root[k]
             return k
 
-        if len(other):
+        def tie(one: list[int], other: list[int], same: bool) -> None:
             for a, b in links([sets[k] for k in one], [sets[k] for k in other], same, s):
-                a, b = int(one[a]), int(other[b])
+                a, b = one[a], other[b]
                 count[a] += weights[b]
                 count[b] += weights[a]
                 root[top(a)] = top(b)
+
+        own = set(held["group"][held["own"]])
+        for group, other in opened.items():
+            if group in own:
+                tie(other, other, True)
+            if group in asking:
+                tie(asking[group], other, False)
         linked = [k for k in range(len(nodes)) if count[k]]
         return pd.DataFrame(
             {
@@ -386,23 +497,24 @@ def verified(qualified: DataFrame, members: DataFrame, s: Settings) -> DataFrame
             }
         ).astype("int64")
 
-    asked = qualified.join(members.drop("group"), "node").withColumn("side", F.lit(0))
-    opened = qualified.select("first", "second").distinct()
+    placed = _in_tiles(qualified, tiles)
     # A group of one has nothing to compare inside.
     several = members.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1")
-    opened = opened.unionByName(
-        several.select(F.col("group").alias("first"), F.col("group").alias("second"))
-    )
-    held = (
-        members.withColumnRenamed("group", "second")
-        .join(opened, "second")
-        .withColumn("side", F.lit(1))
+    alone = several.join(tiles, "group", "left").select(
+        F.coalesce("tie", "group").alias("tie"),
+        F.coalesce("slice", F.lit(0)).alias("low"),
+        F.coalesce("slice", F.lit(0)).alias("high"),
+        "group",
+        F.lit(True).alias("own"),
     )
-    columns = ["first", "second", "side", "node", "documents", "tokens"]
+    asked_of = placed.select(*_TILE, F.col("second").alias("group"), F.lit(False).alias("own"))
+    opened = alone.unionByName(asked_of).groupBy(*_TILE, "group").agg(F.max("own").alias("own"))
+    held = opened.join(members, "group")
+    asked = placed.groupBy(*_TILE, "node").agg(F.collect_list("second").alias("seconds"))
+    asked = asked.join(members.drop("group"), "node")
     return (
-        asked.select(*columns)
-        .unionByName(held.select(*columns))
-        .groupBy("first", "second")
+        asked.groupBy(*_TILE)
+        .cogroup(held.withColumnsRenamed(_ROW).groupBy(*_ROW.values()))
         .applyInPandas(verify, "node long, root long, links long")
     )
 
@@ -424,43 +536,41 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 # A class of copies is dealt over this many tasks.
 _SALTS = 32
+# Signatures meet in as many passes, so that the disk holds those of one at a time.
+_PASSES = 4
 
 
 def _joined(docs: DataFrame, s: Settings) -> DataFrame:
-    """The same with text_key and root, the node that names the component."""
+    """The same with text_key and root, the node that names the component.
+
+    Signatures, token sets and what is made of them stay for the length of a step.
+    """
     salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(_SALTS)).cast("int")
-    rows = stage(described(docs, s), "jaccard-rows").withColumn("salt", salt)
-    sizes = (
-        rows.where("node IS NOT NULL")
-        .groupBy("node")
-        .agg(
-            F.min("n").cast("int").alias("n"),
-            F.count("*").alias("documents"),
-            F.min("doc_id").alias("least"),
-            F.expr("bit_or(shiftleft(1L, salt))").alias("salts"),
+    with ExitStack() as brief:
+        with ExitStack() as wide:
+            given = wide.enter_context(staged(described(docs, s), "jaccard-signatures"))
+            rows = stage(given.drop("signatures").withColumn("salt", salt), "jaccard-rows")
+            shared = [
+                brief.enter_context(
+                    staged(shared_signatures(given, part, _PASSES), "jaccard-shared")
+                )
+                for part in range(_PASSES)
+            ]
+        sizes = (
+            rows.where("node IS NOT NULL")
+            .groupBy("node")
+            .agg(
+                F.min("n").cast("int").alias("n"),
+                F.count("*").alias("documents"),
+                F.min("doc_id").alias("least"),
+                F.expr("bit_or(shiftleft(1L, salt))").alias("salts"),
+            )
         )
-    )
-    probes = by_signatures(rows, sizes.drop("salts"), s)
-    groups = stage(grouped(probes, s), "jaccard-groups")
-    sets = token_sets(docs, groups.select(F.col("least").alias("first_id")), s)
-    # Repeated rows work a node's tokens out more than once.
-    own = W.partitionBy("node").orderBy("node")
-    sets = sets.withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
-    members = stage(
-        groups.select("node", "group", "documents").join(sets, "node"), "jaccard-tokens"
-    )
-    touched = stage(touching(groups), "jaccard-touched")
-    second = touched.select(F.col("second").alias("group")).distinct()
-    matrix = stage(unions(members.join(second, "group", "left_semi")), "jaccard-matrix")
-    qualified = stage(qualifying(touched, members, matrix, s), "jaccard-qualified")
-    found = stage(verified(qualified, members, s), "jaccard-links")
-    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
-    tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    whole = tied.join(sizes, "node").groupBy("root").agg(F.min("least").alias("component"))
-    linked = (
-        tied.join(whole, "root").join(counted, "node").select("node", "root", "component", "links")
-    )
-    per_node = stage(sizes.drop("n").join(linked, "node", "left"), "jaccard-components")
+        every = reduce(DataFrame.unionByName, shared)
+        probes = by_signatures(rows, sizes.drop("salts"), s, every)
+        groups = brief.enter_context(staged(grouped(probes, s), "jaccard-groups"))
+        linked = _linked(docs, groups, sizes, s, brief)
+        per_node = stage(sizes.drop("n").join(linked, "node", "left"), "jaccard-components")
     # As many rows of a class as its documents have salts.
     has = F.filter(
         F.sequence(F.lit(0), F.lit(_SALTS - 1)),
@@ -488,6 +598,35 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     return with_node.unionByName(without)
 
 
+def _linked(
+    docs: DataFrame, groups: DataFrame, sizes: DataFrame, s: Settings, brief: ExitStack
+) -> DataFrame:
+    """node, root, component and links of the nodes that link with another."""
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        return brief.enter_context(staged(df, label))
+
+    sets = token_sets(docs, groups.select(F.col("least").alias("first_id")), s)
+    # Repeated rows work a node's tokens out more than once.
+    own = W.partitionBy("node").orderBy("node")
+    sets = sets.withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
+    members = written(
+        groups.select("node", "group", "documents").join(sets, "node"), "jaccard-tokens"
+    )
+    touched = written(touching(groups), "jaccard-touched")
+    tiles = written(tiled(touched, groups, s), "jaccard-tiles")
+    with ExitStack() as rows:
+        second = touched.select(F.col("second").alias("group")).distinct()
+        asked = members.join(second, "group", "left_semi")
+        matrix = rows.enter_context(staged(unions(asked), "jaccard-matrix"))
+        qualified = written(qualifying(touched, members, matrix, s, tiles), "jaccard-qualified")
+    found = written(verified(qualified, members, tiles, s), "jaccard-links")
+    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
+    tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    whole = tied.join(sizes, "node").groupBy("root").agg(F.min("least").alias("component"))
+    return tied.join(whole, "root").join(counted, "node").select("node", "root", "component", "links")
+
+
 def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One document of each component, with all columns of ``docs``.
 

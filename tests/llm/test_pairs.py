@@ -3,6 +3,7 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,8 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakestrata.llm import exact_dedup, jaccard, near_vectors
+from lakestrata.llm.bitmaps import with_mark
 from lakestrata.llm.components import components
 from lakestrata.operators.staging import stage
+from lakestrata.session import shared_folder
 
 
 def roots(nodes, pairs):
@@ -180,6 +183,70 @@ def test_only_queries_within_the_bound_qualify(spark):
     assert [tuple(r) for r in found] == [(1, 10, 20)]
 
 
+def near_rows(families, copies):
+    rng = random.Random(5)
+    rows = []
+    for family in range(families):
+        words = [f"w{family}_{k}" for k in range(60)]
+        for _ in range(copies):
+            changed = list(words)
+            changed[rng.randrange(60)] = f"x{rng.random()}"
+            rows.append((len(rows), " ".join(changed), "en", "web"))
+    return rows
+
+
+def test_a_union_goes_to_a_tile_once_however_many_groups_ask(spark):
+    """40 groups ask for the last one; before, its union went along with each of them."""
+    s = jaccard.Settings(percent=80)
+    nodes = [(k, 100 + k, list(range(20))) for k in range(40)] + [(40, 140, list(range(20)))]
+    members = spark.createDataFrame(nodes, "node long, group long, tokens array<long>")
+    rows = [(k, 100 + k, 140) for k in range(40)]
+    touched = spark.createDataFrame(rows, "node long, first long, second long")
+    tiles = jaccard.tiled(touched, members.withColumn("n", F.size("tokens")), s)
+    assert {(r.tie, r.slice) for r in tiles.collect()} == {(100, 0)}
+    found = jaccard.qualifying(touched, members, jaccard.unions(members), s, tiles)
+    assert sorted(map(tuple, found.collect())) == rows
+    # Three nodes a slice: each pair of groups has one tile, whatever side they are on.
+    small = jaccard.Settings(percent=80, tile_nodes=3)
+    cut = jaccard.tiled(touched, members.withColumn("n", F.size("tokens")), small)
+    assert cut.select("slice").distinct().count() > 5 and cut.count() == 41
+    found = jaccard.qualifying(touched, members, jaccard.unions(members), small, cut)
+    assert sorted(map(tuple, found.collect())) == rows
+
+
+@pytest.mark.parametrize("tile", [dict(tile_nodes=4), dict(tile_tokens=200)])
+def test_links_are_the_same_whatever_the_tiles(make_docs, tile):
+    docs = make_docs(near_rows(4, 15))
+    cut = dict(words=3, percent=60, group_nodes=2)
+    expected = jaccard.jaccard_components(docs, jaccard.Settings(**cut)).collect()
+    found = jaccard.jaccard_components(docs, jaccard.Settings(**cut, **tile)).collect()
+    assert sorted(found) == sorted(expected)
+    assert {r.n_links for r in found} == {14} and len({r.component_id for r in found}) == 4
+
+
+def test_jaccard_join_leaves_no_signatures_and_token_sets(spark, make_docs):
+    """What is needed for one step only goes when the step is done."""
+    def stages():
+        return set(Path(shared_folder(spark).removeprefix("file:"), "stages").glob("jaccard-*"))
+
+    before = stages()
+    found = jaccard.jaccard_components(make_docs(near_rows(3, 4)), jaccard.Settings(words=3))
+    left = {p.name.rsplit("-", 1)[0] for p in stages() - before if spark.read.parquet(f"file:{p}").count()}
+    assert left == {"jaccard-rows", "jaccard-components"}
+    assert found.count() == 12
+
+
+def test_texts_without_a_possible_partner_are_not_sent(spark, make_docs):
+    rows = [(k, f"text number {k} has words of its own", "en", "web") for k in range(500)]
+    docs, wanted = make_docs(rows), spark.createDataFrame([(7,)], "first_id long")
+    sets = jaccard.token_sets(docs, wanted, jaccard.Settings(words=3))
+    assert sets.count() == 1
+    numbers = wanted.select(jaccard._number_of("first_id").alias("number"))
+    sent = with_mark(docs, jaccard._number_of("doc_id"), numbers, "sent").where("sent")
+    assert sent.count() == 1
+    assert "bitmap" in sets._jdf.queryExecution().executedPlan().toString()
+
+
 def test_groups_meet_once_for_a_signature_whatever_their_size(spark):
     """90 nodes in 3 groups hold 20 signatures; one node of a fourth holds the last."""
     both = [{"nodes": 91, "signature": k} for k in range(20)]

@@ -24,6 +24,7 @@ from lakestrata.operators import (
     without_match,
 )
 from lakestrata.operators.merge import new_rows
+from lakestrata.operators.staging import stage
 
 VERSION = "id int, v double, _ingest_ts timestamp, _source_path string, _bronze_row_key string"
 
@@ -312,3 +313,18 @@ def test_conform_orders_casts_and_checks(spark, rows):
     with pytest.raises(Exception, match="category must not be NULL"):
         assert_not_null(hole, ["category"]).collect()
     assert rows(assert_not_null(hole, ["total_revenue"])) == [(1, None, "2024-01-01")]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if "shuffle_" in files.apply(k).getName()}
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = spark.conf.get(name), shuffle_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    counted = stage(counts, "counted")
+    assert not shuffle_files(spark) - kept
+    assert counted.count() == 7
+    assert spark.conf.get(name) == before
