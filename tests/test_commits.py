@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,11 +11,16 @@ from pyspark.sql import types as T
 
 from lakestrata.contracts import TableContract, change_contract, ensure_tables, incremental_contracts
 from lakestrata.operators import net_changes
-from lakestrata.plans import gold
-from lakestrata.plans.incremental import run_gold_by_changes, run_incremental
+from lakestrata.plans import gold, silver
+from lakestrata.plans.incremental import (
+    run_gold_by_changes,
+    run_incremental,
+    run_silver_since,
+)
 from lakestrata.plans.marts import MARTS, refresh_mart
 from lakestrata.plans.run import HISTORY, RunConfig, run_silver
 from lakestrata.sinks import commits, last_commit, merge_table, merge_with_changes
+from lakestrata.session import brief_shuffles, shared_folder
 from lakestrata.sinks.commits import net_changes_between, read_changes, state_at
 from lakestrata.sources import read_table
 from tests.test_layers import AS_OF, bronze
@@ -234,3 +240,65 @@ def test_runs_from_the_mark_equal_full_ones(spark):
     assert refresh_mart(spark, contracts, MARTS[0]) > 0
     run_gold_by_changes(spark, cfg)
     assert [stored(read_table(spark, c)) for c in marts] == before
+
+
+def two_sales(spark, prefix):
+    """A run from the mark over a small load, ready for its silver layer."""
+    contracts = incremental_contracts(prefix=prefix)
+    ensure_tables(spark, contracts)
+    cfg = RunConfig(as_of=AS_OF, dimensions=HISTORY, contracts=contracts)
+    when = ("2024-01-01", "b1")
+    customer = ("Lee", None, "Rome", "IT", "2020-01-01", "Gold")
+    load = {
+        "customers": [(1, "Ann", *customer, *when)],
+        "products": [(1, "n1", "Toys", "b", 1.5, "2020-01-01", *when)],
+        "transactions": [sale(k, 1, 1, k * 1.5, "2024-01-05", when) for k in (1, 2)],
+    }
+    for name, data in load.items():
+        merge_table(spark, contracts[f"bronze.{name}"], bronze(spark, name, data), "keep")
+    return cfg
+
+
+def stages_with_rows(spark, but=()):
+    folder = Path(shared_folder(spark).removeprefix("file:"), "stages")
+    new = set(folder.glob("*")) - set(but)
+    return new, {p.name.rsplit("-", 1)[0] for p in new if spark.read.parquet(str(p)).count()}
+
+
+def test_silver_from_the_mark_leaves_no_copy_of_bronze(spark):
+    cfg = two_sales(spark, "brief_")
+    before, _ = stages_with_rows(spark)
+    run_silver_since(spark, cfg)
+    _, left = stages_with_rows(spark, before)
+    assert not left & {"affected", "affected-rows", "ids", "fact_transaction"}
+    assert read_table(spark, cfg.contracts["silver.fact_transaction"]).count() == 2
+
+
+def test_rows_of_affected_transactions_carry_no_fingerprints(spark, monkeypatch):
+    cfg, seen = two_sales(spark, "narrow_"), []
+    whole = silver.fact_transaction
+    monkeypatch.setattr(
+        silver, "fact_transaction", lambda rows, *a: seen.append(rows.columns) or whole(rows, *a)
+    )
+    run_silver_since(spark, cfg)
+    assert seen and "_bronze_row_key" not in seen[0] and "_source_name" not in seen[0]
+
+
+def test_tables_and_commits_are_zstd(spark):
+    cfg = two_sales(spark, "packed_")
+    run_silver_since(spark, cfg)
+    fact = cfg.contracts["silver.fact_transaction"]
+    for contract in (cfg.contracts["bronze.transactions"], fact, change_contract(fact)):
+        files = spark.table(contract.table).inputFiles()
+        assert files and all(".zstd." in name for name in files), contract.table
+
+
+def test_overlapping_blocks_put_the_setting_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, one, other = spark.conf.get(name), brief_shuffles(spark), brief_shuffles(spark)
+    one.__enter__()
+    other.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(name) == "true"
+    other.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
