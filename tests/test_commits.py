@@ -284,6 +284,16 @@ def test_rows_of_affected_transactions_carry_no_fingerprints(spark, monkeypatch)
     assert seen and "_bronze_row_key" not in seen[0] and "_source_name" not in seen[0]
 
 
+def test_marts_by_changes_leave_no_stages_of_deltas(spark):
+    cfg = two_sales(spark, "lean_")
+    run_silver_since(spark, cfg)
+    before, _ = stages_with_rows(spark)
+    run_gold_by_changes(spark, cfg)
+    _, left = stages_with_rows(spark, before)
+    assert not left & {"deltas", "touched", "state", "daily_revenue", "category_sales_daily"}
+    assert read_table(spark, cfg.contracts["gold.daily_revenue"]).first().total_revenue == 4.5
+
+
 def test_tables_and_commits_are_zstd(spark):
     cfg = two_sales(spark, "packed_")
     run_silver_since(spark, cfg)
