@@ -54,8 +54,8 @@ class Settings:
     slack: float = 0.5  # signatures beyond the tokens that may differ, as a share of them
     group_nodes: int = 128  # expected size of a group
     group_tokens: int = 200_000
-    tile_nodes: int = 4_096  # of the groups that one task holds, expected
-    tile_tokens: int = 2_000_000
+    tile_nodes: int = 1_024  # of the groups that one task holds, expected
+    tile_tokens: int = 400_000
 
     def need(self, n):
         """Tokens of ``n`` that a partner has at least; integers or arrays."""
@@ -155,11 +155,18 @@ def _number_of(*names: str) -> Column:
 _SEEN = 1_000_000
 
 
-def described(docs: DataFrame, s: Settings) -> DataFrame:
+def _parts(parts: int) -> list[str]:
+    """Columns that signatures are dealt over by their digests."""
+    return ["signatures"] if parts == 1 else [f"signatures_{k}" for k in range(parts)]
+
+
+def described(docs: DataFrame, s: Settings, parts: int = 1) -> DataFrame:
     """doc_id, text_key, n, node and signatures of each row; node is null for an empty set.
 
     The first row of a node in a task has the signatures; copies of it there have none.
+    Over several ``parts``, each can be read without the others.
     """
+    columns = _parts(parts)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(s.words), set()
@@ -172,39 +179,40 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
                 nodes = [node_of(x) if len(x) else None for x in sets]
                 if len(seen) > _SEEN:
                     seen.clear()
-                signatures = []
+                signatures = {name: [] for name in columns}
                 for node, x in zip(nodes, sets):
-                    fresh = node not in seen
-                    signatures.append(signatures_of(x, s).astype(np.int64) if fresh else none)
+                    found = none if node in seen else signatures_of(x, s).astype(np.int64)
                     seen.add(node)
+                    rest = (found >> 6) % parts
+                    for k, name in enumerate(columns):
+                        signatures[name].append(found[rest == k])
                 yield pd.DataFrame(
                     {
                         "doc_id": [next(names) for _ in sets],
                         "text_key": [next(keys) for _ in sets],
                         "n": lens,
                         "node": pd.array(nodes, "Int64"),
-                        "signatures": signatures,
                     }
+                    | signatures
                 )
 
     # Ids as text keep nulls apart from numbers on the way to pandas.
     name = F.col("doc_id").cast("string").alias("doc_id")
     rows = docs.select(name, _text_key().alias("text_key"), "text")
     found = rows.mapInPandas(
-        describe, "doc_id string, text_key long, n long, node long, signatures array<long>"
+        describe,
+        "doc_id string, text_key long, n long, node long, "
+        + ", ".join(f"{name} array<long>" for name in columns),
     )
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def shared_signatures(rows: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
-    """signature, node and nodes for the signatures that several nodes have.
+def shared_signatures(rows: DataFrame, column: str = "signatures") -> DataFrame:
+    """signature, node and nodes for the signatures of a column that several nodes have.
 
-    ``part`` of ``parts`` takes those of one rest of their digests.  Signatures travel
-    once: they are counted where they lie for that.
+    Signatures travel once: they are counted where they lie for that.
     """
-    given = rows.select("node", F.explode("signatures").alias("signature"))
-    if parts > 1:
-        given = given.where(F.pmod(F.shiftright("signature", 6), F.lit(parts)) == part)
+    given = rows.select("node", F.explode(column).alias("signature"))
     of_one = W.partitionBy("signature")
     shared = given.select(
         "*",
@@ -548,13 +556,12 @@ def _joined(docs: DataFrame, s: Settings) -> DataFrame:
     salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(_SALTS)).cast("int")
     with ExitStack() as brief:
         with ExitStack() as wide:
-            given = wide.enter_context(staged(described(docs, s), "jaccard-signatures"))
-            rows = stage(given.drop("signatures").withColumn("salt", salt), "jaccard-rows")
+            given = wide.enter_context(staged(described(docs, s, _PASSES), "jaccard-signatures"))
+            parts = _parts(_PASSES)
+            rows = stage(given.drop(*parts).withColumn("salt", salt), "jaccard-rows")
             shared = [
-                brief.enter_context(
-                    staged(shared_signatures(given, part, _PASSES), "jaccard-shared")
-                )
-                for part in range(_PASSES)
+                brief.enter_context(staged(shared_signatures(given, part), "jaccard-shared"))
+                for part in parts
             ]
         sizes = (
             rows.where("node IS NOT NULL")
@@ -634,7 +641,8 @@ def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame
     of rows that repeat id and text, one.  Documents without words all stay.
     """
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
-    found = _joined(docs, s).where("root IS NOT NULL").select("root", row.alias("row"))
+    worded = _joined(docs, s).where("root IS NOT NULL")
+    found = stage(worded.select("root", row.alias("row")), "jaccard-found")
     times = found.groupBy("root", "row").agg(F.count("*").alias("times"))
     heads = stage(
         times.groupBy("root")
@@ -646,15 +654,23 @@ def keep_representatives(docs: DataFrame, s: Settings = Settings()) -> DataFrame
         ),
         "jaccard-heads",
     )
+    once = heads.where("_times = 1")
+    repeated = stage(heads.where("_times > 1"), "jaccard-repeated")
+    named = found.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    gone = stage(named.join(once, same, "left_anti"), "jaccard-gone")
     # The user's columns stay in one struct, apart from those made here.
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     packed = docs.select(
         F.struct("*").alias("doc"), "doc_id", _text_key().alias("key"), wordless.alias("wordless")
     )
-    worded = packed.where(~F.col("wordless"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    once = worded.join(heads.where("_times = 1"), same, "left_semi")
-    repeated = stage(heads.where("_times > 1"), "jaccard-repeated")
-    again = worded.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "key"])
-    kept = packed.where("wordless").unionByName(once).unionByName(again)
+    # Bitmaps settle most rows where they are read; texts are sent on for the others only.
+    place, at = _number_of("doc_id", "key"), _number_of("_id", "_key").alias("number")
+    told = with_mark(packed, place, gone.select(place.alias("number")), "_gone")
+    told = with_mark(told, place, heads.select(at), "_head")
+    stay = told.where("wordless OR NOT _gone").select("doc")
+    perhaps = told.where("_gone AND _head AND NOT wordless")
+    again = perhaps.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "key"])
+    kept = stay.unionByName(perhaps.join(once, same, "left_semi").select("doc"))
+    kept = kept.unionByName(again.select("doc"))
     return kept.select("doc.*")

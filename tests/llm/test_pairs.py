@@ -247,6 +247,15 @@ def test_texts_without_a_possible_partner_are_not_sent(spark, make_docs):
     assert "bitmap" in sets._jdf.queryExecution().executedPlan().toString()
 
 
+def test_representatives_of_repeated_rows_and_of_large_groups(make_docs):
+    """Rows that a bitmap cannot settle: copies of a head, and all rows of a group but one."""
+    rows = near_rows(3, 30)
+    rows += [rows[0], rows[0], rows[31], (None, rows[60][1], "en", "web")]
+    docs = make_docs(rows).repartition(3)
+    kept = jaccard.keep_representatives(docs, jaccard.Settings(words=3, percent=60))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 30, 60]
+
+
 def test_groups_meet_once_for_a_signature_whatever_their_size(spark):
     """90 nodes in 3 groups hold 20 signatures; one node of a fourth holds the last."""
     both = [{"nodes": 91, "signature": k} for k in range(20)]
